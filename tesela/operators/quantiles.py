@@ -49,6 +49,20 @@ def _bucket_of(v: Column, cuts: Column, steps: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
 
 
+def _join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with null-safe equality (SQL groups treat nulls as
+    one key); a cross join of small sides when there are no keys."""
+    if not keys:
+        return a.crossJoin(b)
+    la, rb = a.alias("_l"), b.alias("_r")
+    cond = None
+    for k in keys:
+        c = F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}"))
+        cond = c if cond is None else (cond & c)
+    rest = [F.col(f"_r.{c}") for c in b.columns if c not in keys]
+    return la.join(rb, cond, how).select(*[F.col(f"_l.{c}") for c in a.columns], *rest)
+
+
 def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[str] | None = None,
                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` for each named
@@ -68,7 +82,7 @@ def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[
     )
     steps = max(1, (buckets - 1).bit_length() + 1)
     if group:
-        tagged = base.join(stats, on=group)
+        tagged = _join(base, stats, group)
     else:
         tagged = base.crossJoin(F.broadcast(stats))  # one row
     tagged = tagged.withColumn("_b", _bucket_of(F.col("_v"), F.col("_cuts"), steps))
@@ -89,25 +103,24 @@ def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[
                                 F.ceil(h).cast("long").alias("r"), (h - F.floor(h)).alias("frac")))
     want = stats.select(*group, F.explode(F.array(*targets)).alias("t")).select(*group, "t.*")
     # which bucket holds rank r: _before <= r < _before + _bc
-    key = [*group]
-    located = want.join(sizes, on=key).filter((F.col("_before") <= F.col("r")) &
+    located = _join(want, sizes, group).filter((F.col("_before") <= F.col("r")) &
                                               (F.col("r") < F.col("_before") + F.col("_bc")))
     hit_buckets = located.select(*group, "_b").distinct()
-    inside = counts.join(hit_buckets, on=[*group, "_b"])
+    inside = _join(counts, hit_buckets, [*group, "_b"])
     wb = Window.partitionBy(*group, "_b").orderBy("_v")
     inside = inside.withColumn("_upto", F.sum("_c").over(wb))
-    picked = (located.join(inside, on=[*group, "_b"])
+    picked = (_join(located, inside.drop(*[c for c in ("r",) if c in inside.columns]), [*group, "_b"])
               .filter((F.col("_upto") - F.col("_c") <= F.col("r") - F.col("_before")) &
                       (F.col("r") - F.col("_before") < F.col("_upto")))
               .select(*group, "q", "side", "frac", "_v"))
     lo = picked.filter(F.col("side") == "lo").select(*group, "q", "frac", F.col("_v").alias("_lo"))
     hi = picked.filter(F.col("side") == "hi").select(*group, "q", F.col("_v").alias("_hi"))
-    vals = lo.join(hi, on=[*group, "q"]).select(
+    vals = _join(lo, hi, [*group, "q"]).select(
         *group, "q", (F.col("_lo") + F.col("frac") * (F.col("_hi") - F.col("_lo"))).alias("_x"))
     wide = vals.groupBy(*group).pivot("q", names).agg(F.first("_x"))
     if group:
         keys = df.select(*group).distinct()
-        wide = keys.join(wide, on=group, how="left")
+        wide = _join(keys, wide, group, how="left")
     else:
         # one row even for empty input, like the SQL aggregate
         one = stats.select(F.lit(1).alias("_k"))
