@@ -120,12 +120,12 @@ def clean_date(c: ColumnOrName) -> Column:
     ISO timestamps with ``T`` match no format and give null (source rule).
     """
     s = F.regexp_replace(strip_ws(c), _TIME_TAIL, "")
-    return F.coalesce(*[F.try_to_date(s, F.lit(p)) for p in vocab.DATE_PATTERNS])
+    return F.coalesce(*[F.try_to_date(s, p) for p in vocab.DATE_PATTERNS])
 
 
 def iso_date(c: ColumnOrName) -> Column:
     """SCL-10: ``yyyy-MM-dd`` or null."""
-    return F.try_to_date(as_text(c), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(as_text(c), "yyyy-MM-dd")
 
 
 def blank_to_date(c: ColumnOrName) -> Column:

@@ -31,7 +31,7 @@ def register(key: str, sql: str | None = None, headline: bool = False):
     return deco
 
 
-MODULES = ["q_contracts", "q_measures"]
+MODULES = ["q_contracts", "q_measures", "q_education", "q_cleaning"]
 
 
 def load_all() -> None:

@@ -14,6 +14,7 @@ that lost executors half-way is simply rebuilt.
 from __future__ import annotations
 
 import hashlib
+import inspect
 import threading
 from collections.abc import Callable
 
@@ -28,9 +29,15 @@ _lock = threading.Lock()
 _known: dict[tuple[str, str, str], str] = {}
 
 
-def _key(sf_dir: str, name: str) -> str:
-    h = hashlib.sha1(f"{LAYOUT_VERSION}|{sf_dir.rstrip('/')}".encode()).hexdigest()[:16]
-    return f"tesela-layers/{h}/{name}"
+def _key(sf_dir: str, name: str, build: Callable) -> str:
+    """Layer folder: input folder + the builder's code, so a changed
+    builder never reads a layer written by an older one."""
+    try:
+        code = inspect.getsource(build)
+    except (OSError, TypeError):
+        code = getattr(build, "__qualname__", repr(build))
+    h = hashlib.sha1(f"{LAYOUT_VERSION}|{sf_dir.rstrip('/')}|{code}".encode()).hexdigest()[:16]
+    return f"tesela-layers/{name}-{h}"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -50,7 +57,7 @@ def materialize(spark: SparkSession, sf_dir: str, name: str,
     if spark.conf.get("tesela.materialize", "true").lower() != "true":
         return build(spark, sf_dir)
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/{_key(sf_dir, name)}"
+    path = f"{root}/{_key(sf_dir, name, build)}"
     ident = (spark.sparkContext.applicationId, path, name)
     with _lock:
         if ident not in _known:

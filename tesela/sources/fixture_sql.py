@@ -136,3 +136,36 @@ def with_views(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the named fixture views as CTEs."""
     ctes = ",\n".join(f"{n} as ({VIEWS[n]})" for n in names)
     return f"with {ctes}\n{sql}"
+
+RAW_EDUCATION = """
+with x as (
+select case when c_custkey % 7 = 0 then 'ATLANTICO' when c_custkey % 7 = 1 then ' san andrés '
+    when c_custkey % 7 = 2 then 'Cordoba' when c_custkey % 7 = 3 then 'VICHADA' when c_custkey % 7 = 4 then null
+    else n_name end as "Departamento",
+  cast(c_custkey as varchar) as "Código Institución",
+  case when c_custkey % 11 = 0 then 'nan' when c_custkey % 13 = 0 then 'None' else concat('  ', c_name, ' ') end as "Nombre Sede",
+  case when c_custkey % 17 = 0 then 'sin dato' else concat(' ', cast(cast(floor(c_acctbal) as bigint) as varchar)) end as "Matrícula Total",
+  cast(c_custkey % 40 as varchar) as "Num Docentes",
+  case when c_mktsegment in ('BUILDING', 'HOUSEHOLD') then 'URBANA' else 'RURAL' end as "Zona",
+  c_custkey as k
+from customer join nation on c_nationkey = n_nationkey)
+select * exclude (k) from x union all select * exclude (k) from x where k % 9 = 0
+"""
+
+RAW_SPIDER = """
+with x as (
+select case when o_orderkey % 13 = 0 then '' when o_orderkey % 19 = 0 then concat('-', cast(cast(floor(o_totalprice) as bigint) as varchar))
+    else concat('$ ', cast(cast(o_totalprice as decimal(12,2)) as varchar)) end as "Valor Contrato",
+  case when o_orderkey % 7 = 0 then strftime(o_orderdate, '%d/%m/%Y') else strftime(o_orderdate, '%Y-%m-%d') end as "Fecha-Inicio",
+  strftime(o_orderdate, '%Y-%m-%d') as "Fecha Firma",
+  concat('  ', upper(c_name), ' ') as "Nombre Entidad",
+  concat('Depto ', cast(c_nationkey as varchar)) as "Departamento",
+  o_orderpriority as "Objeto Contrato",
+  concat(' Prov ', cast(o_custkey % 13 as varchar)) as "Proveedor",
+  cast(year(o_orderdate) as varchar) as "Año",
+  o_orderkey as k
+from orders join customer on o_custkey = c_custkey)
+select * exclude (k) from x union all select * exclude (k) from x where k % 10 = 0
+"""
+
+VIEWS.update({"raw_education": RAW_EDUCATION, "raw_spider": RAW_SPIDER})

@@ -268,3 +268,66 @@ BUILDERS = {
     "edu_employment": edu_employment,
     "edu_establishments": edu_establishments,
 }
+
+
+def raw_education(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed education extract (source-style names, all text): one row
+    per customer, every ninth twice; departments in the spellings the
+    education map has to handle."""
+    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    nation = F.broadcast(read_table(spark, sf_dir, "nation", "n_nationkey", "n_name"))
+    x = cust.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("c_custkey")
+    dept = (F.when(k % 7 == 0, F.lit("ATLANTICO"))
+            .when(k % 7 == 1, F.lit(" san andrés "))
+            .when(k % 7 == 2, F.lit("Cordoba"))
+            .when(k % 7 == 3, F.lit("VICHADA"))
+            .when(k % 7 == 4, F.lit(None).cast("string"))
+            .otherwise(F.col("n_name")))
+    sede = (F.when(k % 11 == 0, F.lit("nan"))
+            .when(k % 13 == 0, F.lit("None"))
+            .otherwise(F.concat(F.lit("  "), F.col("c_name"), F.lit(" "))))
+    total = F.when(k % 17 == 0, F.lit("sin dato")).otherwise(
+        F.concat(F.lit(" "), F.floor("c_acctbal").cast("bigint").cast("string")))
+    zona = F.when(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD"), F.lit("URBANA")).otherwise(F.lit("RURAL"))
+    out = x.select(
+        dept.alias("Departamento"),
+        k.cast("string").alias("Código Institución"),
+        sede.alias("Nombre Sede"),
+        total.alias("Matrícula Total"),
+        (k % 40).cast("string").alias("Num Docentes"),
+        zona.alias("Zona"),
+        k.alias("_k"),
+    )
+    return out.unionByName(out.filter(F.col("_k") % 9 == 0)).drop("_k")
+
+
+def raw_spider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crawler's JSON records as columns (text): names with spaces and
+    hyphens, money with symbols, some dates day-first; every tenth order
+    twice."""
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
+                        "o_orderpriority")
+    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
+    x = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    k = F.col("o_orderkey")
+    valor = (F.when(k % 13 == 0, F.lit(""))
+             .when(k % 19 == 0, F.concat(F.lit("-"), F.floor("o_totalprice").cast("bigint").cast("string")))
+             .otherwise(F.concat(F.lit("$ "), F.col("o_totalprice").cast("decimal(12,2)").cast("string"))))
+    inicio = F.when(k % 7 == 0, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(
+        F.date_format("o_orderdate", "yyyy-MM-dd"))
+    out = x.select(
+        valor.alias("Valor Contrato"),
+        inicio.alias("Fecha-Inicio"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("Fecha Firma"),
+        F.concat(F.lit("  "), F.upper("c_name"), F.lit(" ")).alias("Nombre Entidad"),
+        F.concat(F.lit("Depto "), F.col("c_nationkey").cast("string")).alias("Departamento"),
+        F.col("o_orderpriority").alias("Objeto Contrato"),
+        F.concat(F.lit(" Prov "), (F.col("o_custkey") % 13).cast("string")).alias("Proveedor"),
+        F.year("o_orderdate").cast("string").alias("Año"),
+        k.alias("_k"),
+    )
+    return out.unionByName(out.filter(F.col("_k") % 10 == 0)).drop("_k")
+
+
+BUILDERS.update({"raw_education": raw_education, "raw_spider": raw_spider})
