@@ -31,7 +31,7 @@ def register(key: str, sql: str | None = None, headline: bool = False):
     return deco
 
 
-MODULES = ["q_contracts", "q_measures", "q_education", "q_cleaning", "q_functions", "q_documents"]
+MODULES = ["q_contracts", "q_measures", "q_education", "q_cleaning", "q_functions", "q_documents", "q_io"]
 
 
 def load_all() -> None:

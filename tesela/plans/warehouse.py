@@ -25,7 +25,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import fixtures
 
 LAYOUT_VERSION = "v1"
-_lock = threading.Lock()
+_lock = threading.RLock()
 _known: dict[tuple[str, str, str], str] = {}
 
 
@@ -70,6 +70,22 @@ def materialize(spark: SparkSession, sf_dir: str, name: str,
     return spark.read.parquet(path)
 
 
+def land(spark: SparkSession, sf_dir: str, name: str, write: Callable[[SparkSession, str, str], None]) -> str:
+    """Write landed files for ``name`` once (``write(spark, sf_dir, path)``)
+    and return their folder; a ``_DONE`` marker written last makes a
+    half-written landing be redone."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/{_key(sf_dir, name, write).replace('tesela-layers', 'tesela-landing')}"
+    ident = (spark.sparkContext.applicationId, path, name)
+    with _lock:
+        if ident not in _known:
+            if not _exists(spark, f"{path}/_DONE"):
+                write(spark, sf_dir, path)
+                spark.createDataFrame([], "x int").write.mode("overwrite").parquet(f"{path}/_DONE")
+            _known[ident] = path
+    return path
+
+
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract view, materialised; rows sorted by department and start
     date inside each file so Parquet min/max statistics prune row groups."""
