@@ -29,13 +29,29 @@ _lock = threading.RLock()
 _known: dict[tuple[str, str, str], str] = {}
 
 
+def _io_code() -> str:
+    """Digest of the reader/writer modules a landed layer depends on."""
+    from ..sources import landed, sinks
+
+    parts = []
+    for mod in (fixtures, landed, sinks):
+        try:
+            parts.append(inspect.getsource(mod))
+        except (OSError, TypeError):
+            parts.append(mod.__name__)
+    return hashlib.sha1("".join(parts).encode()).hexdigest()
+
+
+_IO_CODE = _io_code()
+
+
 def _key(sf_dir: str, name: str, build: Callable) -> str:
     """Layer folder: input folder + the builder's code, so a changed
     builder never reads a layer written by an older one."""
     try:
-        code = inspect.getsource(build)
+        code = inspect.getsource(build) + _IO_CODE
     except (OSError, TypeError):
-        code = getattr(build, "__qualname__", repr(build))
+        code = getattr(build, "__qualname__", repr(build)) + _IO_CODE
     h = hashlib.sha1(f"{LAYOUT_VERSION}|{sf_dir.rstrip('/')}|{code}".encode()).hexdigest()[:16]
     return f"tesela-layers/{name}-{h}"
 

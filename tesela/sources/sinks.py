@@ -17,12 +17,12 @@ LAYERS = ["raw", "staging", "clean", "marts"]
 
 
 def write_snapshot(df: DataFrame, root: str, snapshot_date: str, fmt: str = "parquet") -> str:
-    """SNK-01: dated raw snapshot as a ``snapshot_date=`` partition; a rerun
-    on the same day replaces only that day (dynamic partition overwrite)."""
-    (df.withColumn("snapshot_date", F.lit(snapshot_date))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snapshot_date").format(fmt).save(root))
-    return f"{root}/snapshot_date={snapshot_date}"
+    """SNK-01: dated raw snapshot as a ``snapshot_date=`` partition folder; a
+    rerun on the same day replaces that day only, even when the rerun has
+    no rows (a dynamic partition overwrite would keep the old day then)."""
+    path = f"{root}/snapshot_date={snapshot_date}"
+    df.drop("snapshot_date").write.mode("overwrite").format(fmt).save(path)
+    return path
 
 
 def write_clean_and_export(df: DataFrame, clean_path: str, export_path: str) -> DataFrame:
