@@ -43,6 +43,13 @@ def _io_code() -> str:
 
 
 _IO_CODE = _io_code()
+_RUN_TAG: dict[str, str] = {}
+
+
+def set_run_tag(tag: str) -> None:
+    """Namespace every layer and landing of this process under ``tag`` (the
+    bench uses a fresh tag so it times the builds instead of reusing them)."""
+    _RUN_TAG["tag"] = tag
 
 
 def _key(sf_dir: str, name: str, build: Callable) -> str:
@@ -52,7 +59,8 @@ def _key(sf_dir: str, name: str, build: Callable) -> str:
         code = inspect.getsource(build) + _IO_CODE
     except (OSError, TypeError):
         code = getattr(build, "__qualname__", repr(build)) + _IO_CODE
-    h = hashlib.sha1(f"{LAYOUT_VERSION}|{sf_dir.rstrip('/')}|{code}".encode()).hexdigest()[:16]
+    run = _RUN_TAG.get("tag", "")
+    h = hashlib.sha1(f"{LAYOUT_VERSION}|{run}|{sf_dir.rstrip('/')}|{code}".encode()).hexdigest()[:16]
     return f"tesela-layers/{name}-{h}"
 
 
