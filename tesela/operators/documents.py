@@ -145,20 +145,22 @@ def retrieve(table: DataFrame, questions: DataFrame, mentions: DataFrame, order:
     """
     cols = table.columns
     sort = [F.col(c).asc_nulls_first() for c in order]
-    wanted = mentions.groupBy("qid").agg(F.collect_set("name").alias("names"))
-    dep = F.lower(F.col(dept_col))
+    # The substring test only depends on the department value: match the
+    # distinct departments against the mentioned names (both small), then
+    # reach the rows with an equi-join on the department.
+    depts = table.select(F.col(dept_col).alias("_dep")).distinct()
+    names = F.broadcast(mentions.select(F.col("name").alias("_name")).distinct())
+    dep_names = depts.join(names, F.lower(F.col("_dep")).contains(F.col("_name")))
+    q_dep = (mentions.join(dep_names, mentions.name == dep_names._name)
+             .select("qid", F.col("_dep")).distinct())
     w = Window.partitionBy("qid").orderBy(*sort)
-    hits = None
-    for batch in _batches(wanted, "qid", max_broadcast_questions):
-        qs = F.broadcast(_as_one_row(batch, "_qs"))
-        matched = F.transform(F.filter("_qs", lambda q: F.exists(q["names"], lambda n: dep.contains(n))),
-                              lambda q: q["qid"])
-        part = (table.crossJoin(qs).select(*cols, F.explode(matched).alias("qid"))
-                .withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit))
-        hits = part if hits is None else hits.unionByName(part)
+    hits = (table.join(q_dep, table[dept_col] == q_dep._dep).select("qid", *cols)
+            .withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit))
     first = (table.orderBy(*sort).limit(limit)
              .withColumn("rn", F.row_number().over(Window.orderBy(*sort))))
-    answered = hits.select("qid").distinct()
+    # every (question, department) pair comes from a department present in
+    # the table, so it has at least one hit: no second pass over the hits
+    answered = q_dep.select("qid").distinct()
     fallback_q = questions.select("qid").join(answered, "qid", "left_anti")
     rows = F.broadcast(_as_one_row(first, "_rows"))
     fallback = (fallback_q.crossJoin(rows).select("qid", F.inline("_rows")))

@@ -8,7 +8,7 @@ from ..functions import vocab
 from ..operators import analysis, documents as D
 from ..sources import questions as Q
 from ..sources.tables import read_table
-from . import registry
+from . import q_measures, registry  # noqa: F401  (the insight oracle reuses measure SQL)
 from .q_contracts import master
 from .registry import register
 from .sqlclean import q
@@ -59,8 +59,10 @@ def q_rag_03(spark, d):
 
 
 def retrieved(spark, d):
-    qs = Q.questions(spark, d)
-    men = D.detect_mentions(qs, Q.vocabulary(spark, d))
+    # the question batch and its mentions are small and used several times:
+    # checkpoint them so the plan does not repeat their lineage
+    qs = Q.questions(spark, d).checkpoint()
+    men = D.detect_mentions(qs, Q.vocabulary(spark, d)).checkpoint()
     return qs, D.retrieve(master(spark, d), qs, men, MASTER_ORDER, 50)
 
 
