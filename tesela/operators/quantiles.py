@@ -5,16 +5,17 @@ and merges the maps of a global percentile in one task; with billions of
 distinct money values that task runs out of memory. This operator is exact
 and keeps every task bounded:
 
-1. one pass computes ``n`` and ``B - 1`` approximate quantile cut points
-   per group (``percentile_approx``: a mergeable sketch, bounded size);
+1. one pass computes ``B - 1`` approximate quantile cut points per group
+   (``percentile_approx``: a mergeable sketch of bounded size);
 2. every row gets a bucket by binary search over the cut points, a native
-   ``aggregate`` expression (``log2 B`` steps, no Python);
-3. values are counted per ``(group, bucket, value)`` (map-side partial
-   aggregation), bucket sizes are summed per ``(group, bucket)`` and turned
-   into cumulative offsets with a window per group over ``B`` rows;
-4. only the buckets that hold the target ranks ``floor(h)``/``ceil(h)``
-   (``h = p * (n - 1)``) are kept, and a running count inside each of those
-   buckets (about ``n / B`` rows) finds the two values to interpolate.
+   ``aggregate`` expression (``log2 B`` steps, no Python), and rows are
+   counted per ``(group, bucket, value)`` (map-side partial aggregation);
+   that table is checkpointed, the input is not read again;
+3. bucket sizes become cumulative offsets with a window per group over
+   ``B`` rows; the buckets holding the target ranks ``floor(h)`` and
+   ``ceil(h)`` (``h = p * (n - 1)``) are cut again the same way;
+4. a running count inside each target sub-bucket (about
+   ``distinct values / B**2`` rows) finds the two values to interpolate.
 
 The approximate cut points only steer balance; correctness never depends on
 them, because every bucket boundary is a strict ``<`` comparison applied to
@@ -26,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 DEFAULT_BUCKETS = 256
 APPROX_ACCURACY = 10000
 
@@ -63,55 +66,78 @@ def _join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> Da
     return la.join(rb, cond, how).select(*[F.col(f"_l.{c}") for c in a.columns], *rest)
 
 
+def _targets(n_per_group: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
+    """0-based ranks floor(h), ceil(h) of h = p * (n - 1) per group and p."""
+    rows = []
+    for name, p in probs.items():
+        h = F.lit(float(p)) * (F.col("_n") - 1)
+        frac = h - F.floor(h)
+        rows.append(F.struct(F.lit(name).alias("q"), F.lit("lo").alias("side"),
+                             F.floor(h).cast("long").alias("r"), frac.alias("frac")))
+        rows.append(F.struct(F.lit(name).alias("q"), F.lit("hi").alias("side"),
+                             F.ceil(h).cast("long").alias("r"), frac.alias("frac")))
+    return n_per_group.select(*group, F.explode(F.array(*rows)).alias("t")).select(*group, "t.*")
+
+
 def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[str] | None = None,
                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` for each named
     ``p``, per ``group`` (or globally), as DOUBLE columns.
 
-    Nulls are ignored; a group with no values gives nulls.
+    Two passes read the input: one for the level-1 cut points, one that
+    counts rows per ``(group, bucket, value)``; that table of distinct
+    values is checkpointed and everything after works on it. Level 2 cuts
+    only the buckets holding target ranks again (cut points over distinct
+    values), so the final running count runs over about
+    ``distinct values / buckets**2`` rows per target. Nulls are ignored; a
+    group with no values gives nulls.
     """
     group = list(group or [])
     names = list(probs)
-    v = F.col(value).cast("double")
-    base = df.select(*[F.col(g) for g in group], v.alias("_v")).filter(F.col("_v").isNotNull())
-
+    base = df.select(*[F.col(g) for g in group], F.col(value).cast("double").alias("_v")) \
+        .filter(F.col("_v").isNotNull())
     fracs = [i / buckets for i in range(1, buckets)]
-    stats = base.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY)).alias("_cuts"),
-    )
     steps = max(1, (buckets - 1).bit_length() + 1)
-    if group:
-        tagged = _join(base, stats, group)
-    else:
-        tagged = base.crossJoin(F.broadcast(stats))  # one row
-    tagged = tagged.withColumn("_b", _bucket_of(F.col("_v"), F.col("_cuts"), steps))
-
-    counts = tagged.groupBy(*group, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    sizes = counts.groupBy(*group, "_b").agg(F.sum("_c").alias("_bc"))
-    wg = Window.partitionBy(*group).orderBy("_b") if group else Window.orderBy("_b")
-    sizes = sizes.withColumn("_before", F.sum("_bc").over(wg) - F.col("_bc"))
-
-    # target ranks (0-based) per probability: floor and ceil of p * (n - 1)
-    targets = []
-    for name in names:
-        p = float(probs[name])
-        h = F.lit(p) * (F.col("_n") - 1)
-        targets.append(F.struct(F.lit(name).alias("q"), F.lit("lo").alias("side"),
-                                F.floor(h).cast("long").alias("r"), (h - F.floor(h)).alias("frac")))
-        targets.append(F.struct(F.lit(name).alias("q"), F.lit("hi").alias("side"),
-                                F.ceil(h).cast("long").alias("r"), (h - F.floor(h)).alias("frac")))
-    want = stats.select(*group, F.explode(F.array(*targets)).alias("t")).select(*group, "t.*")
-    # which bucket holds rank r: _before <= r < _before + _bc
-    located = _join(want, sizes, group).filter((F.col("_before") <= F.col("r")) &
-                                              (F.col("r") < F.col("_before") + F.col("_bc")))
-    hit_buckets = located.select(*group, "_b").distinct()
-    inside = _join(counts, hit_buckets, [*group, "_b"])
-    wb = Window.partitionBy(*group, "_b").orderBy("_v")
-    inside = inside.withColumn("_upto", F.sum("_c").over(wb))
-    picked = (_join(located, inside.drop(*[c for c in ("r",) if c in inside.columns]), [*group, "_b"])
-              .filter((F.col("_upto") - F.col("_c") <= F.col("r") - F.col("_before")) &
-                      (F.col("r") - F.col("_before") < F.col("_upto")))
+
+    # level 1: approximate cut points, exact counts per distinct value
+    cuts1 = base.groupBy(*group).agg(F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY))
+                                     .alias("_cuts1"))
+    tagged = _join(base, cuts1, group) if group else base.crossJoin(F.broadcast(cuts1))
+    counts = (tagged.withColumn("_b1", _bucket_of(F.col("_v"), F.col("_cuts1"), steps))
+              .groupBy(*group, "_b1", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = counts.checkpoint(eager=True)
+
+    sizes1 = counts.groupBy(*group, "_b1").agg(F.sum("_c").alias("_bc1"))
+    w1 = Window.partitionBy(*group).orderBy("_b1") if group else Window.orderBy("_b1")
+    sizes1 = sizes1.withColumn("_before1", F.sum("_bc1").over(w1) - F.col("_bc1"))
+    n = sizes1.groupBy(*group).agg(F.sum("_bc1").alias("_n"))
+    want = _targets(n, group, probs)
+    loc1 = _join(want, sizes1, group).filter(
+        (F.col("_before1") <= F.col("r")) & (F.col("r") < F.col("_before1") + F.col("_bc1"))).drop("_bc1")
+
+    # level 2: re-cut only the buckets that hold a target rank
+    hit1 = loc1.select(*group, "_b1").distinct()
+    sub = _join(counts, hit1, [*group, "_b1"])
+    cuts2 = sub.groupBy(*group, "_b1").agg(F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY))
+                                           .alias("_cuts2"))
+    sub2 = (_join(sub, cuts2, [*group, "_b1"])
+            .withColumn("_b2", _bucket_of(F.col("_v"), F.col("_cuts2"), steps)).drop("_cuts2"))
+    sizes2 = sub2.groupBy(*group, "_b1", "_b2").agg(F.sum("_c").alias("_bc2"))
+    w2 = Window.partitionBy(*group, "_b1").orderBy("_b2")
+    sizes2 = sizes2.withColumn("_before2", F.sum("_bc2").over(w2) - F.col("_bc2"))
+    loc2 = _join(loc1, sizes2, [*group, "_b1"]).withColumn("_off", F.col("_before1") + F.col("_before2")).filter(
+        (F.col("_off") <= F.col("r")) & (F.col("r") < F.col("_off") + F.col("_bc2")))
+
+    # leaf: running count over the distinct values of each target sub-bucket
+    hit2 = loc2.select(*group, "_b1", "_b2").distinct()
+    leaf = _join(sub2, hit2, [*group, "_b1", "_b2"])
+    wl = Window.partitionBy(*group, "_b1", "_b2").orderBy("_v")
+    leaf = leaf.withColumn("_upto", F.sum("_c").over(wl))
+    picked = (_join(loc2.select(*group, "_b1", "_b2", "q", "side", "r", "frac", "_off"),
+                    leaf.select(*group, "_b1", "_b2", "_v", "_c", "_upto"), [*group, "_b1", "_b2"])
+              .filter((F.col("_off") + F.col("_upto") - F.col("_c") <= F.col("r")) &
+                      (F.col("r") < F.col("_off") + F.col("_upto")))
               .select(*group, "q", "side", "frac", "_v"))
     lo = picked.filter(F.col("side") == "lo").select(*group, "q", "frac", F.col("_v").alias("_lo"))
     hi = picked.filter(F.col("side") == "hi").select(*group, "q", F.col("_v").alias("_hi"))
@@ -123,6 +149,6 @@ def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[
         wide = _join(keys, wide, group, how="left")
     else:
         # one row even for empty input, like the SQL aggregate
-        one = stats.select(F.lit(1).alias("_k"))
+        one = df.sparkSession.range(1).select(F.lit(1).alias("_k"))
         wide = one.join(wide.withColumn("_k", F.lit(1)), on="_k", how="left")
     return wide.select(*group, *[F.col(n) for n in names])
