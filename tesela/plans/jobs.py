@@ -212,20 +212,23 @@ def consolidate_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
         r = rename_source(df, renames, origin)
         if key == "secop_i":
             r = synthesize_uid(r)
-        parts.append(align(r))
+        a = align(r)
+        # value per source before the union: text is parsed with the money
+        # rule, an already numeric (cleaned) value is kept as is; every
+        # other column is text, so sources of mixed types union cleanly
+        vtype = dict(a.dtypes)["valor_contrato"]
+        value = (C.clean_money("valor_contrato") if vtype == "string"
+                 else F.coalesce(F.col("valor_contrato").cast("double"), F.lit(0.0)))
+        parts.append(a.select(*[(value if c == "valor_contrato" else F.col(c).cast("string")).alias(c)
+                                for c in a.columns]))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    types = dict(u.dtypes)
     cleaned = {c: F.col(c) for c in u.columns}
     for c in CONSOLIDATED_TEXT:
         cleaned[c] = C.normalize_text(cleaned[c])
     cleaned["departamento"] = C.canonical_department(cleaned["departamento"], blank="")
     cleaned["nit_entidad"] = C.clean_nit(cleaned["nit_entidad"], empty="")
-    if types["valor_contrato"] == "string":
-        cleaned["valor_contrato"] = C.clean_money(cleaned["valor_contrato"])
-    else:
-        cleaned["valor_contrato"] = F.coalesce(cleaned["valor_contrato"].cast("double"), F.lit(0.0))
     for c in CONSOLIDATED_NOT_DEFINED:
         cleaned[c] = C.not_defined(cleaned[c])
     return u.select(*[cleaned[c].alias(c) for c in u.columns])

@@ -240,3 +240,94 @@ def q_snk_08(spark, d):
         sinks.export_csv(marts.resumen_departamento(master(s, dd)), path)
     root = warehouse.land(spark, d, "mart_csv", write)
     return spark.read.option("header", True).schema(mart.schema).csv(root)
+
+
+# ------------------------------------------------------------------ SRC-02 (education pager)
+def land_event_pages_5000(spark, d, path):
+    ev = read_table(spark, d, "events", *EVENT_COLS)
+    idx = dense_index(ev, [F.col("event_id").asc(), *[F.col(c).asc_nulls_first() for c in EVENT_COLS[1:]]], "_i")
+    paged = idx.withColumn("offset", (F.floor(F.col("_i") / landed.EDUCATION_PAGE) * landed.EDUCATION_PAGE)
+                           .cast("long")).drop("_i")
+    paged.write.mode("overwrite").partitionBy("offset").options(**landed.JSON_TIME_OPTIONS).json(path)
+
+
+@register("src_02_ingesta_paginada_educacion", f"""
+with e as (select {', '.join(EVENT_COLS)},
+  ((row_number() over (order by event_id) - 1) // {landed.EDUCATION_PAGE}) * {landed.EDUCATION_PAGE} as page_offset
+  from events)
+select * from e where page_offset < {landed.EDUCATION_MAX_ROWS}""")
+def q_src_02(spark, d):
+    root = warehouse.land(spark, d, "event_pages_5000", land_event_pages_5000)
+    return (landed.read_pages(spark, root, event_schema(spark, d), landed.EDUCATION_PAGE, landed.EDUCATION_MAX_ROWS)
+            .withColumnRenamed("offset", "page_offset"))
+
+
+# ------------------------------------------------------------------ SNK-03 / SNK-06 / SNK-07 / SRC-10 / SRC-11
+def _db_location(spark, d):
+    return warehouse.land(spark, d, "warehouse_dbs", lambda s, dd, p: None)
+
+
+@register("snk_03_parquet", ORACLE["job_03_limpieza_variante_spark"])
+def q_snk_03(spark, d):
+    def write(s, dd, path):
+        sinks.write_parquet(jobs.clean_contracts_spark_variant(warehouse.layer(s, dd, "raw_spider")), path)
+    return spark.read.parquet(warehouse.land(spark, d, "spark_variant_parquet", write))
+
+
+@register("snk_06_carga_tabla", ORACLE["src_07_csv_pandas"])
+def q_snk_06(spark, d):
+    sinks.init_schemas(spark, ["raw"], location=_db_location(spark, d))
+    root = warehouse.land(spark, d, "raw_contracts_csv", land_raw_contracts_csv)
+    name = sinks.load_as_table(landed.read_csv_text(spark, root), "contratos_crudos", "raw")
+    return spark.table(name)
+
+
+@register("src_10_tabla_con_limite", on_master("""
+, r as (select coalesce(departamento, 'Sin info') as depto, count(*) as num_contratos,
+  sum(valor_contrato) as valor_total from master group by 1)
+select * from r order by depto, num_contratos, valor_total limit 5"""))
+def q_src_10(spark, d):
+    sinks.init_schemas(spark, ["marts"], location=_db_location(spark, d))
+    r = marts.resumen_departamento(master(spark, d)).select("depto", "num_contratos", "valor_total")
+    sinks.rebuild_table(r, "marts.resumen_departamento_limite")  # SNK-07
+    return landed.read_table(spark, "resumen_departamento_limite", "marts", limit=5)
+
+
+def land_catalog_csv(spark, d, path):
+    m = master(spark, d)
+    cat = (m.groupBy(F.col("nombre_entidad").alias("organizacion"))
+           .agg(F.count(F.lit(1)).alias("cantidad_datasets"),
+                F.max("fecha_inicio").cast("string").alias("ultima_actualizacion"),
+                F.min("sector").alias("sector")))
+    cat.write.mode("overwrite").option("header", True).csv(path)
+
+
+@register("src_11_catalogo_manual", on_master("""
+select nombre_entidad as organizacion, cast(count(*) as varchar) as cantidad_datasets,
+  cast(max(fecha_inicio) as varchar) as ultima_actualizacion, min(sector) as sector
+from master group by 1"""))
+def q_src_11(spark, d):
+    sinks.init_schemas(spark, ["raw"], location=_db_location(spark, d))
+    root = warehouse.land(spark, d, "catalog_csv", land_catalog_csv)
+    return landed.load_catalog_csv(spark, root, "raw.catalogo")
+
+
+# ------------------------------------------------------------------ JOB-05
+def land_raw_sources_csv(spark, d, path):
+    from ..sources import fixtures
+    for name, df in fixtures.raw_sources(spark, d).items():
+        (df.write.mode("overwrite").option("header", True).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/{name}"))
+
+
+@register("job_05_pipeline_completo")
+def q_job_05(spark, d):
+    from . import pipeline
+    src = warehouse.land(spark, d, "raw_sources_csv", land_raw_sources_csv)
+    landing = {ds: f"{src}/{ds}" for ds in ["secop_i", "secop_ii", "secop_integrado"]}
+
+    def run_all(s, dd, path):
+        pipeline.run(s, "all", landing, path, master_source=warehouse.contracts(s, dd)) \
+            .write.mode("overwrite").parquet(f"{path}/_report")
+    root = warehouse.land(spark, d, "pipeline_run", run_all)
+    return spark.read.parquet(f"{root}/_report")

@@ -57,17 +57,28 @@ def init_schemas(spark: SparkSession, names: Sequence[str] = LAYERS, location: s
     return list(names)
 
 
+def _save_table(df: DataFrame, name: str) -> str:
+    """Replace a table's contents. The table lives in its database's
+    folder as an explicit path, so a rerun (or a new session of an
+    in-memory catalog) overwrites the folder instead of failing on it."""
+    spark = df.sparkSession
+    db, _, table = name.rpartition(".")
+    writer = df.write.mode("overwrite").format("parquet")
+    if db and spark.catalog.databaseExists(db):
+        loc = spark.catalog.getDatabase(db).locationUri.rstrip("/")
+        writer = writer.option("path", f"{loc}/{table}")
+    writer.saveAsTable(name)
+    return name
+
+
 def load_as_table(df: DataFrame, stem: str, schema: str = "raw") -> str:
     """SNK-06: replace-load a table named after the file stem."""
-    name = f"{schema}.{stem}"
-    df.write.mode("overwrite").saveAsTable(name)
-    return name
+    return _save_table(df, f"{schema}.{stem}")
 
 
 def rebuild_table(df: DataFrame, name: str) -> str:
     """SNK-07: ``DROP TABLE IF EXISTS`` + ``CREATE TABLE AS``."""
-    df.write.mode("overwrite").saveAsTable(name)
-    return name
+    return _save_table(df, name)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
