@@ -6,13 +6,16 @@ aggregate:
 
 - mention detection is a broadcast theta join against the department
   vocabulary (a fixed, bounded list);
-- retrieval is a theta join of the table against the (bounded, batched)
-  question set followed by ``row_number() <= 50`` per question, which Spark
-  plans as a window group limit: each task keeps its own first 50 rows per
-  question before the shuffle, so a department holding a third of the
-  table never lands in one task;
+- retrieval matches the distinct departments of the table against the
+  mentioned names (small x bounded), then reaches the rows with an
+  equi-join on the department, followed by ``row_number() <= 50`` per
+  question, which Spark plans as a window group limit: each task keeps its
+  own first 50 rows per question before the shuffle, so a department
+  holding a third of the table never lands in one task;
 - the fallback rows are one distributed top-50 (``TakeOrderedAndProject``)
-  crossed with the questions that found nothing.
+  folded into one broadcast row for the questions that found nothing;
+- similarity search scores the corpus against counted, bounded batches of
+  query vectors travelling as one broadcast row each.
 """
 
 from __future__ import annotations
