@@ -104,8 +104,20 @@ _GATE = ("valor_contrato > 0 and nombre_entidad != 'No Definido' and nit_entidad
          "and departamento != 'No Definido'")
 
 
+def build_consolidated_pre_gate(spark, d):
+    return jobs.consolidate_sources(fixtures.raw_sources(spark, d))
+
+
+def consolidated_pre_gate(spark, d):
+    """The aligned, cleaned union before the gate, written once: the gate,
+    its counts and the origin breakdown all read it (the reference writes
+    its consolidated file too), and the cleaning expressions are evaluated
+    once instead of again inside every pushed-down gate predicate."""
+    return warehouse.materialize(spark, d, "consolidated_pre_gate", build_consolidated_pre_gate)
+
+
 def consolidated(spark, d):
-    return jobs.consolidate(fixtures.raw_sources(spark, d))
+    return filters.quality_gate(consolidated_pre_gate(spark, d))
 
 
 @register("job_04_consolidacion", f"{_consolidated_cte()}\nselect * from c where {_GATE}", headline=True)
@@ -125,7 +137,7 @@ union all select 4, 'departamento_no_definido', cast(sum(case when p1 and p2 and
 
 @register("flt_03_conteos_filtro_calidad", f"{_consolidated_cte()}{_GATE_COUNTS}")
 def q_flt_03(spark, d):
-    return filters.gate_counts(jobs.consolidate_sources(fixtures.raw_sources(spark, d)))
+    return filters.gate_counts(consolidated_pre_gate(spark, d))
 
 
 @register("qry_47_por_origen_consolidado",

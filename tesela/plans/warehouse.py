@@ -30,16 +30,16 @@ _known: dict[tuple[str, str, str], str] = {}
 
 
 def _io_code() -> str:
-    """Digest of the reader/writer modules a landed layer depends on."""
-    from ..sources import landed, sinks
+    """Digest of the package's source: a layer written by other code (other
+    cleaning rules, other readers) is never reused."""
+    import pathlib
 
-    parts = []
-    for mod in (fixtures, landed, sinks):
-        try:
-            parts.append(inspect.getsource(mod))
-        except (OSError, TypeError):
-            parts.append(mod.__name__)
-    return hashlib.sha1("".join(parts).encode()).hexdigest()
+    pkg = pathlib.Path(__file__).resolve().parent.parent
+    h = hashlib.sha1()
+    for f in sorted(pkg.rglob("*.py")):
+        h.update(f.relative_to(pkg).as_posix().encode())
+        h.update(f.read_bytes())
+    return h.hexdigest()
 
 
 _IO_CODE = _io_code()
@@ -92,6 +92,10 @@ def materialize(spark: SparkSession, sf_dir: str, name: str,
                     # split a hot department over many files), sort inside:
                     # files and row groups carry tight min/max statistics
                     df = df.repartitionByRange(*sort_within).sortWithinPartitions(*sort_within)
+                else:
+                    # no useful key: spread rows evenly (round robin is
+                    # skew-free) so readers get one task per file
+                    df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
                 df.write.mode("overwrite").parquet(path)
             _known[ident] = path
     return spark.read.parquet(path)
