@@ -7,8 +7,8 @@ and keeps every task bounded:
 
 1. one pass computes ``B - 1`` approximate quantile cut points per group
    (``percentile_approx``: a mergeable sketch of bounded size);
-2. every row gets a bucket by binary search over the cut points, a native
-   ``aggregate`` expression (``log2 B`` steps, no Python), and rows are
+2. every row gets a bucket by binary search over the cut points (``log2 B``
+   plain comparison projections, generated code, no Python), and rows are
    counted per ``(group, bucket, value)`` (map-side partial aggregation);
    that table is checkpointed, the input is not read again;
 3. bucket sizes become cumulative offsets with a window per group over
@@ -20,10 +20,17 @@ and keeps every task bounded:
 The approximate cut points only steer balance; correctness never depends on
 them, because every bucket boundary is a strict ``<`` comparison applied to
 all rows alike.
+
+A global percentile (no group) takes a cheaper route, ``_global_percentiles``:
+the same refinement, but each level only moves bounded summaries (``B - 1``
+cut points and ``B`` bucket counts) and re-reads the input with a literal
+range filter, so no shuffle or checkpoint grows with the data.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,23 +40,32 @@ DEFAULT_BUCKETS = 256
 APPROX_ACCURACY = 10000
 
 
-def _bucket_of(v: Column, cuts: Column, steps: int) -> Column:
-    """Number of cut points strictly below ``v`` (binary search)."""
-    m = F.size(cuts)
-    init = F.struct(F.lit(0).alias("lo"), m.alias("hi"))
+def _pad_width(buckets: int) -> int:
+    """Cut-point array width: the smallest ``2**k - 1`` holding ``buckets - 1``."""
+    return (1 << max(1, (buckets - 1).bit_length())) - 1
+
+
+def _padded(cuts: Column, width: int) -> Column:
+    """Sorted cut points padded with +inf to exactly ``width`` entries, so
+    every probe of the fixed-step search is in bounds."""
+    return F.concat(cuts, F.array_repeat(F.lit(float("inf")), F.lit(width) - F.size(cuts)))
+
 
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        below = F.element_at(cuts, mid + 1) < v
-        go_right = (lo < hi) & below
-        go_left = (lo < hi) & ~below
-        return F.struct(
-            F.when(go_right, mid + 1).otherwise(lo).alias("lo"),
-            F.when(go_left, mid).otherwise(hi).alias("hi"),
-        )
+def _with_bucket(df: DataFrame, v: str, cuts: str, out: str, width: int) -> DataFrame:
+    """Add ``out`` = number of cut points strictly below ``v``.
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+    ``cuts`` is sorted and padded to ``width = 2**k - 1``. The search is
+    ``k`` plain projections ``lo += s * (cuts[lo + s] < v)`` with halving
+    ``s``: ordinary comparison expressions that stay in generated code
+    (a lambda-based loop would be interpreted per row).
+    """
+    df = df.withColumn(out, F.lit(0))
+    step = (width + 1) // 2
+    while step >= 1:
+        probe = F.element_at(F.col(cuts), F.col(out) + step) < F.col(v)
+        df = df.withColumn(out, F.col(out) + F.when(probe, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return df
 
 
 def _join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -96,15 +112,16 @@ def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[
     names = list(probs)
     base = df.select(*[F.col(g) for g in group], F.col(value).cast("double").alias("_v")) \
         .filter(F.col("_v").isNotNull())
+    if not group:
+        return _global_percentiles(df.sparkSession, base, names, probs, buckets)
     fracs = [i / buckets for i in range(1, buckets)]
-    steps = max(1, (buckets - 1).bit_length() + 1)
+    width = _pad_width(buckets)
 
     # level 1: approximate cut points, exact counts per distinct value
-    cuts1 = base.groupBy(*group).agg(F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY))
-                                     .alias("_cuts1"))
-    tagged = _join(base, cuts1, group) if group else base.crossJoin(F.broadcast(cuts1))
-    counts = (tagged.withColumn("_b1", _bucket_of(F.col("_v"), F.col("_cuts1"), steps))
-              .groupBy(*group, "_b1", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    cuts1 = base.groupBy(*group).agg(
+        _padded(F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY)), width).alias("_cuts1"))
+    tagged = _with_bucket(_join(base, cuts1, group), "_v", "_cuts1", "_b1", width)
+    counts = tagged.groupBy(*group, "_b1", "_v").agg(F.count(F.lit(1)).alias("_c"))
     ensure_checkpoint_dir(df.sparkSession)
     counts = counts.checkpoint(eager=True)
 
@@ -119,10 +136,9 @@ def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[
     # level 2: re-cut only the buckets that hold a target rank
     hit1 = loc1.select(*group, "_b1").distinct()
     sub = _join(counts, hit1, [*group, "_b1"])
-    cuts2 = sub.groupBy(*group, "_b1").agg(F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY))
-                                           .alias("_cuts2"))
-    sub2 = (_join(sub, cuts2, [*group, "_b1"])
-            .withColumn("_b2", _bucket_of(F.col("_v"), F.col("_cuts2"), steps)).drop("_cuts2"))
+    cuts2 = sub.groupBy(*group, "_b1").agg(
+        _padded(F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY)), width).alias("_cuts2"))
+    sub2 = _with_bucket(_join(sub, cuts2, [*group, "_b1"]), "_v", "_cuts2", "_b2", width).drop("_cuts2")
     sizes2 = sub2.groupBy(*group, "_b1", "_b2").agg(F.sum("_c").alias("_bc2"))
     w2 = Window.partitionBy(*group, "_b1").orderBy("_b2")
     sizes2 = sizes2.withColumn("_before2", F.sum("_bc2").over(w2) - F.col("_bc2"))
@@ -144,11 +160,134 @@ def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[
     vals = _join(lo, hi, [*group, "q"]).select(
         *group, "q", (F.col("_lo") + F.col("frac") * (F.col("_hi") - F.col("_lo"))).alias("_x"))
     wide = vals.groupBy(*group).pivot("q", names).agg(F.first("_x"))
-    if group:
-        keys = df.select(*group).distinct()
-        wide = _join(keys, wide, group, how="left")
-    else:
-        # one row even for empty input, like the SQL aggregate
-        one = df.sparkSession.range(1).select(F.lit(1).alias("_k"))
-        wide = one.join(wide.withColumn("_k", F.lit(1)), on="_k", how="left")
+    keys = df.select(*group).distinct()
+    wide = _join(keys, wide, group, how="left")
     return wide.select(*group, *[F.col(n) for n in names])
+
+
+# Rows at or below which a target interval is resolved by counting its
+# distinct values directly (one window partition per target interval).
+LEAF_ROWS = 1 << 20
+MAX_LEVELS = 8
+
+
+def _in_interval(v: Column, lo: float | None, hi: float | None) -> Column:
+    """``lo < v <= hi`` with open ends as None."""
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (v > F.lit(lo))
+    if hi is not None:
+        cond = cond & (v <= F.lit(hi))
+    return cond
+
+
+def _interval_id(v: Column, intervals: list[tuple]) -> Column:
+    """Index of the (disjoint) interval holding ``v``, null when none."""
+    out = None
+    for i, (lo, hi) in enumerate(intervals):
+        c = _in_interval(v, lo, hi)
+        out = F.when(c, F.lit(i)) if out is None else out.when(c, F.lit(i))
+    return out
+
+
+def _global_percentiles(spark, base: DataFrame, names: list[str], probs: dict[str, float],
+                        buckets: int) -> DataFrame:
+    """Global ``PERCENTILE_CONT`` by histogram refinement.
+
+    Every step is one scan with a map-side aggregate whose result is bounded
+    by the bucket count, never by the data: the row count and ``buckets - 1``
+    approximate cut points, then the row count per bucket (a binary search
+    over a literal array). The buckets holding the target ranks become value
+    intervals ``(lo, hi]`` with a known number of rows before them; an
+    interval above ``LEAF_ROWS`` is cut again the same way (its scan is a
+    literal range filter). A small interval is resolved exactly: rows are
+    counted per distinct value (a hot value collapses to one row) and a
+    running count per interval finds the values at the target ranks.
+    """
+    fracs = [i / buckets for i in range(1, buckets)]
+    width = _pad_width(buckets)
+    v = F.col("_v")
+    row = base.agg(F.count(F.lit(1)).alias("n"),
+                   F.percentile_approx("_v", fracs, APPROX_ACCURACY).alias("cuts")).first()
+    n = int(row["n"])
+    schema = ", ".join(f"`{name}` double" for name in names)
+    if n == 0:
+        return spark.createDataFrame([tuple(None for _ in names)], schema)
+
+    # target ranks (0-based) of h = p * (n - 1)
+    wanted = {}
+    for name in names:
+        h = float(probs[name]) * (n - 1)
+        wanted[name] = (math.floor(h), math.ceil(h), h - math.floor(h))
+    ranks = sorted({r for lo_r, hi_r, _ in wanted.values() for r in (lo_r, hi_r)})
+
+    # state: rank -> (lo, hi, rows before the interval, rows in it)
+    where = {r: (None, None, 0, n) for r in ranks}
+    cuts_of = {(None, None): sorted(set(row["cuts"] or []))}
+    stuck: set[int] = set()  # ranks whose interval a cut no longer narrows (few distinct values)
+    for _ in range(MAX_LEVELS):
+        refine = [r for r, (_, _, _, size) in where.items() if size > LEAF_ROWS and r not in stuck]
+        open_iv = sorted({where[r][:2] for r in refine}, key=lambda t: (t[0] is not None, t[0] or 0.0))
+        if not open_iv:
+            break
+        missing = [iv for iv in open_iv if iv not in cuts_of]
+        if missing:
+            got = (base.filter(_interval_id(v, missing).isNotNull())
+                   .groupBy(_interval_id(v, missing).alias("t"))
+                   .agg(F.percentile_approx("_v", fracs, APPROX_ACCURACY).alias("cuts")).collect())
+            for r in got:
+                cuts_of[missing[r["t"]]] = sorted(set(r["cuts"]))
+        arrays = None
+        for i, iv in enumerate(open_iv):
+            padded = cuts_of.get(iv, [])
+            padded = padded + [float("inf")] * (width - len(padded))
+            arr = F.array(*[F.lit(float(c)) for c in padded])
+            arrays = F.when(F.col("_t") == i, arr) if arrays is None else arrays.when(F.col("_t") == i, arr)
+        tid = _interval_id(v, open_iv)
+        tagged = base.select("_v", tid.alias("_t")).filter(F.col("_t").isNotNull()).withColumn("_cuts", arrays)
+        counts = (_with_bucket(tagged, "_v", "_cuts", "_b", width)
+                  .groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("c")).collect())
+        per = {}
+        for r in counts:
+            per.setdefault(r["_t"], {})[r["_b"]] = int(r["c"])
+        for r in refine:
+            lo, hi, before, size = where[r]
+            i = open_iv.index((lo, hi))
+            cuts = cuts_of.get((lo, hi), [])
+            off = before
+            for b in range(len(cuts) + 1):
+                c = per.get(i, {}).get(b, 0)
+                if off <= r < off + c:
+                    nlo = lo if b == 0 else cuts[b - 1]
+                    nhi = hi if b == len(cuts) else cuts[b]
+                    if c == size:
+                        stuck.add(r)
+                    where[r] = (nlo, nhi, off, c)
+                    break
+                off += c
+
+    # leaf: running count over the distinct values of each target interval
+    leaf_iv = sorted({(lo, hi) for lo, hi, _, _ in where.values()},
+                     key=lambda t: (t[0] is not None, t[0] or 0.0))
+    tid = _interval_id(v, leaf_iv)
+    per_value = (base.select("_v", tid.alias("_t")).filter(F.col("_t").isNotNull())
+                 .groupBy("_t", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    upto = F.sum("_c").over(Window.partitionBy("_t").orderBy("_v"))
+    hit = None
+    for r, (lo, hi, before, _) in where.items():
+        rel = r - before
+        c = (F.col("_t") == leaf_iv.index((lo, hi))) & (F.col("_upto") - F.col("_c") <= rel) & (F.lit(rel) < F.col("_upto"))
+        hit = c if hit is None else hit | c
+    picked = per_value.withColumn("_upto", upto).filter(hit).select("_t", "_v", "_c", "_upto").collect()
+    value_at = {}
+    for r, (lo, hi, before, _) in where.items():
+        t, rel = leaf_iv.index((lo, hi)), r - before
+        for p in picked:
+            if p["_t"] == t and p["_upto"] - p["_c"] <= rel < p["_upto"]:
+                value_at[r] = float(p["_v"])
+    out = []
+    for name in names:
+        lo_r, hi_r, frac = wanted[name]
+        a, b = value_at[lo_r], value_at[hi_r]
+        out.append(a + frac * (b - a))
+    return spark.createDataFrame([tuple(out)], schema)

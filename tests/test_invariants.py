@@ -59,6 +59,23 @@ def test_percentiles_match_numpy(spark):
     assert abs(glob - np.quantile(np.array([v for _, v in vals]), 0.5)) < 1e-6
 
 
+def test_global_percentiles_refine_levels(spark, monkeypatch):
+    """Force several refinement levels (tiny leaf) with a hot value holding
+    a third of the rows; compare with numpy's linear interpolation."""
+    from tesela.operators import quantiles
+    monkeypatch.setattr(quantiles, "LEAF_ROWS", 40)
+    rng = np.random.default_rng(11)
+    xs = list(rng.normal(0, 1000, 4000)) + [12.5] * 2000 + list(rng.integers(-50, 50, 500).astype(float))
+    df = spark.createDataFrame([(float(x),) for x in xs], "v double").repartition(5)
+    probs = {"p0": 0.0, "p01": 0.01, "p33": 0.33, "p50": 0.5, "p77": 0.777, "p100": 1.0}
+    got = percentiles(df, "v", probs, buckets=8).first()
+    for name, p in probs.items():
+        want = np.quantile(np.array(xs), p)
+        assert abs(got[name] - want) <= 1e-9 * max(1.0, abs(want)), (name, got[name], want)
+    empty = percentiles(df.filter("v > 1e12"), "v", {"med": 0.5}).collect()
+    assert len(empty) == 1 and empty[0]["med"] is None
+
+
 def test_top_n_with_ties_equals_rank(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate([5, 5, 4, 4, 4, 3, 2, 2, 1])], "k int, v int")
     got = sorted(r["k"] for r in top_n_with_ties(df, 3, "v").collect())
