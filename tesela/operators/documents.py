@@ -26,10 +26,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
+from ..session import ensure_checkpoint_dir
 from .indexing import dense_index
 
 SEP = " | "
 MAX_BROADCAST_QUESTIONS = 5000
+# (question, department) pairs broadcast to the table scan at most; above
+# this the retrieval join shuffles both sides instead.
+MAX_BROADCAST_PAIRS = 200_000
 
 
 # ------------------------------------------------------------------ RAG-01
@@ -135,16 +139,17 @@ def _as_one_row(df: DataFrame, alias: str) -> DataFrame:
 
 def retrieve(table: DataFrame, questions: DataFrame, mentions: DataFrame, order: Sequence[str],
              limit: int = 50, dept_col: str = "departamento",
-             max_broadcast_questions: int = MAX_BROADCAST_QUESTIONS) -> DataFrame:
+             max_broadcast_pairs: int = MAX_BROADCAST_PAIRS) -> DataFrame:
     """RAG-04: per question, the first ``limit`` rows (in ``order``) whose
     department contains any mentioned name (``ILIKE '%name%'``); questions
     without mentions or without hits get the first ``limit`` rows of the
     whole table. Output ``(qid, rn, <table columns>)``.
 
-    The questions with mentions travel as one broadcast row per batch (at
-    most ``max_broadcast_questions`` each, counted first); every table row
-    emits the ids of the questions it answers, and
-    ``row_number() <= limit`` per question becomes a window group limit.
+    The (question, department) pairs are materialised and counted; within
+    ``max_broadcast_pairs`` they are broadcast (above the bound they are
+    shuffled instead). The table is ranked once per wanted department, not
+    once per question: only ``limit`` rows per department reach the join
+    with the pairs, however many questions name it.
     """
     cols = table.columns
     sort = [F.col(c).asc_nulls_first() for c in order]
@@ -156,8 +161,24 @@ def retrieve(table: DataFrame, questions: DataFrame, mentions: DataFrame, order:
     dep_names = depts.join(names, F.lower(F.col("_dep")).contains(F.col("_name")))
     q_dep = (mentions.join(dep_names, mentions.name == dep_names._name)
              .select("qid", F.col("_dep")).distinct())
+    # small and used twice: materialise once (lineage cut in the checkpoint
+    # folder), then size-check before broadcasting
+    ensure_checkpoint_dir(table.sparkSession)
+    q_dep = q_dep.checkpoint(eager=True)
+    small = q_dep.count() <= max_broadcast_pairs
+    pairs = F.broadcast(q_dep) if small else q_dep
+    wanted = q_dep.select("_dep").distinct()
+    wanted = F.broadcast(wanted) if small else wanted
+    # A question's hits are the disjoint union of its departments' rows, so
+    # its first ``limit`` rows are among the first ``limit`` of each of its
+    # departments: rank per department once (a window group limit keeps a
+    # partial top-``limit`` per map task, so a hot department never reaches
+    # one task whole), then fan the few survivors out to the questions.
+    per_dep = (table.join(wanted, table[dept_col] == wanted._dep, "left_semi")
+               .withColumn("_rd", F.row_number().over(Window.partitionBy(dept_col).orderBy(*sort)))
+               .filter(F.col("_rd") <= limit).drop("_rd"))
     w = Window.partitionBy("qid").orderBy(*sort)
-    hits = (table.join(q_dep, table[dept_col] == q_dep._dep).select("qid", *cols)
+    hits = (per_dep.join(pairs, per_dep[dept_col] == pairs._dep).select("qid", *cols)
             .withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit))
     first = (table.orderBy(*sort).limit(limit)
              .withColumn("rn", F.row_number().over(Window.orderBy(*sort))))
