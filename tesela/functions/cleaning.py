@@ -21,8 +21,12 @@ from . import vocab
 ColumnOrName = Column | str
 
 # Java regex: (?U) makes \s, \d, \w Unicode-aware like Python's str methods.
-_WS_EDGES = r"(?U)^\s+|\s+$"
+# The characters Python's str.strip() removes (str.isspace), by rule.
+_PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
 _WS_RUN = r"(?U)\s+"
+_NON_LETTER = r"([^\p{L}])"
+_NON_LETTER_SPACE = r"([^\p{L}]) "
+_LETTER_AFTER_MARK = r"[^\p{L} ]\p{L}"
 _TIME_TAIL = r"(?U)\s+\d{1,2}:\d{2}.*$"
 _MONEY_STRIP = r"(?U)[$.,\s]"
 # What Python's float() accepts once the money rule has run, minus the
@@ -67,28 +71,36 @@ def normalize_column_names(df, rule=normalize_name):
 
 # ---------------------------------------------------------------- text
 def strip_ws(c: ColumnOrName) -> Column:
-    """Python ``str.strip()``: Unicode whitespace on both ends."""
-    return F.regexp_replace(as_text(c), _WS_EDGES, "")
+    """Python ``str.strip()``: Unicode whitespace on both ends, as a
+    character-set trim (no regular expression)."""
+    return F.btrim(as_text(c), F.lit(_PY_WHITESPACE))
 
 
 def title_case(c: ColumnOrName) -> Column:
     """Python ``str.title()``: a letter run starts upper, continues lower.
 
-    ``initcap`` only capitalises after spaces (``D.C.`` -> ``D.c.``), so the
-    text is split into letter / non-letter runs and each run is re-cased.
+    ``initcap`` only capitalises after spaces (``D.C.`` -> ``D.c.``), which
+    is the same thing unless a letter follows another non-letter. Those
+    values take the exact route: a space is put after every non-letter,
+    ``initcap`` runs, and the one space after each non-letter is taken out
+    again (a left-to-right scan always meets a non-letter together with its
+    inserted space, so exactly the inserted spaces go). Native expressions
+    only, no lambda per run.
     """
-    runs = F.regexp_extract_all(as_text(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    recased = F.transform(
-        runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(x.substr(F.lit(2), F.length(x))))
-    )
-    return F.when(_c(c).isNull(), None).otherwise(F.array_join(recased, ""))
+    s = as_text(c)
+    exact = F.regexp_replace(F.initcap(F.regexp_replace(s, _NON_LETTER, "$1 ")), _NON_LETTER_SPACE, "$1")
+    return F.when(s.rlike(_LETTER_AFTER_MARK), exact).otherwise(F.initcap(s))
 
 
 def normalize_text(c: ColumnOrName) -> Column:
-    """SCL-01: null-like -> ``""``, strip, title case, collapse whitespace."""
+    """SCL-01: null-like -> ``""``, strip, title case, collapse whitespace.
+
+    Whitespace is collapsed before title-casing: both treat it as a
+    non-letter, so the result is the same, and single spaces let more
+    values take ``initcap`` directly."""
     s = strip_ws(c)
     null_like = s.isNull() | F.lower(s).isin(*vocab.NULL_LIKE_TEXT)
-    return F.when(null_like, F.lit("")).otherwise(F.regexp_replace(title_case(s), _WS_RUN, " "))
+    return F.when(null_like, F.lit("")).otherwise(title_case(F.regexp_replace(s, _WS_RUN, " ")))
 
 
 def lower_trim(c: ColumnOrName) -> Column:

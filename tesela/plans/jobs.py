@@ -224,14 +224,17 @@ def consolidate_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    cleaned = {c: F.col(c) for c in u.columns}
-    for c in CONSOLIDATED_TEXT:
-        cleaned[c] = C.normalize_text(cleaned[c])
-    cleaned["departamento"] = C.canonical_department(cleaned["departamento"], blank="")
-    cleaned["nit_entidad"] = C.clean_nit(cleaned["nit_entidad"], empty="")
-    for c in CONSOLIDATED_NOT_DEFINED:
-        cleaned[c] = C.not_defined(cleaned[c])
-    return u.select(*[cleaned[c].alias(c) for c in u.columns])
+    # One projection per rule layer: each rule reads its input several
+    # times, so nesting them in one expression would multiply the tree
+    # (and the generated code); stacked projections of non-trivial
+    # expressions are kept apart by the optimizer and each compiles once.
+    def stage(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+        return df.select(*[(rules[c] if c in rules else F.col(c)).alias(c) for c in df.columns])
+
+    u = stage(u, {c: C.normalize_text(c) for c in CONSOLIDATED_TEXT})
+    u = stage(u, {"departamento": C.canonical_department("departamento", blank=""),
+                  "nit_entidad": C.clean_nit("nit_entidad", empty="")})
+    return stage(u, {c: C.not_defined(c) for c in CONSOLIDATED_NOT_DEFINED})
 
 
 def consolidate(sources: Mapping[str, DataFrame]) -> DataFrame:

@@ -211,7 +211,10 @@ def read_table(spark: SparkSession, table: str, schema: str = "marts", limit: in
 
 def load_catalog_csv(spark: SparkSession, path: str, table: str = "raw.catalogo") -> DataFrame:
     """SRC-11: the manual catalogue CSV saved as ``raw.catalogo``."""
-    spark.sql("CREATE DATABASE IF NOT EXISTS raw")
-    df = read_csv_text(spark, path)
-    df.write.mode("overwrite").saveAsTable(table)
-    return spark.table(table)
+    from .sinks import load_as_table  # the sink owns table placement
+    db, _, stem = table.rpartition(".")
+    if not spark.catalog.databaseExists(db or "raw"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db or 'raw'}")
+    # an explicit folder under the database: a rerun in a new session
+    # replaces it instead of failing on an existing managed location
+    return spark.table(load_as_table(read_csv_text(spark, path), stem, db or "raw"))

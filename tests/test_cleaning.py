@@ -97,3 +97,15 @@ def test_sector_rules(spark):
     assert got == ["Educación", "Salud", "Defensa", "Otros", "Otros"]
     got3 = [r[0] for r in df.select(C.sector_category3("s")).collect()]
     assert got3 == ["Educación", "Salud", "Otros", "Otros", "Otros"]
+
+
+def test_title_case_equals_python_title(spark):
+    """Random mixes of cased and uncased characters (accents, digits,
+    punctuation, whitespace runs, ß) against Python's ``str.title()``."""
+    import random
+    rng = random.Random(5)
+    alphabet = list("abcXYZ ñÑáÉüÜ\t\n.,-'19_/()ßçÇ") + ["  ", "D.C.", "valle del cauca"]
+    vals = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = [r["o"] for r in df.select(C.title_case("v").alias("o")).collect()]
+    assert [v.title() for v in vals] == got
