@@ -131,10 +131,24 @@ def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[
     n = sizes1.groupBy(*group).agg(F.sum("_bc1").alias("_n"))
     want = _targets(n, group, probs)
     loc1 = _join(want, sizes1, group).filter(
-        (F.col("_before1") <= F.col("r")) & (F.col("r") < F.col("_before1") + F.col("_bc1"))).drop("_bc1")
+        (F.col("_before1") <= F.col("r")) & (F.col("r") < F.col("_before1") + F.col("_bc1")))
+    # one bounded number decides whether a second level is needed: the
+    # largest target bucket (rows), over the checkpointed count table
+    biggest = loc1.agg(F.max("_bc1")).first()[0] or 0
+    loc1 = loc1.drop("_bc1")
+    hit1 = loc1.select(*group, "_b1").distinct()
+    if biggest <= LEAF_ROWS:
+        # leaf on level-1 buckets: running count over their distinct values
+        leaf = _join(counts, hit1, [*group, "_b1"])
+        leaf = leaf.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*group, "_b1").orderBy("_v")))
+        picked = (_join(loc1.select(*group, "_b1", "q", "side", "r", "frac", "_before1"),
+                        leaf.select(*group, "_b1", "_v", "_c", "_upto"), [*group, "_b1"])
+                  .filter((F.col("_before1") + F.col("_upto") - F.col("_c") <= F.col("r")) &
+                          (F.col("r") < F.col("_before1") + F.col("_upto")))
+                  .select(*group, "q", "side", "frac", "_v"))
+        return _assemble(df, picked, group, names)
 
     # level 2: re-cut only the buckets that hold a target rank
-    hit1 = loc1.select(*group, "_b1").distinct()
     sub = _join(counts, hit1, [*group, "_b1"])
     cuts2 = sub.groupBy(*group, "_b1").agg(
         _padded(F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY)), width).alias("_cuts2"))
@@ -155,6 +169,12 @@ def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[
               .filter((F.col("_off") + F.col("_upto") - F.col("_c") <= F.col("r")) &
                       (F.col("r") < F.col("_off") + F.col("_upto")))
               .select(*group, "q", "side", "frac", "_v"))
+    return _assemble(df, picked, group, names)
+
+
+def _assemble(df: DataFrame, picked: DataFrame, group: list[str], names: list[str]) -> DataFrame:
+    """Interpolate between the values at ranks floor(h) and ceil(h); one
+    row per group of ``df`` (null percentiles for a group without values)."""
     lo = picked.filter(F.col("side") == "lo").select(*group, "q", "frac", F.col("_v").alias("_lo"))
     hi = picked.filter(F.col("side") == "hi").select(*group, "q", F.col("_v").alias("_hi"))
     vals = _join(lo, hi, [*group, "q"]).select(

@@ -76,6 +76,22 @@ def test_global_percentiles_refine_levels(spark, monkeypatch):
     assert len(empty) == 1 and empty[0]["med"] is None
 
 
+def test_grouped_percentiles_second_level(spark, monkeypatch):
+    """Grouped path with a tiny leaf, so target buckets are cut twice."""
+    from tesela.operators import quantiles
+    monkeypatch.setattr(quantiles, "LEAF_ROWS", 10)
+    rng = np.random.default_rng(13)
+    vals = [(int(g), float(v)) for g, v in zip(rng.integers(0, 3, 3000), rng.normal(50, 20, 3000))]
+    vals += [(1, 42.0)] * 900
+    df = spark.createDataFrame(vals, "g int, v double")
+    got = {r["g"]: r for r in percentiles(df, "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, group=["g"],
+                                          buckets=8).collect()}
+    for g in range(3):
+        xs = np.array([v for gg, v in vals if gg == g])
+        for name, p in [("p10", 0.1), ("p50", 0.5), ("p90", 0.9)]:
+            assert abs(got[g][name] - np.quantile(xs, p)) <= 1e-9 * max(1.0, abs(np.quantile(xs, p)))
+
+
 def test_top_n_with_ties_equals_rank(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate([5, 5, 4, 4, 4, 3, 2, 2, 1])], "k int, v int")
     got = sorted(r["k"] for r in top_n_with_ties(df, 3, "v").collect())
