@@ -16,6 +16,7 @@ from ..functions import cleaning as C
 from ..functions import vocab
 from ..operators import filters
 from ..operators.indexing import dense_index
+from ..session import ensure_checkpoint_dir
 
 # FIXED VALUES: columns the contract cleaning title-cases, in order.
 CONTRACT_TEXT_COLUMNS = [
@@ -238,5 +239,13 @@ def consolidate_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def consolidate(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """JOB-04: consolidated table behind the four-rule quality gate."""
-    return filters.quality_gate(consolidate_sources(sources))
+    """JOB-04: consolidated table behind the four-rule quality gate.
+
+    The gate reads a checkpointed copy of the cleaned union (in the
+    session's checkpoint folder): on the plain plan the optimizer pushes the
+    gate below the cleaning projections and inlines the rules into the
+    filter, where they run again, unshared, for every input row.
+    """
+    cleaned = consolidate_sources(sources)
+    ensure_checkpoint_dir(cleaned.sparkSession)
+    return filters.quality_gate(cleaned.checkpoint(eager=True))
