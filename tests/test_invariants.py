@@ -119,3 +119,38 @@ def test_catalog_helpers(spark, tmpdir_path):
     assert "men_matricula_test" in names and "otra_tabla_test" not in names
     cols = sinks.list_columns(spark, "clean.men_matricula_test").collect()
     assert [(c["column_name"], c["ordinal_position"]) for c in cols] == [("x", 1)]
+
+
+def test_retrieve_matches_brute_force(spark):
+    """Per-department ranking then fan-out equals ranking each question's
+    hits directly: a hot department (a third of the rows), questions that
+    share departments, substring over-match and the fallback."""
+    from tesela.operators import documents as D
+    rng = np.random.default_rng(17)
+    deps = ["alpha", "alpha norte", "beta", "gamma", None]
+    rows = []
+    for i in range(1200):
+        dep = "alpha" if i % 3 == 0 else deps[int(rng.integers(0, len(deps)))]
+        rows.append((f"id{int(rng.integers(0, 400)):04d}", dep, int(rng.integers(0, 5))))
+    table = spark.createDataFrame(rows, "id string, departamento string, v int")
+    qs = spark.createDataFrame([("q1", "x"), ("q2", "x"), ("q3", "x"), ("q4", "x")], "qid string, question string")
+    men = spark.createDataFrame([("q1", "alpha"), ("q2", "beta"), ("q2", "gamma"), ("q3", "beta")],
+                                "qid string, name string")
+    order = ["id", "departamento", "v"]
+    got = sorted(tuple(r) for r in D.retrieve(table, qs, men, order, 7, max_broadcast_pairs=1)
+                 .select("qid", "rn", *order).collect())
+    got_broadcast = sorted(tuple(r) for r in D.retrieve(table, qs, men, order, 7)
+                           .select("qid", "rn", *order).collect())
+    assert got == got_broadcast
+
+    def key(r):
+        return tuple((x is not None, x) for x in (r[0], r[1], r[2]))
+    want = []
+    names = {}
+    for q, n in [("q1", "alpha"), ("q2", "beta"), ("q2", "gamma"), ("q3", "beta")]:
+        names.setdefault(q, []).append(n)
+    for q in ["q1", "q2", "q3", "q4"]:
+        hits = [r for r in rows if r[1] is not None and any(n in r[1].lower() for n in names.get(q, []))]
+        pool = sorted(hits or rows, key=key)[:7]
+        want += [(q, i + 1, *r) for i, r in enumerate(pool)]
+    assert got == sorted(want)
