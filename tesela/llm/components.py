@@ -18,9 +18,9 @@ def components(edges: DataFrame, folder: str, name: str = "cc") -> DataFrame:
     are written to the shared folder.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct()
-    both = shared.written(both, f"{name}-edges", f"{folder}/{name}-{id(edges)}")
+    both = shared.written(both, f"{name}-edges", f"{folder}/{name}")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).select("node", F.least("node", "label").alias("label"))
-    labels = shared.written(labels, f"{name}-0", f"{folder}/{name}-{id(edges)}")
+    labels = shared.written(labels, f"{name}-0", f"{folder}/{name}")
     k = 0
     while True:
         k += 1
@@ -28,7 +28,7 @@ def components(edges: DataFrame, folder: str, name: str = "cc") -> DataFrame:
         step = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("jump"))
         step = step.join(jump, "label").select("node", "was", F.least("label", "jump").alias("label"))
-        step = shared.written(step, f"{name}-{k}", f"{folder}/{name}-{id(edges)}")
+        step = shared.written(step, f"{name}-{k}", f"{folder}/{name}")
         if step.where("label != was").isEmpty():
             return step.select("node", "label")
         labels = step.select("node", "label")

@@ -16,12 +16,17 @@ number of texts with it among all ``n``.
    folder, once per distinct text of a task.
 3. *Candidates.* Texts are told apart by a hash of their words, so copies
    are one node, however many. Members of a (band, key) bucket are compared
-   with the bucket's smallest member; those that stay apart from it, with
-   the smallest of the rest, and so on for ``ROUNDS`` rounds. What is then
-   still in another class than the bucket's largest is compared with every
-   bucket member of another class. So each candidate pair of a bucket is
-   verified or already joined, and a bucket of ``n`` similar texts costs
-   about ``n`` pairs instead of ``n * n / 2``.
+   with the bucket's pivot, the member with the largest shared part; those
+   that stay apart from it, with the pivot of the rest, for ``ROUNDS``
+   rounds. What is then still in another class than the bucket's largest is
+   compared with every bucket member of another class. A pair is left out
+   only if it cannot be a link: ``J(a, b) >= t`` needs ``|a & b| >=
+   t / (1 + t) * (|a| + |b|)``, and ``|a & b|`` is at most the shared part
+   of either text; beyond that, what a and b lack of their bucket's pivot,
+   counted in ``GROUPS`` hash groups, they lack together at least the larger
+   of the two in each group. So each candidate pair of a bucket is verified, ruled out
+   or already joined, and a bucket of ``n`` similar texts costs about ``n``
+   pairs instead of ``n * n / 2``.
 4. *Verification.* The vectors of a pair are read from the mapped files; a
    pair is a link if its weighted or its plain Jaccard similarity reaches
    the threshold. Classes are the connected components of the links.
@@ -48,8 +53,9 @@ from .util import fresh
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
-ROUNDS = 3
-PORTION = 4_000_000
+ROUNDS = 2
+GROUPS = 64  # hash groups in which missing shingles are counted
+PORTION = 2_000_000
 TABLE_BITS = 14  # size of the tables of random draws
 
 
@@ -129,7 +135,7 @@ def _count(shards: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         portion = runs.Portion(shards, PORTION)
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0)):
+            for _, _, data, offsets in text_slices(batch.column(0), 1 << 20):
                 yield from portion.add(_bags(split_words(data, offsets, NONSPACE))[0])
         yield from portion.flush()
     return count
@@ -155,7 +161,7 @@ def _frequencies(folder: str, shards: int, hashes: np.ndarray) -> np.ndarray:
     return df[place]
 
 
-SIGN_SCHEMA = "row long, hi long, lo long, bands array<long>, file string, at long, n int"
+SIGN_SCHEMA = "row long, hi long, lo long, bands array<long>, file string, at long, n int, shared int, weight double, shared_weight double"
 
 
 def _sign(folder: str, shards: int, texts: int, similarity: float, bands: int, rows: int):
@@ -167,7 +173,7 @@ def _sign(folder: str, shards: int, texts: int, similarity: float, bands: int, r
         vectors: list[bytes] = []
         written, part, seen = 0, 0, {}
         for batch in batches:
-            for lo, hi, data, offsets in text_slices(batch.column(1), 2 << 20):
+            for lo, hi, data, offsets in text_slices(batch.column(1), 1 << 20):
                 w = split_words(data, offsets, NONSPACE)
                 keys = text_keys(w)
                 h, many, first = _bags(w)
@@ -181,7 +187,7 @@ def _sign(folder: str, shards: int, texts: int, similarity: float, bands: int, r
                 may = (plain > 0) & ((common >= similarity * total * (1 - 1e-9)) | (common_n >= similarity * plain))
                 alive = np.flatnonzero(may)
                 bucket: list = [None] * n
-                place: list = [(None, None, None)] * n
+                place: list = [(None,) * 6] * n
                 new = [i for i in alive if (int(keys[i, 0]), int(keys[i, 1])) not in seen]
                 if len(new):
                     take = np.concatenate([np.arange(first[i], first[i + 1]) for i in new])
@@ -190,20 +196,19 @@ def _sign(folder: str, shards: int, texts: int, similarity: float, bands: int, r
                     for i, k in zip(new, found, strict=True):
                         block = h[first[i]:first[i + 1]].tobytes() + weight[first[i]:first[i + 1]].astype(np.float32).tobytes()
                         block += bytes(-len(block) % 8)
-                        seen[int(keys[i, 0]), int(keys[i, 1])] = (k, f"{name}-{part}", written, int(plain[i]))
+                        seen[int(keys[i, 0]), int(keys[i, 1])] = (k, (f"{name}-{part}", written, int(plain[i]), int(common_n[i]), float(total[i]), float(common[i])))
                         vectors.append(block)
                         written += len(block)
                 for i in alive:
-                    k, f, a, m = seen[int(keys[i, 0]), int(keys[i, 1])]
-                    bucket[i], place[i] = k, (f, a, m)
+                    bucket[i], place[i] = seen[int(keys[i, 0]), int(keys[i, 1])]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), pa.array(keys[:, 0].astype(np.int64)), pa.array(keys[:, 1].astype(np.int64)),
-                    pa.array(bucket, pa.list_(pa.int64())), *(pa.array([p[c] for p in place], t) for c, t in enumerate((pa.string(), pa.int64(), pa.int32())))],
-                    names=["row", "hi", "lo", "bands", "file", "at", "n"])
-                if written > 64 << 20:  # a new file; what was seen stays known while it is small
+                    pa.array(bucket, pa.list_(pa.int64())), *(pa.array([p[c] for p in place], t) for c, t in enumerate((pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64())))],
+                    names=["row", "hi", "lo", "bands", "file", "at", "n", "shared", "weight", "shared_weight"])
+                if written > 16 << 20:  # a new file; what was seen stays known while it is small
                     shared.put(f"{folder}/{name}-{part}", b"".join(vectors))
                     vectors, written, part = [], 0, part + 1
-                    if len(seen) > 100_000:
+                    if len(seen) > 20_000:
                         seen = {}
         if vectors:
             shared.put(f"{folder}/{name}-{part}", b"".join(vectors))
@@ -267,9 +272,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     # one node per distinct text that may have partners: any of its places
     places = signed.where("bands is not null").groupBy("hi", "lo").agg(
-        F.min(F.struct("file", "at", "n", "bands")).alias("p"), F.min("row").alias("row"))
-    nodes = shared.written(places.select(F.xxhash64("hi", "lo").alias("node"), "hi", "lo", "p.file", "p.at", "p.n", "p.bands"), "nodes", folder)
-    members = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
+        F.min(F.struct("file", "at", "n", "bands", *SIZES)).alias("p"))
+    nodes = shared.written(places.select(F.xxhash64("hi", "lo").alias("node"), "hi", "lo", "p.file", "p.at", "p.n", "p.bands", *(F.col(f"p.{x}").alias(x) for x in SIZES)), "nodes", folder)
+    members = nodes.select("node", "n", *SIZES, F.posexplode("bands").alias("band", "key")).select("node", "n", *SIZES, "band", F.xxhash64("band", "key").alias("bucket"))
     # buckets of one text hold no pair
     many = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
     members = shared.written(members.join(many, "bucket"), "members", folder)
@@ -314,9 +319,67 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **sett
     return joined.withColumn(n, F.row_number().over(one)).where(F.col(n) == 1).select(*docs.columns)
 
 
+#: Of a text: shingles and weight that other texts hold too, and all weight.
+SIZES = ("shared", "weight", "shared_weight")
+
+
+def _possible(similarity: float):
+    """Whether two members ``a_*`` and ``b_*`` can reach the similarity."""
+    least = similarity / (1 + similarity) * (1 - 1e-6)
+    plain = F.least("a_shared", "b_shared") >= least * (F.col("a_n") + F.col("b_n"))
+    weighted = F.least("a_shared_weight", "b_shared_weight") >= least * (F.col("a_weight") + F.col("b_weight"))
+    return plain | weighted
+
+
+def _missing(folder: str):
+    """What a member lacks of its bucket's pivot, by hash group, and what it
+    shares with other texts beyond the pivot: numbers and weights."""
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = batch.to_pydict()
+            out: list[list] = [[], [], [], []]
+            for k in range(batch.num_rows):
+                h, w = _vector(folder, *(cols[c][k] for c in ("file", "at", "n")))
+                ph, pw = _vector(folder, *(cols[f"p_{c}"][k] for c in ("file", "at", "n")))
+                _, i, j = np.intersect1d(h, ph, assume_unique=True, return_indices=True)
+                both = np.minimum(w[i], pw[j]).astype(np.float64)
+                lack = pw.astype(np.float64)
+                lack[j] -= both
+                plain = np.ones(len(ph))
+                plain[j] = 0
+                group = (mix(ph) >> U64(64 - 6)).astype(np.int64)
+                out[0].append(np.bincount(group, plain, GROUPS))
+                out[1].append(np.bincount(group, lack, GROUPS))
+                out[2].append(cols["shared"][k] - len(i))
+                out[3].append(cols["shared_weight"][k] - float(both.sum()))
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in ("bucket", "node", "p_n", "p_weight")]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x, pa.list_(pa.float64())) for x in out[:2]), pa.array(out[2], pa.float64()), pa.array(out[3], pa.float64())],
+                                             names=["bucket", "node", "p_n", "p_weight", "lack", "lack_weight", "extra", "extra_weight"])
+    return missing
+
+
+def _possible_by_pivot(similarity: float):
+    """The same as ``_possible`` with the closer bound by the pivot ``p``:
+    ``|a & b| <= |p| - (lacked together) + min(extra a, extra b)``. Weights
+    are stored as 32-bit floats, hence the allowance."""
+    least = similarity / (1 + similarity) * (1 - 1e-6)
+
+    def bound(size: str, lack: str, extra: str):
+        together = F.aggregate(F.zip_with(f"a_{lack}", f"b_{lack}", lambda x, y: F.greatest(x, y)), F.lit(0.0), lambda acc, x: acc + x)
+        return F.col(f"a_{size}") - together + F.greatest(F.least(f"a_{extra}", f"b_{extra}"), F.lit(0.0))
+
+    plain = bound("p_n", "lack", "extra") >= least * (F.col("a_n") + F.col("b_n"))
+    weighted = bound("p_weight", "lack_weight", "extra_weight") * (1 + 1e-4) >= least * (F.col("a_weight") + F.col("b_weight"))
+    return plain | weighted
+
+
 def classes(nodes: DataFrame, members: DataFrame, folder: str, similarity: float) -> DataFrame:
     """``(node, label)`` of nodes in components of two or more."""
     place = nodes.select("node", "file", "at", "n")
+    sizes = ("n", *SIZES)
+
+    def side(df: DataFrame, x: str, *more: str) -> DataFrame:
+        return df.select("bucket", F.col("node").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in (*sizes, *more)))
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
         pairs = pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -325,25 +388,40 @@ def classes(nodes: DataFrame, members: DataFrame, folder: str, similarity: float
         pairs = pairs.select("a", "b", *(f"{x}_{c}" for x in "ab" for c in ("file", "at", "n"))).repartition("b", "a")
         return shared.written(pairs.mapInArrow(_verify(folder, similarity), "a long, b long, similarity double"), name, folder)
 
+    def labelled(df: DataFrame, label: DataFrame) -> DataFrame:
+        return df.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
     found, rest = None, members
     for k in range(ROUNDS):
-        pivot = rest.groupBy("bucket").agg(F.min("node").alias("pivot"))
-        new = links(rest.join(pivot, "bucket").select(F.col("node").alias("a"), F.col("pivot").alias("b")), f"links-{k}")
+        best = F.max(F.struct((F.col("shared") / F.col("n")).alias("part"), "node", *sizes)).alias("p")
+        pivot = rest.groupBy("bucket").agg(best).select("bucket", *(F.col(f"p.{c}").alias(c) for c in ("node", *sizes)))
+        pivot = shared.written(pivot, f"pivots-{k}", folder)
+        new = links(side(rest, "a").join(side(pivot, "b"), "bucket").where(_possible(similarity)), f"links-{k}")
         found = new if found is None else found.unionByName(new)
-        label = shared.written(components(found.select("a", "b"), folder), f"labels-{k}", folder)
+        label = shared.written(components(found.select("a", "b"), folder, f"cc-{k}"), f"labels-{k}", folder)
         # a member stays if it is in another class than this round's pivot
-        tagged = rest.join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-        pivots = pivot.join(label.withColumnRenamed("node", "pivot"), "pivot", "left").select("bucket", F.coalesce("label", "pivot").alias("of_pivot"))
-        rest = shared.written(tagged.join(pivots, "bucket").where("label != of_pivot").select("bucket", "node"), f"rest-{k}", folder)
+        of_pivot = labelled(pivot.select("bucket", "node"), label).select("bucket", F.col("label").alias("of_pivot"))
+        rest = shared.written(labelled(rest, label).join(of_pivot, "bucket").where("label != of_pivot").select("bucket", "node", *sizes), f"rest-{k}", folder)
         if rest.isEmpty():
             break
     # what is still apart from the largest class of its bucket, against the bucket
-    tagged = shared.written(members.join(label, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")), "tagged", folder)
-    sizes = tagged.groupBy("bucket", "label").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1").select("bucket", F.col("top.label").alias("top"))
-    apart = tagged.join(largest, "bucket").where("label != top").select("bucket", F.col("node").alias("a"), F.col("label").alias("a_label"))
-    cross = apart.join(tagged.select("bucket", F.col("node").alias("b"), F.col("label").alias("b_label")), "bucket").where("a_label != b_label").select("a", "b")
+    tagged = shared.written(labelled(members, label), "tagged", folder)
+    counts = tagged.groupBy("bucket", "label").agg(F.count("*").alias("size"))
+    largest = counts.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1").select("bucket", F.col("top.label").alias("top"))
+    torn = tagged.join(largest, "bucket").join(nodes.select("node", "bands", "file", "at"), "node")
+    centre = torn.groupBy("bucket").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("part"), "node", "file", "at", "n", "weight")).alias("p"))
+    centre = centre.select("bucket", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("file", "at", "n", "weight")))
+    torn = shared.written(torn.join(centre, "bucket"), "torn", folder)
+    lacks = ("p_n", "p_weight", "lack", "lack_weight", "extra", "extra_weight")
+    lack = torn.select("bucket", "node", "file", "at", "n", "shared", "shared_weight", "p_file", "p_at", "p_n", "p_weight").repartition("node", "bucket").mapInArrow(
+        _missing(folder), "bucket long, node long, p_n int, p_weight double, lack array<double>, lack_weight array<double>, extra double, extra_weight double")
+    torn = shared.written(torn.drop("p_n", "p_weight", "p_file", "p_at").join(lack, ["bucket", "node"]), "measured", folder)
+    apart = side(torn.where("label != top"), "a", "label", "band", "bands", *lacks)
+    others = side(torn, "b", "label", "bands", "top", *lacks).withColumnRenamed("bucket", "b_bucket")
+    # a pair that shares several buckets is compared in the first of them, one of two apart members once
+    once = (F.array_position(F.zip_with("a_bands", "b_bands", lambda x, y: x == y), True) == F.col("a_band") + 1) & ((F.col("b_label") == F.col("b_top")) | (F.col("a") < F.col("b")))
+    cross = apart.join(others, (F.col("bucket") == F.col("b_bucket")) & (F.col("a_label") != F.col("b_label")) & once & _possible(similarity) & _possible_by_pivot(similarity))
     last = links(cross, "links-cross")
     if last.isEmpty():
         return label
-    return shared.written(components(found.unionByName(last).select("a", "b"), folder, "again"), "labels", folder)
+    return shared.written(components(found.unionByName(last).select("a", "b"), folder, "cc-all"), "labels", folder)
