@@ -122,7 +122,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, member: np.ndarray = NONS
     return w
 
 
-def text_slices(col: pa.Array | pa.ChunkedArray, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(col: pa.Array | pa.ChunkedArray, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, last row + 1, bytes, offsets)`` of runs of rows whose
     texts hold at most ``max_bytes`` together (or of one longer text)."""
     data, offsets = text_buffers(col)

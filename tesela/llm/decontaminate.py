@@ -211,7 +211,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_te
             hits: dict[int, tuple[list, set]] = {}
             words = np.zeros(batch.num_rows, np.int64)
             for k in range(max(n, 1)):  # the outer loop, so each automaton is loaded once per batch
-                for lo, hi, data, offsets in text_slices(column, 8 << 20):
+                for lo, hi, data, offsets in text_slices(column, 2 << 20):
                     w = split_words(data, offsets, ALNUM)
                     words[lo:hi] = w.counts()
                     if not n:

@@ -45,7 +45,7 @@ from .util import fresh
 
 #: Hashes of the end token and the begin mark.
 END, BEGIN = U64(0x5EED00E2D), U64(0x5EED0B0)
-PORTION = 3_000_000  # entries a task gathers before it emits runs
+PORTION = 2_000_000  # entries a task gathers before it emits runs
 
 
 @dataclass
@@ -349,7 +349,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             col = batch.column(batch.num_columns - 1)
-            for lo, hi, data, offsets in text_slices(col, 2 << 20):
+            for lo, hi, data, offsets in text_slices(col):
                 n, known, base, s = _scores(model, data, offsets)
                 rest = [batch.column(i).slice(lo, hi - lo) for i in range(batch.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*rest, *(pa.array(x, t) for x, t in ((n, pa.int64()), (known, pa.int64()), (base, pa.float64()), (s, pa.float64()), (np.power(10.0, np.minimum(-s / n, 300.0)), pa.float64())))], names=[*kept, *names])
