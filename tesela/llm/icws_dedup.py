@@ -295,15 +295,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 def with_text_keys(docs: DataFrame, text: str, names: tuple[str, str]) -> DataFrame:
     """``docs`` and the two hashes of its words."""
-    inner = fresh(docs, "text_of_keys")
-    src = docs.withColumn(inner, F.col(text).cast("string"))
+    columns = docs.columns
+    src = docs.withColumn(fresh(docs, "text_of_keys"), F.col(text).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_slices(batch.column(batch.num_columns - 1)):
                 keys = text_keys(split_words(data, offsets, NONSPACE)).astype(np.int64)
                 kept = [batch.column(i).slice(lo, hi - lo) for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=[*docs.columns, *names])
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=[*columns, *names])
 
     return src.mapInArrow(run, T.StructType([*docs.schema, *(T.StructField(x, T.LongType()) for x in names)]))
 

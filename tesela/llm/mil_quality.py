@@ -71,6 +71,7 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     at = np.arange(len(of_byte)) - np.repeat(np.cumsum(span) - span, span) + np.repeat(begin, span)
     kind = BYTE_CLASS[data]
     follow = np.append(kind[1:], 3)[at]
+    follow[np.cumsum(span)[last] - 1] = 3  # nothing follows a text's last word, whatever comes next in the batch
     pairs = np.bincount(of_byte * (CLASSES * CLASSES) + kind[at] * CLASSES + follow, minlength=n * CLASSES * CLASSES)
     out = np.empty((n, FEATURES), np.float32)
     out[:, :CLASSES * CLASSES] = np.sqrt(pairs.reshape(n, -1) / span[:, None])
