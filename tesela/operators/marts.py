@@ -83,11 +83,15 @@ def resumen_departamento(m: DataFrame) -> DataFrame:
                  F.count_distinct("nombre_entidad").alias("num_entidades")))
 
 
+def entity_totals(m: DataFrame) -> DataFrame:
+    """Every (entity, department) pair with its contracts and value."""
+    return (m.groupBy("nombre_entidad", C.no_info("departamento").alias("depto"))
+            .agg(F.count(F.lit(1)).alias("num_contratos"), money_sum().alias("valor_total")))
+
+
 def resumen_entidad(m: DataFrame, n: int = 100) -> DataFrame:
     """MRT-03: top ``n`` (entity, department) pairs by value."""
-    agg = (m.groupBy("nombre_entidad", C.no_info("departamento").alias("depto"))
-           .agg(F.count(F.lit(1)).alias("num_contratos"), money_sum().alias("valor_total")))
-    return order_limit(agg, n, F.col("valor_total").desc(), F.col("nombre_entidad").asc(), F.col("depto").asc())
+    return order_limit(entity_totals(m), n, F.col("valor_total").desc(), F.col("nombre_entidad").asc(), F.col("depto").asc())
 
 
 def resumen_sector(m: DataFrame) -> DataFrame:

@@ -159,18 +159,17 @@ def fact_with_summaries(m: DataFrame, dep: DataFrame, ent: DataFrame, sec: DataF
     keys (the mart side carries ``Sin info`` for null, so the fact side is
     coalesced the same way).
 
-    The entity summary is a top-100 table (a proven bound) and is
-    broadcast; the others are left to the planner: the department and
-    sector summaries are small in practice, the process summary is nearly
-    as large as the fact and must be allowed a sort-merge join.
+    No side is forced to be broadcast: the planner knows the summaries'
+    sizes at run time; the entity and process summaries can be nearly as
+    large as the fact.
     """
     f = (m.withColumn("_dep", C.no_info("departamento"))
          .withColumn("_sec", C.no_info("sector"))
          .withColumn("_proc", C.no_info("proceso_de_compra")))
     d = dep.select(F.col("depto").alias("_dep"), F.col("num_contratos").alias("depto_num_contratos"),
                    F.col("valor_total").alias("depto_valor_total"))
-    e = F.broadcast(ent.select(F.col("nombre_entidad").alias("_ent"), F.col("depto").alias("_edep"),
-                               F.col("valor_total").alias("entidad_valor_total")))
+    e = ent.select(F.col("nombre_entidad").alias("_ent"), F.col("depto").alias("_edep"),
+                   F.col("valor_total").alias("entidad_valor_total"))
     s = sec.select(F.col("sector").alias("_sec"), F.col("valor_total").alias("sector_valor_total"))
     p = proc.select(F.col("proceso").alias("_proc"), F.col("valor_total").alias("proceso_valor_total"))
     out = (f.join(d, "_dep", "left")

@@ -25,7 +25,6 @@ CONTRACT_TEXT_COLUMNS = [
 ]
 # FIXED VALUES: name fragments that mark numeric education columns.
 EDUCATION_NUMERIC_MARKERS = ["matricula", "cantidad", "num", "total", "valor"]
-EDUCATION_TEXT_LIMIT = 15
 # FIXED VALUES: the Spark-variant cleaning's column lists.
 SPARK_VARIANT_DATES = ["fecha_inicio", "fecha_firma", "fecha_fin", "fecha_adjudicacion"]
 SPARK_VARIANT_TEXT = ["nombre_entidad", "departamento", "municipio", "objeto_contrato", "proveedor"]
@@ -89,12 +88,12 @@ def _text_columns(df: DataFrame) -> list[str]:
 
 
 def clean_education(raw: DataFrame) -> DataFrame:
-    """JOB-02: names -> department map -> first 15 text columns trimmed
+    """JOB-02: names -> department map -> every text column trimmed
     with ``nan``/``None`` blanked -> numeric coercion -> distinct -> drop
     all-null rows."""
     df = C.normalize_column_names(raw)
     dep_cols = {c for c in df.columns if "depto" in c or "departamento" in c}
-    text_cols = set(_text_columns(df)[:EDUCATION_TEXT_LIMIT])
+    text_cols = set(_text_columns(df))
     num_cols = {c for c in df.columns if any(m in c for m in EDUCATION_NUMERIC_MARKERS)}
     exprs = []
     for c in df.columns:

@@ -143,9 +143,8 @@ def q_qry_07(spark, d):
 
 @register("qry_08_ranking_entidades", on_master(f"""
 , agg as (select nombre_entidad, coalesce(departamento, 'Sin info') as departamento, {BASIC} from master group by 1, 2),
-top as (select * from agg order by valor_total desc, nombre_entidad, departamento limit 100),
 r as (select *, row_number() over (partition by departamento order by valor_total desc, nombre_entidad) as ranking
-      from top where departamento in ({_DEPS_SQL}))
+      from agg where departamento in ({_DEPS_SQL}))
 select nombre_entidad, departamento, num_contratos, valor_total, valor_promedio, ranking
 from r order by departamento, ranking limit 30"""))
 def q_qry_08(spark, d):

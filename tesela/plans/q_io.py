@@ -25,7 +25,6 @@ from .registry import ORACLE, register
 from .sqlkit import on_master, on_views
 
 PAGE = landed.CRAWLER_PAGE
-CAP = landed.CONTRACTS_MAX_ROWS
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
@@ -96,12 +95,12 @@ def land_manifest(spark, d, path):
 _PAGES_SQL = f"""
 with e as (select {', '.join(EVENT_COLS)}, ((row_number() over (order by event_id) - 1) // {PAGE}) * {PAGE} as page_offset
   from events)
-select * from e where page_offset < {CAP}"""
+select * from e"""
 
 
 def paged_events(spark, d):
     root = warehouse.land(spark, d, "event_pages", land_event_pages)
-    return (landed.read_pages(spark, root, event_schema(spark, d), PAGE, CAP)
+    return (landed.read_pages(spark, root, event_schema(spark, d), PAGE)
             .withColumnRenamed("offset", "page_offset"))
 
 
@@ -115,7 +114,7 @@ def q_stm_01(spark, d):
     root = warehouse.land(spark, d, "event_pages", land_event_pages)
     schema = event_schema(spark, d).add("offset", "long")
     table = ingest.ingest_available(spark, root, schema, f"{root}-stream", fmt="json", **landed.JSON_TIME_OPTIONS)
-    return landed.apply_paging(table, PAGE, CAP).withColumnRenamed("offset", "page_offset")
+    return landed.apply_paging(table, PAGE).withColumnRenamed("offset", "page_offset")
 
 
 # ------------------------------------------------------------------ SRC-03 / SRC-07
@@ -134,12 +133,14 @@ def q_src_07(spark, d):
     return landed.read_csv_text(spark, root)
 
 
-@register("src_03_csv_ausente")
+@register("src_03_csv_ausente", on_views("select " + ", ".join(_na_sql(c) for c in _RAW_COLS) + " from raw_contracts",
+                                         "raw_contracts"))
 def q_src_03(spark, d):
-    """A missing drop file reads as an empty table (rows-only check)."""
+    """A drop file that is there, and a missing one that adds no row."""
     root = warehouse.land(spark, d, "raw_contracts_csv", land_raw_contracts_csv)
     schema = landed.read_csv_text(spark, root).schema
-    return landed.read_csv_or_empty(spark, f"{root}-missing", schema)
+    there = landed.read_csv_or_empty(spark, root, schema)
+    return there.unionByName(landed.read_csv_or_empty(spark, f"{root}-missing", schema))
 
 
 # ------------------------------------------------------------------ SRC-06
@@ -152,10 +153,10 @@ def q_src_06(spark, d):
 
 # ------------------------------------------------------------------ SRC-08
 @register("src_08_directorio_glob", "select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus, o_orderpriority "
-                                    "from orders")
+                                    "from orders union all select '-1', 'F', 'x'")
 def q_src_08(spark, d):
     root = warehouse.land(spark, d, "glob_tree", land_glob_tree)
-    return landed.scan_directory(spark, root, "*.csv", recursive=True, min_bytes=100).drop("source_file")
+    return landed.scan_directory(spark, root, "*.csv", recursive=True).drop("source_file")
 
 
 # ------------------------------------------------------------------ SRC-09
@@ -166,7 +167,7 @@ def q_src_08(spark, d):
 def q_src_09(spark, d):
     root = warehouse.land(spark, d, "snapshots", land_snapshots)
     files = spark.read.option("header", True).option("recursiveFileLookup", True).csv(root)
-    snaps = landed.latest_snapshots(files, ["secop_i", "secop_ii"], "2025", by_directory=True)
+    snaps = landed.latest_snapshots(files, ["secop_i", "secop_ii"])
     return snaps.select("dataset", "o_orderkey", "o_orderstatus", "o_totalprice")
 
 
@@ -207,7 +208,7 @@ def q_snk_01(spark, d):
         sinks.write_snapshot(r, path, "2024-01-01")
         sinks.write_snapshot(r, path, "2024-01-02")
         sinks.write_snapshot(r.filter(F.col("num_contratos") > 2400), path, "2024-01-01")  # same-day rerun
-    root = warehouse.land(spark, d, "dept_snapshots", write)
+    root = warehouse.land(spark, d, "dept_snapshots", write, fresh=True)
     return spark.read.parquet(root).select("depto", "num_contratos", F.col("snapshot_date").cast("string"))
 
 
@@ -219,7 +220,7 @@ def q_snk_02(spark, d):
     def write(s, dd, path):
         sinks.write_clean_and_export(jobs.clean_contracts(warehouse.layer(s, dd, "raw_contracts")),
                                      f"{path}/clean", f"{path}/export")
-    root = warehouse.land(spark, d, "clean_export", write)
+    root = warehouse.land(spark, d, "clean_export", write, fresh=True)
     schema = spark.read.parquet(f"{root}/clean").schema
     return spark.read.option("header", True).option("escape", '"').schema(schema).csv(f"{root}/export")
 
@@ -228,7 +229,7 @@ def q_snk_02(spark, d):
 def q_snk_04(spark, d):
     def write(s, dd, path):
         sinks.write_dated_and_latest(consolidated(s, dd), path, "20240101")
-    root = warehouse.land(spark, d, "consolidated_copies", write)
+    root = warehouse.land(spark, d, "consolidated_copies", write, fresh=True)
     return spark.read.parquet(f"{root}/secop_consolidado_latest")
 
 
@@ -238,7 +239,7 @@ def q_snk_08(spark, d):
 
     def write(s, dd, path):
         sinks.export_csv(marts.resumen_departamento(master(s, dd)), path)
-    root = warehouse.land(spark, d, "mart_csv", write)
+    root = warehouse.land(spark, d, "mart_csv", write, fresh=True)
     return spark.read.option("header", True).schema(mart.schema).csv(root)
 
 
@@ -255,10 +256,10 @@ def land_event_pages_5000(spark, d, path):
 with e as (select {', '.join(EVENT_COLS)},
   ((row_number() over (order by event_id) - 1) // {landed.EDUCATION_PAGE}) * {landed.EDUCATION_PAGE} as page_offset
   from events)
-select * from e where page_offset < {landed.EDUCATION_MAX_ROWS}""")
+select * from e""")
 def q_src_02(spark, d):
     root = warehouse.land(spark, d, "event_pages_5000", land_event_pages_5000)
-    return (landed.read_pages(spark, root, event_schema(spark, d), landed.EDUCATION_PAGE, landed.EDUCATION_MAX_ROWS)
+    return (landed.read_pages(spark, root, event_schema(spark, d), landed.EDUCATION_PAGE)
             .withColumnRenamed("offset", "page_offset"))
 
 
@@ -271,7 +272,7 @@ def _db_location(spark, d):
 def q_snk_03(spark, d):
     def write(s, dd, path):
         sinks.write_parquet(jobs.clean_contracts_spark_variant(warehouse.layer(s, dd, "raw_spider")), path)
-    return spark.read.parquet(warehouse.land(spark, d, "spark_variant_parquet", write))
+    return spark.read.parquet(warehouse.land(spark, d, "spark_variant_parquet", write, fresh=True))
 
 
 @register("snk_06_carga_tabla", ORACLE["src_07_csv_pandas"])
@@ -329,5 +330,5 @@ def q_job_05(spark, d):
     def run_all(s, dd, path):
         pipeline.run(s, "all", landing, path, master_source=warehouse.contracts(s, dd)) \
             .write.mode("overwrite").parquet(f"{path}/_report")
-    root = warehouse.land(spark, d, "pipeline_run", run_all)
+    root = warehouse.land(spark, d, "pipeline_run", run_all, fresh=True)
     return spark.read.parquet(f"{root}/_report")

@@ -150,7 +150,7 @@ def q_qry_45(spark, d):
 , dep as (select coalesce(departamento, 'Sin info') as depto, count(*) as num_contratos,
   sum(valor_contrato) as valor_total from master group by 1),
 ent as (select nombre_entidad, coalesce(departamento, 'Sin info') as depto, sum(valor_contrato) as valor_total
-  from master group by 1, 2 order by valor_total desc, nombre_entidad, depto limit 100),
+  from master group by 1, 2),
 sec as (select coalesce(sector, 'Sin info') as sector, sum(valor_contrato) as valor_total from master group by master.sector),
 proc as (select coalesce(proceso_de_compra, 'Sin info') as proceso, sum(valor_contrato) as valor_total
   from master group by 1)
@@ -164,7 +164,7 @@ left join sec on coalesce(m.sector, 'Sin info') = sec.sector
 left join proc on coalesce(m.proceso_de_compra, 'Sin info') = proc.proceso"""))
 def q_qry_46(spark, d):
     m = master(spark, d)
-    return M.fact_with_summaries(m, marts.resumen_departamento(m), marts.resumen_entidad(m),
+    return M.fact_with_summaries(m, marts.resumen_departamento(m), marts.entity_totals(m),
                                  marts.resumen_sector(m), marts.resumen_tipo_proceso(m))
 
 

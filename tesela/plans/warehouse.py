@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures
+from ..sources.tables import TABLES, table_path
 
 LAYOUT_VERSION = "v2-range-layout"
 _lock = threading.RLock()
@@ -52,15 +54,36 @@ def set_run_tag(tag: str) -> None:
     _RUN_TAG["tag"] = tag
 
 
-def _key(sf_dir: str, name: str, build: Callable) -> str:
-    """Layer folder: input folder + the builder's code, so a changed
-    builder never reads a layer written by an older one."""
+def input_files(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the input tables' files: paths, sizes, modification times.
+
+    A listing of the tables' folders, no data; with it in a layer's name a
+    changed, added or removed file never meets a layer made before.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    h = hashlib.sha1()
+    for table in TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, table))
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            continue
+        files, found = fs.listFiles(path, True), []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        h.update("\n".join(sorted(found)).encode())
+    return h.hexdigest()
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str, build: Callable) -> str:
+    """Layer folder: input folder and files + the builder's code, so neither
+    changed data nor a changed builder reads an older layer."""
     try:
         code = inspect.getsource(build) + _IO_CODE
     except (OSError, TypeError):
         code = getattr(build, "__qualname__", repr(build)) + _IO_CODE
     run = _RUN_TAG.get("tag", "")
-    h = hashlib.sha1(f"{LAYOUT_VERSION}|{run}|{sf_dir.rstrip('/')}|{code}".encode()).hexdigest()[:16]
+    h = hashlib.sha1(f"{LAYOUT_VERSION}|{run}|{sf_dir.rstrip('/')}|{input_files(spark, sf_dir)}|{code}".encode()).hexdigest()[:16]
     return f"tesela-layers/{name}-{h}"
 
 
@@ -68,9 +91,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(f"{path}/_SUCCESS").schema  # listing only, no job
         return True
-    except AnalysisException:
-        return False
-    except Exception:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 
@@ -81,7 +104,7 @@ def materialize(spark: SparkSession, sf_dir: str, name: str,
     if spark.conf.get("tesela.materialize", "true").lower() != "true":
         return build(spark, sf_dir)
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/{_key(sf_dir, name, build)}"
+    path = f"{root}/{_key(spark, sf_dir, name, build)}"
     ident = (spark.sparkContext.applicationId, path, name)
     with _lock:
         if ident not in _known:
@@ -101,18 +124,27 @@ def materialize(spark: SparkSession, sf_dir: str, name: str,
     return spark.read.parquet(path)
 
 
-def land(spark: SparkSession, sf_dir: str, name: str, write: Callable[[SparkSession, str, str], None]) -> str:
-    """Write landed files for ``name`` once (``write(spark, sf_dir, path)``)
-    and return their folder; a ``_DONE`` marker written last makes a
-    half-written landing be redone."""
+def land(spark: SparkSession, sf_dir: str, name: str, write: Callable[[SparkSession, str, str], None],
+         fresh: bool = False) -> str:
+    """Run the writer of ``name`` (``write(spark, sf_dir, path)``) and return
+    its folder.
+
+    Input landings are written once per application and read by several
+    queries; another application writes its own, so a stored landing is never
+    taken for the writer's work. ``fresh`` writes on every call (queries that
+    exercise a sink).
+    """
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/{_key(sf_dir, name, write).replace('tesela-layers', 'tesela-landing')}"
-    ident = (spark.sparkContext.applicationId, path, name)
+    app = spark.sparkContext.applicationId
+    path = f"{root}/{_key(spark, sf_dir, name, write).replace('tesela-layers', 'tesela-landing')}-{app}"
+    if fresh:
+        path = f"{path}-{uuid.uuid4().hex[:12]}"
+        write(spark, sf_dir, path)
+        return path
+    ident = (app, path, name)
     with _lock:
         if ident not in _known:
-            if not _exists(spark, f"{path}/_DONE"):
-                write(spark, sf_dir, path)
-                spark.createDataFrame([], "x int").write.mode("overwrite").parquet(f"{path}/_DONE")
+            write(spark, sf_dir, path)
             _known[ident] = path
     return path
 

@@ -53,8 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used
-    as is. Only a session without one (tests, local runs) gets a fresh
-    folder under the system temp directory.
+    as is. Only a local session without one (tests, local runs) gets a fresh
+    folder under the system temp directory: elsewhere each executor would
+    write to its own disk, so a missing folder is an error there.
     """
     root = checkpoint_root(spark)
     if root:
@@ -64,6 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover
             pass
         return root
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
     root = tempfile.mkdtemp(prefix="tesela-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     return spark.sparkContext.getCheckpointDir() or root

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
@@ -27,38 +27,36 @@ JSON_TIME_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
-# FIXED VALUES: paging parameters of the extractors (rows).
-CONTRACTS_MAX_ROWS, CONTRACTS_PAGE = 50_000, 10_000
-EDUCATION_MAX_ROWS, EDUCATION_PAGE = 10_000, 5_000
+# FIXED VALUES: page sizes of the extractors (rows). Their row caps are an
+# argument of ``apply_paging``, off by default.
+CONTRACTS_PAGE = 10_000
+EDUCATION_PAGE = 5_000
 CRAWLER_PAGE = 1_000
 
 
 # ------------------------------------------------------------------ SRC-01 / SRC-02
-def apply_paging(pages: DataFrame, page_size: int, max_rows: int, offset_col: str = "offset") -> DataFrame:
+def apply_paging(pages: DataFrame, page_size: int, max_rows: int | None = None, offset_col: str = "offset") -> DataFrame:
     """Keep what a pager that stops at the first short or empty page would
-    have fetched, with the cap applied to the *offset* (the last page is not
-    truncated).
-
-    Page ``k`` is full when it exists at offset ``k * page_size`` with
-    ``page_size`` rows. With ``m`` = number of leading full pages, the rows
-    kept are those with ``offset <= m * page_size`` and ``offset < cap``;
-    stray pages after a gap or a short page are ignored. The page table
-    (one row per page) is tiny; it is reduced to one row and broadcast.
+    have fetched; ``max_rows`` caps the *offset* (the last page is not
+    truncated), ``None`` takes everything.
+
+    The pager stops at the smallest page start whose page is not full. Page
+    starts are 0 and the ends of the full pages, so that is one anti-join of
+    the full pages with themselves and a minimum, with no order over all
+    pages. The stop is one number and goes into the filter as a literal,
+    which prunes the pages' folders. Stray pages after a gap or a short page,
+    and pages that start off the grid, are ignored.
     """
     counts = pages.groupBy(offset_col).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(offset_col)
-    idx = counts.withColumn("_i", F.row_number().over(w) - 1)
-    good = (F.col(offset_col) == F.col("_i") * page_size) & (F.col("_n") == page_size)
-    bad_first = idx.agg(F.min(F.when(~good, F.col("_i"))).alias("_m"),
-                        F.count(F.lit(1)).alias("_pages"))
-    stop = bad_first.select(F.coalesce("_m", "_pages").cast("long").alias("_m"))
-    kept = (pages.crossJoin(F.broadcast(stop))
-            .filter((F.col(offset_col) <= F.col("_m") * page_size) & (F.col(offset_col) < max_rows))
-            .drop("_m"))
-    return kept
-
-
-def read_pages(spark: SparkSession, root: str, schema: StructType, page_size: int, max_rows: int,
+    full = counts.filter((F.col("_n") == page_size) & (F.col(offset_col) % page_size == 0)).select(F.col(offset_col).alias("_at"))
+    first = pages.sparkSession.range(1).select(F.col("id").alias("_start"))
+    starts = first.unionByName(full.select((F.col("_at") + page_size).alias("_start")))
+    stop = starts.join(full, F.col("_start") == F.col("_at"), "left_anti").agg(F.min("_start")).first()[0]
+    kept = (F.col(offset_col) <= F.lit(stop)) & (F.col(offset_col) % page_size == 0)
+    return pages.filter(kept if max_rows is None else kept & (F.col(offset_col) < max_rows))
+
+
+def read_pages(spark: SparkSession, root: str, schema: StructType, page_size: int, max_rows: int | None = None,
                fmt: str = "json") -> DataFrame:
     """SRC-01/02: landed pages ``root/offset=N/*.json`` -> rows, with the
     ``offset`` taken from the path partition."""
@@ -88,10 +86,13 @@ def read_csv_text(spark: SparkSession, path: str | Sequence[str], schema: Struct
 
 
 def read_csv_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """SRC-03: a missing drop file gives an empty table of ``schema``."""
+    """SRC-03: a missing drop file gives an empty table of ``schema``; any
+    other fault of the file or the schema is raised."""
     try:
         return read_csv_text(spark, path, schema)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -100,14 +101,13 @@ def read_from_manifest(spark: SparkSession, manifest: str, resolve=lambda url: u
                        schema: StructType | None = None) -> DataFrame | None:
     """SRC-04: the first entry of ``datasets[]`` names a CSV to read.
 
-    Only the one URL crosses to the driver. An empty list or missing URL
-    gives ``None`` (the source returns an empty frame).
+    Only the one URL crosses to the driver. No list, an empty list, or a
+    first entry without a URL gives ``None`` (the source returns an empty
+    frame).
     """
-    m = spark.read.option("multiLine", True).json(manifest)
-    if "datasets" not in m.columns:
-        return None
-    first = m.select(F.element_at("datasets", 1).alias("d")).select("d.download_url").limit(1).collect()
-    if not first or first[0][0] is None:
+    m = (spark.read.schema("datasets array<struct<download_url:string>>").option("multiLine", True).json(manifest))
+    first = m.select(F.get("datasets", F.lit(0))["download_url"]).limit(1).collect()
+    if not first or not first[0][0]:
         return None
     return read_csv_text(spark, resolve(first[0][0]), schema)
 
@@ -149,10 +149,10 @@ def read_json_dump(spark: SparkSession, path: str, schema: StructType | None = N
 
 # ------------------------------------------------------------------ SRC-08
 def scan_directory(spark: SparkSession, root: str, glob: str = "*.csv", recursive: bool = False,
-                   min_bytes: int = 100, fmt: str = "csv", **options) -> DataFrame:
+                   min_bytes: int = 0, fmt: str = "csv", **options) -> DataFrame:
     """SRC-08: every file under ``root`` matching ``glob`` (optionally
-    recursive) larger than ``min_bytes``, read as one table with the file
-    name attached."""
+    recursive) larger than ``min_bytes`` (by default: not empty), read as
+    one table with the file name attached."""
     r = spark.read.format(fmt).option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", True)
@@ -166,32 +166,35 @@ def scan_directory(spark: SparkSession, root: str, glob: str = "*.csv", recursiv
 
 
 # ------------------------------------------------------------------ SRC-09
-def latest_snapshots(files: DataFrame, datasets: Sequence[str], exclude_substring: str | None = "2025",
-                     by_directory: bool = False) -> DataFrame:
+def latest_snapshots(files: DataFrame, datasets: Sequence[str], exclude: Sequence[str] = ()) -> DataFrame:
     """SRC-09: for each dataset prefix, the rows of its most recently
-    modified file, skipping file names that contain ``exclude_substring``.
-
-    ``files`` must expose ``_metadata`` (a file-based DataFrame). The
-    dataset of a file is the longest listed prefix its name starts with.
-    Ties on modification time go to the greater file name. With
-    ``by_directory`` a snapshot is a folder of part files (what Spark
-    writers produce) named like a file would be.
+    modified snapshot, without snapshots whose name starts with a key in
+    ``exclude`` (a dataset's yearly variant, say; a date inside a name
+    excludes nothing).
+
+    ``files`` must expose ``_metadata`` (a file-based DataFrame). A snapshot
+    is a folder named like a dataset, with all its part files, else the
+    files that share a name up to a part suffix (``-part-0001``, ``.part2``).
+    The dataset is the longest listed prefix of its name. Ties on
+    modification time go to the greater name.
     """
-    if by_directory:
-        name = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
-    else:
-        name = F.col("_metadata.file_name")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    stem = F.regexp_replace(F.col("_metadata.file_name"), r"([._-]part[._-]?[0-9]+)?\.[A-Za-z0-9.]+$", "")
+    in_folder = F.lit(False)
+    for d in datasets:
+        in_folder = in_folder | folder.startswith(d + "_")
+    name = F.when(in_folder, folder).otherwise(stem)
     ds = None
     for d in sorted(datasets, key=len, reverse=True):
         cond = name.startswith(d + "_")
         ds = F.when(cond, F.lit(d)) if ds is None else ds.when(cond, F.lit(d))
     tagged = files.withColumn("_dataset", ds).withColumn("_file", name).withColumn(
         "_mtime", F.col("_metadata.file_modification_time"))
-    if exclude_substring:
-        tagged = tagged.filter(~F.col("_file").contains(exclude_substring))
+    for key in exclude:
+        tagged = tagged.filter(~F.col("_file").startswith(key))
     tagged = tagged.filter(F.col("_dataset").isNotNull())
-    per_file = tagged.select("_dataset", "_file", "_mtime").distinct()
-    best = (per_file.groupBy(F.col("_dataset").alias("_bd"))
+    per_file = tagged.groupBy("_dataset", "_file").agg(F.max("_mtime").alias("_mtime"))
+    best = (per_file.groupBy(F.col("_dataset").alias("_bd"))  # one row per listed dataset
             .agg(F.max_by("_file", F.struct("_mtime", "_file")).alias("_bf")))
     out = tagged.join(F.broadcast(best), (F.col("_dataset") == F.col("_bd")) & (F.col("_file") == F.col("_bf")),
                       "left_semi")

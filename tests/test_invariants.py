@@ -2,6 +2,7 @@
 TOPN ties, paging and catalog helpers."""
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -154,3 +155,76 @@ def test_retrieve_matches_brute_force(spark):
         pool = sorted(hits or rows, key=key)[:7]
         want += [(q, i + 1, *r) for i, r in enumerate(pool)]
     assert got == sorted(want)
+
+
+def test_paging_takes_all_pages_without_a_cap(spark):
+    rows = [(o, i) for o in range(0, 60_000, 10_000) for i in range(10_000)] + [(60_000, 1), (5, 5)]
+    df = spark.createDataFrame(rows, "offset long, i int")
+    assert landed.apply_paging(df, 10_000).count() == 60_001
+    assert landed.apply_paging(df.limit(0), 10_000).count() == 0
+
+
+def test_small_files_and_snapshots(spark, tmpdir_path):
+    import os
+
+    def put(name, body, at):
+        os.makedirs(os.path.dirname(f"{tmpdir_path}/{name}"), exist_ok=True)
+        with open(f"{tmpdir_path}/{name}", "w") as f:
+            f.write(body)
+        os.utime(f"{tmpdir_path}/{name}", (at, at))
+
+    put("s/a.csv", "k,v\n1,2\n3,4\n", 1)
+    assert landed.scan_directory(spark, f"{tmpdir_path}/s").count() == 2
+    put("t/secop_i_20240101.csv", "k\n1\n", 1000)
+    put("t/secop_i_20250101-part-0001.csv", "k\n2\n", 2000)
+    put("t/secop_i_20250101-part-0002.csv", "k\n3\n", 2001)
+    put("t/secop_ii_2025_x.csv", "k\n9\n", 3000)
+    files = spark.read.option("header", True).csv(f"{tmpdir_path}/t")
+    got = landed.latest_snapshots(files, ["secop_i", "secop_ii"], exclude=["secop_ii_2025_"])
+    assert sorted(r["k"] for r in got.collect()) == ["2", "3"]
+
+
+def test_manifest_without_url(spark, tmpdir_path):
+    for k, body in enumerate(('{"datasets": []}', '{}', '{"datasets": [{"name": "x"}]}', '{"datasets": [{"download_url": null}]}')):
+        with open(f"{tmpdir_path}/{k}.json", "w") as f:
+            f.write(body)
+        assert landed.read_from_manifest(spark, f"{tmpdir_path}/{k}.json") is None
+
+
+def test_education_cleans_every_text_column(spark):
+    df = spark.createDataFrame([tuple(" nan " for _ in range(20)), tuple(f" x{i} " for i in range(20))], ", ".join(f"c{i} string" for i in range(20)))
+    rows = {tuple(r) for r in jobs.clean_education(df).collect()}
+    assert tuple(f"x{i}" for i in range(20)) in rows
+    assert all(v in (None, "") for r in rows for v in r if r[0] != "x0")
+
+
+def test_changed_input_makes_a_new_layer(spark, tmpdir_path):
+    from tesela.plans import warehouse
+
+    def build(s, d):
+        return s.read.parquet(f"{d}/region.parquet")
+
+    spark.range(6).write.parquet(f"{tmpdir_path}/region.parquet")
+    assert warehouse.materialize(spark, tmpdir_path, "probe", build).count() == 6
+    spark.range(2).write.mode("overwrite").parquet(f"{tmpdir_path}/region.parquet")
+    assert warehouse.materialize(spark, tmpdir_path, "probe", build).count() == 2
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from tesela import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
