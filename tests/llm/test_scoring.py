@@ -123,22 +123,13 @@ def test_kneser_ney_against_brute_force(llm, docs, no_docs):
     assert kn_lm.score(no_docs, model).count() == 0
 
 
-def test_kneser_ney_sums_to_one(llm):
+def test_kneser_ney_of_all_short_texts(llm):
     texts = ["a b a c", "a b b a", "c a b", "a a a b c d e f a b"]
     model = kn_lm.train(llm.createDataFrame([(t,) for t in texts], "text string"))
-    vocabulary = sorted({w for t in texts for w in t.split()})
-    score = {}
-
-    def p(*words):
-        """Probability of the words after the begin mark, by adding an end token's part."""
-        return score[" ".join(words)]
-
-    asked = [""] + [" ".join(x) for x in ([(v,) for v in [*vocabulary, "zz"]] + [(v, w) for v in [*vocabulary, "zz"] for w in [*vocabulary, "zz"]])]
-    for r in kn_lm.score(llm.createDataFrame([(t,) for t in asked], "text string"), model).collect():
-        score[r["text"]] = 10 ** r["score"]
-    # p(v w end) = p(v) p(w|v) p(end|w) and p(w end) = p(w) p(end|w), so the sum over w of
-    # p(v w end) p(w) / p(w end) plus p(v end) is p(v), for every v; p(w) comes from brute force
-    _, rows = brute_kn(texts, [" ".join([v]) for v in [*vocabulary, "zz"]])
-    assert [p(v) for v in [*vocabulary, "zz"]] == pytest.approx([10 ** r[3] for r in rows])
-    first = 1 - p("")  # all that is not the end token at once
-    assert 0 < sum(p(v) for v in vocabulary) < first
+    words = [*sorted({w for t in texts for w in t.split()}), "zz"]
+    asked = ["", *words, *(f"{v} {w}" for v in words for w in words)]
+    got = {r["text"]: 10 ** r["score"] for r in kn_lm.score(llm.createDataFrame([(t,) for t in asked], "text string"), model).collect()}
+    _, rows = brute_kn(texts, asked)
+    assert got == pytest.approx({t: 10 ** r[3] for t, r in zip(asked, rows, strict=True)})
+    # all texts of no, one or two words are a part of all texts
+    assert sum(got.values()) < 1
