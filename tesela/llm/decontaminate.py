@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from . import runs, shared
 from .bytewords import ALNUM, U64, split_words, text_slices
-from .util import fresh
+from .util import with_text
 
 WINDOW = 13
 COVERAGE = 20  # contaminated if hits * COVERAGE >= words
@@ -203,11 +203,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_te
     folder, n = build(items, item_text, item_id, window)
     names = [prefix + x for x in ("n_words", "n_hit", "items", "clean_text")]
     kept = [c for c in docs.columns if c not in names]
-    src = docs.select(*kept, F.col(text).cast("string").alias(fresh(docs, "text_of_scan")))
+    src, at = with_text(docs, kept, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
+            column = batch.column(at)
             hits: dict[int, tuple[list, set]] = {}
             words = np.zeros(batch.num_rows, np.int64)
             for k in range(max(n, 1)):  # the outer loop, so each automaton is loaded once per batch
@@ -242,7 +242,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_te
                         parts.append(raw[last:one.start[a]])
                         last = int(one.end[b - 1])
                     clean[row] = b"".join([*parts, raw[last:]]).decode()
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(words), pa.array(n_hit),
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(words), pa.array(n_hit),
                                               pa.array(listed, pa.list_(pa.string())), clean if clean is column else pa.array(clean, pa.string())], names=[*kept, *names])
 
     kinds = (T.LongType(), T.LongType(), T.ArrayType(T.StringType()), T.StringType())

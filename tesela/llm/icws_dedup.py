@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 from . import runs, shared
 from .bytewords import NONSPACE, U64, Words, mix, ngrams, split_words, text_slices
 from .components import components
-from .util import fresh
+from .util import fresh, with_text
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -296,13 +296,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 def with_text_keys(docs: DataFrame, text: str, names: tuple[str, str]) -> DataFrame:
     """``docs`` and the two hashes of its words."""
     columns = docs.columns
-    src = docs.withColumn(fresh(docs, "text_of_keys"), F.col(text).cast("string"))
+    src, at = with_text(docs, columns, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_slices(batch.column(batch.num_columns - 1)):
+            for lo, hi, data, offsets in text_slices(batch.column(at)):
                 keys = text_keys(split_words(data, offsets, NONSPACE)).astype(np.int64)
-                kept = [batch.column(i).slice(lo, hi - lo) for i in range(batch.num_columns - 1)]
+                kept = [batch.column(i).slice(lo, hi - lo) for i in range(len(columns))]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=[*columns, *names])
 
     return src.mapInArrow(run, T.StructType([*docs.schema, *(T.StructField(x, T.LongType()) for x in names)]))

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .bytewords import NONSPACE, U64, mix, split_words, text_slices
 from .cnn_toxicity import class_share, labelled_sample, sigmoid
-from .util import fresh
+from .util import with_text
 
 PASSAGE = 48
 CLASSES = 16
@@ -215,14 +215,14 @@ def score(docs: DataFrame, model: Mil | float, text: str = "text", name: str = "
     kept = [c for c in docs.columns if c != name]
     if isinstance(model, float):
         return docs.select(*kept, F.lit(model).alias(name))
-    src = docs.select(*kept, F.col(text).cast("string").alias(fresh(docs, "text_of_score")))
+    src, at = with_text(docs, kept, text)
     held = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for batch in batches:
-            for lo, hi, data, offsets in text_slices(batch.column(batch.num_columns - 1), 1 << 20):
+            for lo, hi, data, offsets in text_slices(batch.column(at), 1 << 20):
                 s = sigmoid(m.logits(*encode(data, offsets)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(batch.num_columns - 1)), pa.array(s)], names=[*kept, name])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(len(kept))), pa.array(s)], names=[*kept, name])
 
     return src.mapInArrow(run, T.StructType([*(src.schema[c] for c in kept), T.StructField(name, T.DoubleType())]))

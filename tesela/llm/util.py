@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def with_text(docs: DataFrame, kept: list[str], text: str) -> tuple[DataFrame, int]:
+    """Columns ``kept`` of ``docs`` and the place of its texts among them. A
+    copy as string comes last only where ``text`` is not a kept string, so
+    texts go to the workers once."""
+    if text in kept and isinstance(docs.schema[text].dataType, T.StringType):
+        return docs.select(*kept), kept.index(text)
+    return docs.select(*kept, F.col(text).cast("string").alias(fresh(docs, "text_as_string"))), len(kept)
+
+
 #: Rows of a small table that may be broadcast (some tens of MB).
 BROADCAST_ROWS = 100_000
 
@@ -38,14 +48,22 @@ def join_counted(left: DataFrame, right: DataFrame, on, how: str = "left", rows:
     return left.join(F.broadcast(right) if n <= BROADCAST_ROWS else right, on, how)
 
 
+#: Rows of a batch that a Python worker gets: whole texts, so the default of
+#: 10,000 is some 100 MB on both sides.
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the package to the Python workers of this application, once."""
+    """Give the package to the Python workers of this application, once, and
+    bound the rows of a batch for them where the session does not."""
     import io
     import os
     import pathlib
     import tempfile
     import zipfile
 
+    if spark.conf.get(BATCH_CONF) == "10000":  # Spark's own default
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
     sc = spark.sparkContext
     if getattr(sc, "_tesela_shipped", False):
         return
