@@ -10,6 +10,8 @@ text is never split, so a slice is at least one whole text.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -131,6 +133,17 @@ def text_slices(col: pa.Array | pa.ChunkedArray, max_bytes: int = 1 << 20) -> It
         stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + max_bytes, "right")) - 1)
         yield row, stop, data[offsets[row]:offsets[stop]], offsets[row:stop + 1] - offsets[row]
         row = stop
+    del data, offsets
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
 
 
 def ngrams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import runs, shared
-from .bytewords import NONSPACE, U64, Words, mix, ngrams, split_words, text_slices
+from .bytewords import NONSPACE, U64, Words, mix, ngrams, release, split_words, text_slices
 from .components import components
 from .util import fresh, with_text
 
@@ -55,7 +55,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 ROUNDS = 2
 GROUPS = 64  # hash groups in which missing shingles are counted
-PORTION = 2_000_000
+PORTION = 1_000_000
 TABLE_BITS = 14  # size of the tables of random draws
 
 
@@ -148,6 +148,7 @@ def _store_df(folder: str):
         often = counts >= 2
         shared.put(f"{folder}/shingles-{shard}", keys[often])
         shared.put(f"{folder}/df-{shard}", counts[often].astype(np.uint32))
+        release()
         return pa.table({"shard": pa.array([shard], pa.int32()), "n": [int(often.sum())]})
     return store
 
@@ -212,6 +213,8 @@ def _sign(folder: str, shards: int, texts: int, similarity: float, bands: int, r
                         seen = {}
         if vectors:
             shared.put(f"{folder}/{name}-{part}", b"".join(vectors))
+        del vectors, seen
+        release()
     return sign
 
 

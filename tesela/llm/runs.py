@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from .bytewords import U64
+from .bytewords import U64, release
 
 RUN_SCHEMA = "shard int, n long, keys binary, counts binary"
 RUN_ARROW = pa.schema([("shard", pa.int32()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -73,15 +73,18 @@ class Portion:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        keys, counts = summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))
+        keys, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         self.parts, self.size = [], 0
+        keys, counts = summed(keys, counts)
         yield from runs_of(keys, counts, self.shard(keys, self.shards))
+        release()
 
 
 def runs_of(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> Iterator[pa.RecordBatch]:
     """One row per shard of sorted distinct ``keys``."""
-    order = np.argsort(shard, kind="stable")
-    keys, counts, shard = keys[order], counts[order], shard[order]
+    if (shard[1:] < shard[:-1]).any():
+        order = np.argsort(shard, kind="stable")
+        keys, counts, shard = keys[order], counts[order], shard[order]
     ids, at = np.unique(shard, return_index=True)
     for lo in range(0, len(ids), 64):
         rows = [(int(ids[k]), keys[at[k]:(at[k + 1] if k + 1 < len(at) else len(keys))],
