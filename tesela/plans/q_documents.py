@@ -42,7 +42,26 @@ def q_rag_01(spark, d):
 
 
 # ------------------------------------------------------------------ RAG-02
-@register("rag_02_fragmentos")
+#: Chunk ``s..e`` of pieces with running lengths ``c``: it ends with the last
+#: piece that keeps it within 1000, and holds the piece that closed the chunk
+#: before it; the next one starts with the suffix of at most 100.
+_CHUNKS_SQL = r"""
+with recursive p as (select row_number() over () as rid, doc_id as id,
+    string_split(regexp_replace(coalesce(text, ''), '([.!?])[ \t\n\x0B\f\r]+', '\1 | ', 'g'), ' | ') as ps from documents),
+u as (select rid, unnest(ps) as piece, generate_subscripts(ps, 1) as k from p),
+t as (select rid, k, sum(length(piece)) over (partition by rid order by k) as upto from u),
+c as (select rid, list(upto order by k) as c from t group by rid),
+r as (
+  select rid, c, 0 as chunk_no, 1::bigint as s, greatest(1, len([x for x in c if x <= 1000])) as e from c
+  union all
+  select rid, c, chunk_no + 1, s2, greatest(e + 1, len([x for x in c if x <= before + 1000]))
+  from (select *, case when s2 > 1 then c[s2 - 1] else 0 end as before
+    from (select *, greatest(s, case when c[e] <= 100 then 1 else 2 + len([x for x in c if x < c[e] - 100]) end) as s2
+      from r where e < len(c))))
+select p.id, cast(chunk_no as integer) as chunk_no, array_to_string(ps[s:e], ' | ') as content from r join p using (rid)"""
+
+
+@register("rag_02_fragmentos", _CHUNKS_SQL)
 def q_rag_02(spark, d):
     docs = read_table(spark, d, "documents", "doc_id", "text").select(
         F.col("doc_id").alias("id"), D.sentences_as_pieces(F.col("text")).alias("content"))
