@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import tablefuncs as T
 from .q_contracts import DEP, YEAR, master
-from .registry import register
+from .registry import ORACLE, register
 from .sqlkit import on_master
 
 
@@ -54,6 +54,24 @@ def q_fn_01_sql(spark, d):
     return spark.sql(f"SELECT * FROM entidades_por_departamento('{DEP}', 20)")
 
 
+@register("fn_02_sql_contratos_por_sector", ORACLE["fn_02_contratos_por_sector"])
+def q_fn_02_sql(spark, d):
+    T.register_sql_functions(spark, master(spark, d))
+    return spark.sql(f"SELECT * FROM contratos_por_sector({YEAR})")
+
+
+@register("fn_03_sql_top_proveedores_region", ORACLE["fn_03_top_proveedores_region"])
+def q_fn_03_sql(spark, d):
+    T.register_sql_functions(spark, master(spark, d))
+    return spark.sql(f"SELECT * FROM top_proveedores_region('{DEP}', 10)")
+
+
+@register("fn_05_sql_dataset_stats", ORACLE["fn_05_dataset_stats"])
+def q_fn_05_sql(spark, d):
+    T.register_sql_functions(spark, master(spark, d))
+    return spark.sql("SELECT * FROM dataset_stats()")
+
+
 @register("fn_04_sql_contratos_un_proponente", on_master(f"""
 select nombre_entidad as entidad, objeto_contrato, valor_contrato, proveedor
 from master where year(fecha_inicio) = {YEAR} and numero_proponentes = 1

@@ -76,7 +76,7 @@ RETURNS TABLE (sector STRING, total_contratos BIGINT, valor_total DECIMAL(30,2))
 RETURN SELECT CASE WHEN lower(objeto_contrato) LIKE '%educacion%' THEN 'Educación'
                    WHEN lower(objeto_contrato) LIKE '%salud%' THEN 'Salud' ELSE 'Otros' END AS sector,
               count(*) AS total_contratos, sum(valor_contrato) AS valor_total
-FROM {view} WHERE year(fecha_inicio) = p_anno GROUP BY 1""",
+FROM {view} WHERE fecha_inicio >= make_date(p_anno, 1, 1) AND fecha_inicio < make_date(p_anno + 1, 1, 1) GROUP BY 1""",
     "top_proveedores_region": """
 CREATE OR REPLACE TEMPORARY FUNCTION top_proveedores_region(p_departamento STRING, p_limite INT DEFAULT 10)
 RETURNS TABLE (proveedor STRING, num_contratos BIGINT, valor_total DECIMAL(30,2))
@@ -91,7 +91,8 @@ RETURNS TABLE (entidad STRING, objeto_contrato STRING, valor_contrato DECIMAL(20
 RETURN SELECT entidad, objeto_contrato, valor_contrato, proveedor FROM (
   SELECT nombre_entidad AS entidad, objeto_contrato, valor_contrato, proveedor,
          row_number() OVER (ORDER BY valor_contrato DESC, nombre_entidad, objeto_contrato, proveedor) AS rn
-  FROM {view} WHERE year(fecha_inicio) = p_anno AND numero_proponentes = 1)
+  FROM {view} WHERE fecha_inicio >= make_date(p_anno, 1, 1) AND fecha_inicio < make_date(p_anno + 1, 1, 1)
+    AND numero_proponentes = 1)
 WHERE rn <= 100""",
     "dataset_stats": """
 CREATE OR REPLACE TEMPORARY FUNCTION dataset_stats()
