@@ -14,7 +14,8 @@ side. So a source misses its target by half a document at most.
 The running total of words in rank order is taken in two steps, so a source
 that holds most of the rows is never ordered in one task: words are added up
 per source and rank bucket (equal parts of rank / (1 + rank)), the bucket
-that reaches the limit is found on those sums, and only its documents are
+that reaches the limit is found on those sums, first among 256 spans of
+buckets, then among the 256 buckets of one span, and only its documents are
 ordered (the ranks at the limit are near 1, where a bucket holds about one
 part in 65,536 of a source).
 """
@@ -32,6 +33,7 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3.0
 SIZE_POWER = 0.5
 BUCKETS = 1 << 16
+SPAN = 1 << 8  # buckets of a span
 
 
 def n_words(text):
@@ -74,6 +76,16 @@ def _power(x, by: float):
     return F.sqrt(x) if by == 0.5 else F.pow(x, F.lit(by))
 
 
+def _reached(sums: DataFrame, key: str) -> DataFrame:
+    """``of`` (source), ``key`` at which ``before`` and the running words reach
+    the source's limit, and ``before`` it; a window of at most ``BUCKETS /
+    SPAN`` or ``SPAN`` rows."""
+    run = Window.partitionBy("source").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    over = sums.withColumn("upto", F.col("before") + F.sum("words").over(run)).where(F.col("upto") >= F.col("limit"))
+    first = over.groupBy("source").agg(F.min(F.struct(key, (F.col("upto") - F.col("words")).alias("before"))).alias("c"))
+    return first.select(F.col("source").alias("of"), F.col(f"c.{key}").alias(key), F.col("c.before").alias("before"))
+
+
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[float, ...] = WEIGHTS,
         share: float = 1.0, most: float = MOST, size_power: float = SIZE_POWER, weight: str | None = None, seed: int = 42) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``source``, ``size`` (words),
@@ -108,10 +120,11 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     spread = F.col("rank") / (1 + F.col("rank"))
     d = d.withColumn("bucket", F.when(F.col("rank").isNotNull(), F.least(F.floor(spread * F.lit(BUCKETS)), F.lit(BUCKETS - 1)).cast("int")))
     per = d.where("bucket is not null").groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.max(F.col("part") * F.col("source_size")).alias("limit"))
-    run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = per.withColumn("upto", F.sum("words").over(run)).where(F.col("upto") >= F.col("limit"))
-    cut = cut.groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("c"))
-    cut = shared.written(cut.select(F.col("source").alias("of"), F.col("c.bucket").alias("cut"), F.col("c.before").alias("before")), "mix-cut")
+    per = shared.written(per.withColumn("span", F.floor(F.col("bucket") / SPAN)), "mix-buckets")
+    spans = per.groupBy("source", "span").agg(F.sum("words").alias("words"), F.max("limit").alias("limit"))
+    at_span = shared.written(_reached(spans.withColumn("before", F.lit(0).cast("long")), "span"), "mix-spans")
+    inner = join_counted(per.withColumnRenamed("span", "of_span"), at_span, F.col("source").eqNullSafe(F.col("of")) & (F.col("of_span") == F.col("span")), "inner", n)
+    cut = shared.written(_reached(inner.drop("of", "of_span", "span"), "bucket").withColumnRenamed("bucket", "cut"), "mix-cut")
     d = join_counted(d, cut, F.col("source").eqNullSafe(F.col("of")), "left", n).drop("of")
     # only the documents of one bucket per source are ordered
     limit = F.col("part") * F.col("source_size")
