@@ -33,6 +33,7 @@ from .util import with_text
 WINDOW = 13
 COVERAGE = 20  # contaminated if hits * COVERAGE >= words
 BLOCK_WORDS = 100_000
+BYTES_PER_WORD = 6  # with its gap, roughly: how many tasks build blocks
 
 
 class Automaton:
@@ -148,32 +149,49 @@ class Automaton:
                     yield i - n, i, (name,)
 
 
-def build(items: DataFrame, text: str, item_id: str, window: int, block_words: int = BLOCK_WORDS) -> tuple[str, int]:
-    """Write the automata of all items to the shared folder: folder, number.
+def _build_blocks(folder: str, window: int, block_words: int):
+    def build_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    The driver streams the items and holds one block of words at a time.
-    """
-    folder = shared.new_folder(items.sparkSession, "automata")
-    block, words, n = [], 0, 0
+        task = TaskContext.get()
+        names: list[str] = []
+        block: list[tuple[str | None, np.ndarray]] = []
+        words = 0
+        step = max(block_words - window + 1, 1)
+
+        def flush() -> None:
+            # the attempt is part of the name: a name that is returned is of a whole file
+            names.append(f"automaton-{task.partitionId()}-{task.taskAttemptId()}-{len(names)}")
+            shared.put(f"{folder}/{names[-1]}", pickle.dumps(Automaton(block, window), protocol=5))
 
-    def flush() -> None:
-        nonlocal block, words, n
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = np.frombuffer(text.encode(), np.uint8)
+                h = split_words(raw, np.array([0, len(raw)]), ALNUM).hash
+                for piece in [h] if len(h) <= block_words else [h[a:a + block_words] for a in range(0, len(h) - window + 1, step)]:
+                    if len(piece):
+                        block.append((item, piece))
+                        words += len(piece)
+                    if words >= block_words:
+                        flush()
+                        block, words = [], 0
         if block:
-            shared.put(f"{folder}/automaton-{n}", pickle.dumps(Automaton(block, window), protocol=5))
-            block, words, n = [], 0, n + 1
-
-    step = max(block_words - window + 1, 1)
-    for r in items.select(F.col(item_id).cast("string").alias("item"), F.col(text).cast("string").alias("text")).where("text is not null").toLocalIterator():
-        h = split_words(np.frombuffer(r["text"].encode(), np.uint8), np.array([0, len(r["text"].encode())]), ALNUM).hash
-        pieces = [h] if len(h) <= block_words else [h[a:a + block_words] for a in range(0, len(h) - window + 1, step)]
-        for piece in pieces:
-            if len(piece):
-                block.append((r["item"], piece))
-                words += len(piece)
-                if words >= block_words:
-                    flush()
-    flush()
-    return folder, n
+            flush()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
+    return build_blocks
+
+
+def build(items: DataFrame, text: str, item_id: str, window: int, block_words: int) -> tuple[str, list[str]]:
+    """Write the automata of all items to the shared folder: folder, names.
+
+    Tasks build them, about one block of words each, from the items as the
+    table deals them; only the names of the files reach the driver.
+    """
+    folder = shared.new_folder(items.sparkSession, "automata")
+    rows = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).cast("string").alias("text")).where("text is not null")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    few = rows.coalesce(max(-(-size // (BYTES_PER_WORD * block_words)), 1))
+    return folder, sorted(r["name"] for r in few.mapInArrow(_build_blocks(folder, window, block_words), "name string").collect())
 
 
 _loaded: dict[str, Automaton] = {}
@@ -200,7 +218,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_te
     documents are judged one by one. An empty items table hits nothing. A
     clashing input column is replaced; give a ``prefix`` to keep it.
     """
-    folder, n = build(items, item_text, item_id, window)
+    folder, automata = build(items, item_text, item_id, window, BLOCK_WORDS)
     names = [prefix + x for x in ("n_words", "n_hit", "items", "clean_text")]
     kept = [c for c in docs.columns if c not in names]
     src, at = with_text(docs, kept, text)
@@ -210,13 +228,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_te
             column = batch.column(at)
             hits: dict[int, tuple[list, set]] = {}
             words = np.zeros(batch.num_rows, np.int64)
-            for k in range(max(n, 1)):  # the outer loop, so each automaton is loaded once per batch
+            for name in automata or [None]:  # the outer loop, so each automaton is loaded once per batch
                 for lo, hi, data, offsets in text_slices(column, 2 << 20):
                     w = split_words(data, offsets, ALNUM)
                     words[lo:hi] = w.counts()
-                    if not n:
+                    if name is None:
                         continue
-                    for a, b, found in _automaton(f"{folder}/automaton-{k}").scan(w.hash, w.first):
+                    for a, b, found in _automaton(f"{folder}/{name}").scan(w.hash, w.first):
                         i = int(np.searchsorted(w.first, a, "right")) - 1
                         spans, names_hit = hits.setdefault(lo + i, ([], set()))
                         spans.append((a - int(w.first[i]), b - int(w.first[i])))

@@ -21,7 +21,6 @@ def norm(t):
 @pytest.mark.parametrize("block", [100_000, 40])
 def test_decontaminate_against_brute_force(llm, no_docs, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
-    monkeypatch.setattr(decontaminate.build, "__defaults__", (block,))
     rng = np.random.default_rng(2)
     letters = [f"L{k}" for k in range(4)]
     items = [(i, " ".join(rng.choice(letters, rng.integers(1, 30)))) for i in range(12)] + [(50, "solo"), (51, "Two words"), (51, "other text of the same id"), (None, "has no id here"), (52, None), (53, "  ,. "),
