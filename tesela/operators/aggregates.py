@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 ColumnOrName = Column | str
 
 
@@ -41,24 +43,39 @@ def distinct_count_with_blank(c: str) -> Column:
             + F.max(F.when(F.col(c).isNull(), F.lit(1)).otherwise(F.lit(0)))).cast("bigint")
 
 
+def settled(agg: DataFrame) -> DataFrame:
+    """Aggregated rows, computed once and kept in the checkpoint folder, so
+    totals, cuts and ranks over them do not scan the fact again."""
+    ensure_checkpoint_dir(agg.sparkSession)
+    return agg.checkpoint(eager=True)
+
+
 def with_total(agg: DataFrame, measure: str, total_alias: str) -> DataFrame:
     """Attach the grand total of ``measure`` over the aggregated rows.
 
     The total is a one-row aggregate joined by broadcast (a proven
     one-row bound), not a global window, so the aggregated rows stay
-    distributed. Spark reuses the aggregation's shuffle for both sides.
+    distributed. They are settled first: the fact is scanned once.
     """
+    agg = settled(agg)
     total = agg.agg(F.sum(F.col(measure)).alias(total_alias))
     return agg.crossJoin(F.broadcast(total))
 
 
+def distinct_values(df: DataFrame, c: str, alias: str) -> DataFrame:
+    """``distinct_count_with_blank`` of one column as a one-row table, in two
+    levels: several such counts in one aggregate would copy every row."""
+    return df.select(c).distinct().agg(F.nullif(F.count(F.lit(1)), F.lit(0)).alias(alias))
+
+
 def top_n_with_ties(df: DataFrame, n: int, by: str, descending: bool = True) -> DataFrame:
     """RNK-01, DAX ``TOPN``: the first ``n`` rows by ``by`` plus every tie at
     the cut.
 
     Equivalent to ``rank() <= n`` without a global window: a distributed
     top-n (``TakeOrderedAndProject``) finds the n-th value, and a one-row
-    broadcast filter keeps everything at least as good.
+    broadcast filter keeps everything at least as good. ``df`` is read twice,
+    so pass ``settled`` rows.
     """
     order = F.col(by).desc() if descending else F.col(by).asc()
     cut = df.select(by).orderBy(order).limit(n)

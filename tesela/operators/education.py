@@ -60,7 +60,7 @@ def income_by_level(employment: DataFrame) -> DataFrame:
                                      F.count(F.lit(1)).alias("muestra"))
     med = percentiles(earners, "ingreso", {"ingreso_mediano": 0.5}, group=keys)
     return (agg.join(med, on=keys)
-            .select(*keys, "ingreso_promedio", F.round("ingreso_mediano", 4).alias("ingreso_mediano"), "muestra"))
+            .select(*keys, "ingreso_promedio", "ingreso_mediano", "muestra"))
 
 
 def establishments(est: DataFrame) -> DataFrame:

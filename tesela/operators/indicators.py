@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
 from ..functions import vocab
-from .aggregates import avg_as_double, money_sum, order_limit, pct_half_up, sig, with_total
+from .aggregates import avg_as_double, money_sum, order_limit, pct_half_up, with_total
 from .quantiles import percentiles
 
 # Default parameters for the driver tables (department, year, as-of date).
@@ -53,10 +53,9 @@ def value_distribution(m: DataFrame) -> DataFrame:
         F.min("valor_contrato").alias("valor_minimo"),
         F.max("valor_contrato").alias("valor_maximo"),
         avg_as_double().alias("valor_promedio"),
-        sig(F.stddev_samp(F.col("valor_contrato").cast("double"))).alias("desviacion_estandar"),
+        F.stddev_samp(F.col("valor_contrato").cast("double")).alias("desviacion_estandar"),
     )
     q = percentiles(m, "valor_contrato", {"q25": 0.25, "mediana": 0.5, "q75": 0.75, "p95": 0.95})
-    q = q.select(*[F.round(c, 4).alias(c) for c in ("q25", "mediana", "q75", "p95")])
     return moments.crossJoin(q).select(
         "valor_minimo", "valor_maximo", "valor_promedio", "q25", "mediana", "q75", "p95", "desviacion_estandar")
 
@@ -146,8 +145,7 @@ def sector_share(m: DataFrame) -> DataFrame:
     the raw sector (as the SQL does), labels null ``Sin información``."""
     agg = m.groupBy(F.col("sector").alias("_s")).agg(F.count(F.lit(1)).alias("num_contratos"),
                                                      money_sum().alias("valor_total"))
-    total = m.agg(money_sum().alias("_t"))
-    return (agg.crossJoin(F.broadcast(total))
+    return (with_total(agg, "valor_total", "_t")
             .select(C.no_info("_s", vocab.NO_INFORMATION).alias("sector"), "num_contratos", "valor_total",
                     pct_half_up("valor_total", "_t").alias("porcentaje")))
 

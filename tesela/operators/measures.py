@@ -13,12 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
 from ..functions import vocab
-from .aggregates import (avg_as_double, distinct_count_with_blank, money_sum, top_n_with_ties)
+from .aggregates import (avg_as_double, distinct_count_with_blank, distinct_values, money_sum, settled, top_n_with_ties,
+                         with_total)
 from .filters import exclude_values
 
 
@@ -27,15 +28,15 @@ def _ratio(num: str, den: str):
 
 
 def kpis(df: DataFrame) -> DataFrame:
-    """QRY-33: the KPI cards."""
-    return df.agg(
+    """QRY-33: the KPI cards; one-row tables put side by side."""
+    out = df.agg(
         F.count(F.lit(1)).alias("total_contratos"),
         money_sum().alias("valor_total"),
         avg_as_double().alias("valor_promedio"),
-        distinct_count_with_blank("nombre_entidad").alias("num_entidades"),
-        distinct_count_with_blank("departamento").alias("num_departamentos"),
-        distinct_count_with_blank("proveedor").alias("num_proveedores"),
     )
+    for c, alias in (("nombre_entidad", "num_entidades"), ("departamento", "num_departamentos"), ("proveedor", "num_proveedores")):
+        out = out.crossJoin(F.broadcast(distinct_values(df, c, alias)))
+    return out
 
 
 def by_value_band(df: DataFrame) -> DataFrame:
@@ -44,16 +45,12 @@ def by_value_band(df: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("num_contratos"), money_sum().alias("valor_total")))
 
 
-def _grand_total_value(df: DataFrame, alias: str = "_total") -> DataFrame:
-    return df.agg(money_sum().alias(alias))
-
-
 def type_summary(df: DataFrame, n: int = 10) -> DataFrame:
     """QRY-35: per contract type with share of value; ``TOPN(n)`` by value."""
     agg = df.groupBy("tipo_contrato").agg(
         F.count(F.lit(1)).alias("num_contratos"), money_sum().alias("valor_total"),
         avg_as_double().alias("valor_promedio"))
-    out = (agg.crossJoin(F.broadcast(_grand_total_value(df)))
+    out = (with_total(agg, "valor_total", "_total")
            .withColumn("pct_total", _ratio("valor_total", "_total")).drop("_total"))
     return top_n_with_ties(out, n, "valor_total")
 
@@ -61,19 +58,27 @@ def type_summary(df: DataFrame, n: int = 10) -> DataFrame:
 def modality_summary(df: DataFrame) -> DataFrame:
     """QRY-36: per modality with share of rows."""
     agg = df.groupBy("modalidad").agg(F.count(F.lit(1)).alias("num_contratos"), money_sum().alias("valor_total"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return (agg.crossJoin(F.broadcast(total))
+    return (with_total(agg, "num_contratos", "_total")
             .withColumn("pct_contratos", _ratio("num_contratos", "_total")).drop("_total"))
 
 
 def department_summary(df: DataFrame, n: int = 10) -> DataFrame:
-    """QRY-37: per department, ``TOPN(n)`` by value, with share of value."""
-    agg = df.groupBy("departamento").agg(
-        F.count(F.lit(1)).alias("num_contratos"), money_sum().alias("valor_total"),
-        avg_as_double().alias("valor_promedio"),
-        distinct_count_with_blank("nombre_entidad").alias("num_entidades"),
-        distinct_count_with_blank("proveedor").alias("num_proveedores"))
-    out = (agg.crossJoin(F.broadcast(_grand_total_value(df)))
+    """QRY-37: per department, ``TOPN(n)`` by value, with share of value.
+
+    Entities and suppliers are counted in two levels each, the sums come
+    from the level of entities.
+    """
+    money = df.agg(money_sum().alias("v")).schema["v"].dataType
+    by_entity = df.groupBy("departamento", "nombre_entidad").agg(
+        F.count(F.lit(1)).alias("_c"), money_sum().alias("_s"), F.count("valor_contrato").alias("_n"))
+    agg = by_entity.groupBy("departamento").agg(
+        F.sum("_c").alias("num_contratos"), F.sum("_s").cast(money).alias("valor_total"),
+        F.try_divide(F.sum("_s").cast("double"), F.sum("_n").cast("double")).alias("valor_promedio"),
+        F.count(F.lit(1)).alias("num_entidades"))
+    suppliers = (df.select(F.col("departamento").alias("_d"), "proveedor").distinct()
+                 .groupBy("_d").agg(F.count(F.lit(1)).alias("num_proveedores")))
+    agg = agg.join(suppliers, F.col("departamento").eqNullSafe(F.col("_d"))).drop("_d")
+    out = (with_total(agg, "valor_total", "_total")
            .withColumn("pct_valor", _ratio("valor_total", "_total")).drop("_total"))
     return top_n_with_ties(out, n, "valor_total")
 
@@ -82,33 +87,39 @@ def entity_summary(df: DataFrame, n: int = 20) -> DataFrame:
     """QRY-38: per (entity, department, tax id); ``RANKX`` inside the
     department over the whole summary, then ``TOPN(n)`` by value.
 
-    The rank window runs over aggregated entity rows partitioned by
-    department, never over contract rows.
+    A rank is one more than the entities of the department with a greater
+    total. They are counted for the top rows only, by partial aggregation,
+    so no department is ordered in one task. The totals asked for are at
+    most ``n`` and one per department (ties at the cut), hence broadcast.
     """
-    agg = df.groupBy("nombre_entidad", "departamento", "nit_entidad").agg(
+    agg = settled(df.groupBy("nombre_entidad", "departamento", "nit_entidad").agg(
         F.count(F.lit(1)).alias("num_contratos"), money_sum().alias("valor_total"),
         avg_as_double().alias("valor_promedio"),
-        distinct_count_with_blank("proveedor").alias("num_proveedores"))
-    w = Window.partitionBy("departamento").orderBy(F.col("valor_total").desc())
-    ranked = agg.withColumn("rank_depto", F.rank().over(w))
-    return top_n_with_ties(ranked, n, "valor_total")
+        distinct_count_with_blank("proveedor").alias("num_proveedores")))
+    top = settled(top_n_with_ties(agg, n, "valor_total"))
+    asked = top.select(F.col("departamento").alias("_d"), F.col("valor_total").alias("_v")).distinct()
+    same = F.col("departamento").eqNullSafe(F.col("_d"))
+    above = (agg.select("departamento", "valor_total").join(F.broadcast(asked), same & (F.col("valor_total") > F.col("_v")))
+             .groupBy("_d", "_v").agg(F.count(F.lit(1)).alias("_above")))
+    return (top.join(above, same & (F.col("valor_total") == F.col("_v")), "left")
+            .withColumn("rank_depto", (F.coalesce("_above", F.lit(0)) + 1).cast("int")).drop("_d", "_v", "_above"))
 
 
 def category_comparison(df: DataFrame) -> DataFrame:
     """QRY-39: Salud / Educación / Otros from type and entity names."""
     agg = (df.groupBy(C.sector_from_names("tipo_contrato", "nombre_entidad").alias("categoria"))
            .agg(F.count(F.lit(1)).alias("num_contratos"), money_sum().alias("valor_total")))
-    return (agg.crossJoin(F.broadcast(_grand_total_value(df)))
+    return (with_total(agg, "valor_total", "_total")
             .withColumn("pct_total", _ratio("valor_total", "_total")).drop("_total"))
 
 
 def supplier_summary(df: DataFrame, n: int = 20, exclude: Sequence[str] | None = (vocab.NOT_DEFINED,)) -> DataFrame:
     """QRY-40: per supplier, ``TOPN(n)`` by value, then ``No Definido``
     removed (so fewer than ``n`` rows may come back)."""
-    agg = df.groupBy("proveedor").agg(
+    agg = settled(df.groupBy("proveedor").agg(
         F.count(F.lit(1)).alias("num_contratos"), money_sum().alias("valor_total"),
         avg_as_double().alias("valor_promedio"),
-        distinct_count_with_blank("nombre_entidad").alias("num_entidades"))
+        distinct_count_with_blank("nombre_entidad").alias("num_entidades")))
     top = top_n_with_ties(agg, n, "valor_total")
     return exclude_values(top, "proveedor", exclude) if exclude else top
 

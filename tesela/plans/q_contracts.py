@@ -93,7 +93,10 @@ select min(valor_contrato) as valor_minimo, max(valor_contrato) as valor_maximo,
   {sig('stddev_samp(cast(valor_contrato as double))')} as desviacion_estandar
 from master"""), headline=True)
 def q_qry_01(spark, d):
-    return I.value_distribution(master(spark, d))
+    from ..operators.aggregates import sig as rounded
+    # last digits depend on the order of summation and interpolation
+    return I.value_distribution(master(spark, d)).withColumns(
+        {c: F.round(c, 4) for c in ("q25", "mediana", "q75", "p95")} | {"desviacion_estandar": rounded("desviacion_estandar")})
 
 
 @register("qry_02_por_tipo_contrato", on_master(f"""
@@ -373,6 +376,6 @@ select numero_proponentes, num_contratos from a
 where num_contratos >= (select min(num_contratos) from (select num_contratos from a order by num_contratos desc limit 3))
 """))
 def q_rnk_01(spark, d):
-    from ..operators.aggregates import top_n_with_ties
+    from ..operators.aggregates import settled, top_n_with_ties
     agg = master(spark, d).groupBy("numero_proponentes").agg(F.count(F.lit(1)).alias("num_contratos"))
-    return top_n_with_ties(agg, 3, "num_contratos")
+    return top_n_with_ties(settled(agg), 3, "num_contratos")

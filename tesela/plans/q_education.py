@@ -57,7 +57,7 @@ select departamento, nivel_educativo,
   round(quantile_cont(ingreso, 0.5), 4) as ingreso_mediano, count(*) as muestra
 from edu_employment where ingreso > 0 group by 1, 2""", "edu_employment"))
 def q_qry_30(spark, d):
-    return E.income_by_level(_t(spark, d, "edu_employment"))
+    return E.income_by_level(_t(spark, d, "edu_employment")).withColumn("ingreso_mediano", F.round("ingreso_mediano", 4))
 
 
 @register("qry_31_establecimientos", on_views("""
