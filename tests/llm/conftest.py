@@ -1,7 +1,5 @@
 import pytest
-
-SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, license int, quality string, text_of_score string, label int"
+from odd_rows import SCHEMA, SF, rows_of
 
 
 @pytest.fixture(scope="session")
@@ -12,15 +10,6 @@ def llm(spark):
     return spark
 
 
-def rows_of(spark, extra=()):
-    """Documents of sf0.001 with awkward rows and clashing extra columns."""
-    base = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(80).collect()]
-    long = " ".join(f"w{i % 997}" for i in range(60_000))
-    odd = [(9001, None, "en", "src1", 0), (9002, "", None, None, 0), (9003, "   \n\t ", "en", None, 5), (None, "a text without an id", "en", "src1", 20),
-           (9004, long, "en", "src2", len(long)), (9005, "tie tie tie", "en", "src2", 11), (9005, "tie tie tie", "en", "src2", 11), (9006, "één ünï\u00a0code 中文 \U0001F600 words", "xx", "src3", 20), (None, None, None, None, None)]
-    return [(*r, "s", 1, "q", "t", 2) for r in [*base, *odd, *extra]]
-
-
 @pytest.fixture(scope="session")
 def docs(llm):
     return llm.createDataFrame(rows_of(llm), SCHEMA).repartition(5)
@@ -38,5 +27,3 @@ def labels(llm):
 
 def by_id(df):
     return {r["doc_id"]: r for r in df.collect() if r["doc_id"] is not None}
-
-

@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import SCHEMA, rows_of
+from odd_rows import SCHEMA, rows_of
 
 from tesela.llm import decontaminate, icws_dedup, shared, warc_chain
 from tesela.llm.components import components

@@ -6,7 +6,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from conftest import SCHEMA, rows_of
+from odd_rows import SCHEMA, rows_of
 from pyspark.sql import functions as F
 
 from tesela.llm import license_join, pareto_mix, quality_rules, queries, url_templates

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SCHEMA, rows_of
+from odd_rows import SCHEMA, rows_of
 
 import corpus_pipeline
 from tesela.llm import queries
