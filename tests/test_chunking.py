@@ -5,7 +5,7 @@ whole document texts."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from tesela.operators import documents as D
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from tesela.operators import filters, marts, measures
 from tesela.operators.aggregates import top_n_with_ties
 from tesela.operators.indexing import dense_index
@@ -228,3 +228,23 @@ def test_no_machine_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_rank_inside_department_with_ties_and_null_departments(spark):
+    """QRY-38: ranks skip after ties, and a null department is one of its own."""
+    from decimal import Decimal
+
+    from tesela.operators import measures
+
+    totals = [("a", 9), ("a", 9), ("a", 7), ("a", 3), ("b", 8), ("b", 7), (None, 7), (None, 9), (None, 1)]
+    rows = [(f"e{i}", d, f"n{i}", None if i % 2 else "p", Decimal(v)) for i, (d, v) in enumerate(totals)]
+    df = spark.createDataFrame(rows, "nombre_entidad string, departamento string, nit_entidad string, proveedor string, valor_contrato decimal(20,2)")
+    got = {r["nombre_entidad"]: r["rank_depto"] for r in measures.entity_summary(df, 5).collect()}
+    # the fifth greatest total is 7: all ties at it stay
+    want = {f"e{i}": 1 + sum(d2 == d and w > v for d2, w in totals) for i, (d, v) in enumerate(totals) if v >= 7}
+    assert got == want
+    kpis = measures.kpis(df).first()
+    assert (kpis["num_entidades"], kpis["num_departamentos"], kpis["num_proveedores"]) == (9, 3, 2)
+    assert measures.entity_summary(df.limit(0)).count() == 0 and measures.kpis(df.limit(0)).first()["num_entidades"] is None
+    by_dep = {r["departamento"]: (r["num_entidades"], r["num_proveedores"], r["num_contratos"]) for r in measures.department_summary(df).collect()}
+    assert by_dep == {"a": (4, 2, 4), "b": (2, 2, 2), None: (3, 2, 3)}

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 from tesela.plans import registry
 from tesela.sources.tables import TABLES
 
