@@ -7,10 +7,14 @@ kind merge by adding counts in any order, which is also how they are built
 (map-side partial counts) and how a group with few documents falls back: to
 the merged sketch of its language, then to that of all documents.
 
-A document fails a measure beyond the fences ``median +- WIDTH * max(spread,
-LEAST of the measure)``, the spread being the distance from the median to the
-quartile of that side, so a corpus without outliers loses nothing. The
-thresholds are joined back by language and source. Native functions only.
+A document fails a measure beyond the fences ``median + WIDTH * spread`` and,
+as a ratio so that it stays above zero, ``median / (1 + WIDTH * spread / median)``.
+The spread is taken from the sketch: the distance from the median to the
+quartile of that side, half the distance to the outer tenth, or one bucket
+step at the median, whichever is most; there are no fixed widths. As a share
+of a short text moves by a lot with one occurrence, a share fails only where
+it comes from more than ``FEW`` occurrences. The thresholds are joined back
+by language and source. Native functions only.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ SYMBOLS = "#*$%&|<>"
 SCALE = 1000  # ratios are kept as integers per SCALE
 STEPS = 16  # buckets per doubling
 WIDTH = 6.0
+FEW = 2  # occurrences that no share fails by
 ENOUGH = 200  # documents from which a group's own sketch is used
 
 
@@ -35,14 +40,15 @@ def _ratio(a: str, b: str) -> Column:
     return F.when(F.col(b) > 0, F.floor(F.col(a) * SCALE / F.col(b))).otherwise(F.lit(0)).cast("long")
 
 
-def measure_columns() -> dict[str, tuple[Column, int, str]]:
-    """``name: (integer measure, least spread, sides)``."""
+def measure_columns() -> dict[str, tuple[Column, Column, str]]:
+    """``name: (integer measure, its occurrences are more than FEW, sides)``;
+    a passage that stands twice is one occurrence of six words."""
     return {
-        "word_length": (_ratio("word_chars", "n_words"), 800, "both"),
-        "symbol_share": (_ratio("n_symbols", "n_words"), 25, "above"),
-        "line_share": (_ratio("n_dup_lines", "n_lines"), 60, "above"),
-        "repeat_share": (_ratio("n_repeat_words", "n_words"), 60, "above"),
-        "capital_share": (_ratio("n_capitals", "word_chars"), 40, "above"),
+        "word_length": (_ratio("word_chars", "n_words"), F.lit(True), "both"),
+        "symbol_share": (_ratio("n_symbols", "n_words"), F.col("n_symbols") > FEW, "above"),
+        "line_share": (_ratio("n_dup_lines", "n_lines"), F.col("n_dup_lines") > FEW, "above"),
+        "repeat_share": (_ratio("n_repeat_words", "n_words"), F.col("n_repeat_words") > 6 * FEW, "above"),
+        "capital_share": (_ratio("n_capitals", "word_chars"), F.col("n_capitals") > FEW, "above"),
     }
 
 
@@ -101,8 +107,10 @@ def thresholds(measured: DataFrame, names: list[str], enough: int = ENOUGH, widt
     """``lang, source, <name>_low, <name>_high`` per group of ``measured``.
 
     One pass makes the sketches of all groups (rows: group x bucket); the
-    ones of languages and of everything are sums of those rows.
+    ones of languages and of everything are sums of those rows. ``least``
+    gives least spreads by name, none if not given.
     """
+    cuts = {"t1": 2, "b1": 5, "b2": 10, "b3": 15, "t9": 18}  # quantiles in twentieths
     pairs = F.explode(F.array(*(F.struct(F.lit(n).alias("name"), bucket(F.col(n)).alias("bucket")) for n in names)))
     sketch = measured.select("lang", "source", pairs.alias("e")).groupBy("lang", "source", F.col("e.name").alias("name"), F.col("e.bucket").alias("bucket")).agg(F.count("*").alias("n"))
     sketch = shared.written(sketch, "sketch")
@@ -112,17 +120,19 @@ def thresholds(measured: DataFrame, names: list[str], enough: int = ENOUGH, widt
     def quantiles(s: DataFrame, keys: list[str]) -> DataFrame:
         w = Window.partitionBy(*keys, "name")
         run = s.withColumn("upto", F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("all", F.sum("n").over(w))
-        first = [F.min(F.when(F.col("upto") * 4 >= F.col("all") * k, F.col("bucket"))).alias(f"b{k}") for k in (1, 2, 3)]
+        first = [F.min(F.when(F.col("upto") * 20 >= F.col("all") * k, F.col("bucket"))).alias(c) for c, k in cuts.items()]
         return run.groupBy(*keys, "name").agg(F.max("all").alias("docs"), *first)
 
     own = quantiles(sketch, ["lang", "source"])
-    lang = quantiles(of_lang, ["lang"]).select(F.col("lang").alias("lang_"), F.col("name").alias("name_"), *(F.col(c).alias(f"l_{c}") for c in ("docs", "b1", "b2", "b3")))
-    every = quantiles(of_all, []).select(F.col("name").alias("every"), *(F.col(c).alias(f"a_{c}") for c in ("b1", "b2", "b3")))
+    lang = quantiles(of_lang, ["lang"]).select(F.col("lang").alias("lang_"), F.col("name").alias("name_"), *(F.col(c).alias(f"l_{c}") for c in ("docs", *cuts)))
+    every = quantiles(of_all, []).select(F.col("name").alias("every"), *(F.col(c).alias(f"a_{c}") for c in cuts))
     q = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("name") == F.col("name_"))).join(every, F.col("name") == F.col("every"))
-    pick = {c: F.when(F.col("docs") >= enough, F.col(c)).when(F.col("l_docs") >= enough, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")) for c in ("b1", "b2", "b3")}
-    q = q.select("lang", "source", "name", *(bucket_value(v).alias(k) for k, v in pick.items()))
-    floor = reduce(lambda acc, kv: F.when(F.col("name") == kv[0], F.lit(float(kv[1]))).otherwise(acc), (least or {}).items(), F.lit(1.0))
-    q = q.withColumn("low", F.col("b2") - width * F.greatest(F.col("b2") - F.col("b1"), floor)).withColumn("high", F.col("b2") + width * F.greatest(F.col("b3") - F.col("b2"), floor))
+    pick = {c: F.when(F.col("docs") >= enough, F.col(c)).when(F.col("l_docs") >= enough, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")) for c in cuts}
+    q = q.select("lang", "source", "name", *(bucket_value(v).alias(k) for k, v in pick.items()), (bucket_value(pick["b2"] + 1) - bucket_value(pick["b2"])).alias("step"))
+    floor = reduce(lambda acc, kv: F.when(F.col("name") == kv[0], F.lit(float(kv[1]))).otherwise(acc), (least or {}).items(), F.lit(0.0))
+    below = F.greatest(F.col("b2") - F.col("b1"), (F.col("b2") - F.col("t1")) / 2, F.col("step"), floor)
+    above = F.greatest(F.col("b3") - F.col("b2"), (F.col("t9") - F.col("b2")) / 2, F.col("step"), floor)
+    q = q.withColumn("low", F.col("b2") * F.col("b2") / (F.col("b2") + width * below)).withColumn("high", F.col("b2") + width * above)
     return q.groupBy("lang", "source").agg(*(F.max(F.when(F.col("name") == n, F.col(c))).alias(f"{n}_{c}") for n in names for c in ("low", "high")))
 
 
@@ -143,9 +153,9 @@ def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str
     flat = shared.written(flat.withColumn("base_failed", base), "quality-counts")
     spec = measure_columns()
     flat = flat.select("*", *(c.alias(n) for n, (c, _, _) in spec.items()))
-    limits = shared.written(thresholds(flat.where(F.col("n_words") >= min_words), list(spec), enough, least={n: v for n, (_, v, _) in spec.items()}), "quality-limits")
+    limits = shared.written(thresholds(flat.where(F.col("n_words") >= min_words), list(spec), enough), "quality-limits")
     limits = limits.withColumnsRenamed({"lang": "lang_", "source": "source_"})
     out = join_counted(flat, limits, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")))
-    beyond = [F.when(F.coalesce((F.col(n) > F.col(f"{n}_high")) | ((F.col(n) < F.col(f"{n}_low")) if sides == "both" else F.lit(False)), F.lit(False)), F.lit(n)) for n, (_, _, sides) in spec.items()]
+    beyond = [F.when(F.coalesce(((F.col(n) > F.col(f"{n}_high")) & many) | ((F.col(n) < F.col(f"{n}_low")) if sides == "both" else F.lit(False)), F.lit(False)), F.lit(n)) for n, (_, many, sides) in spec.items()]
     failed = F.filter(F.array(*beyond), lambda x: x.isNotNull())
     return out.select("doc_id", "lang", "source", *counts, "base_failed", failed.alias("failed"), (~F.col("base_failed") & (F.size(failed) == 0)).alias("kept"))

@@ -81,6 +81,26 @@ def test_sketch_buckets_and_fallback(llm):
     assert merged == {s: lim[s]["m_high"] for s in lim}
 
 
+def test_quality_fences_come_from_the_groups(llm):
+    def text(i, size, mark="", n=60):
+        """Words of ``size`` letters in no repeated order; every tenth has ``mark``."""
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        return " ".join("".join(letters[(i + k * (j + 3) + k * k * (j + 1) // 7) % 26] for j in range(size)) + (mark if k % 10 == 0 else "") for k in range(n))
+
+    plain = [(i, text(i, 4 + i % 3), "en", "tight", 0) for i in range(300)]
+    wide = [(1000 + i, text(i, 3 + i % 12, "#"), "en", "wide", 0) for i in range(300)]
+    odd = [(2000, text(1, 1), "en", "tight", 0), (2001, text(1, 25), "en", "tight", 0), (2002, text(1, 5, "#"), "en", "tight", 0),
+           (2003, text(1, 14), "en", "tight", 0), (2004, text(1, 14), "en", "wide", 0), (2005, "c# " + text(1, 5), "en", "tight", 0)]
+    df = llm.createDataFrame([*plain, *wide, *odd], "doc_id long, text string, lang string, source string, n_chars long")
+    failed = {r["doc_id"]: set(r["failed"]) for r in quality_rules.judge(df).collect()}
+    assert "word_length" in failed[2000] and "word_length" in failed[2001]  # one-letter and over-long words
+    # the same symbols and lengths are normal in one source and not in the other
+    assert "symbol_share" in failed[2002] and not any("symbol_share" in failed[r[0]] for r in wide)
+    assert "word_length" in failed[2003] and "word_length" not in failed[2004]
+    assert "symbol_share" not in failed[2005]  # one occurrence is no habit
+    assert not any(failed[r[0]] & {"word_length", "symbol_share", "line_share"} for r in [*plain, *wide])
+
+
 def test_mix_against_sql_and_targets(llm, docs, no_docs, tmp_path):
     got = pareto_mix.mix(docs)
     assert got.count() == docs.count()
