@@ -3,6 +3,9 @@ marts / all) over landed files.
 
 Every phase reads tables or folders the previous phase wrote, so a phase
 can run alone and a failed run restarts from the last finished phase.
+Contract and education drops are extracted, cleaned (JOB-01, JOB-02) and
+loaded; the contracts are consolidated, and the marts are built from the
+loaded ``clean.secop_ii``.
 Paths are under one root (on a cluster: shared storage). The extract phase
 here reads already-landed files; fetching them over HTTP is out of scope.
 """
@@ -19,6 +22,7 @@ from ..sources import landed, sinks
 from . import jobs
 
 PHASES = ["extract", "transform", "consolidate", "load", "marts"]
+MASTER_TABLE = "clean.secop_ii"
 
 
 @dataclass
@@ -31,6 +35,9 @@ class Layout:
     def clean(self, ds: str) -> str:
         return f"{self.root}/clean/{ds}"
 
+    def clean_spark(self, ds: str) -> str:
+        return f"{self.root}/clean_spark/{ds}"
+
     def export(self, ds: str) -> str:
         return f"{self.root}/export/{ds}"
 
@@ -53,16 +60,31 @@ def extract(spark: SparkSession, landing: dict[str, str], lay: Layout, snapshot_
     return out
 
 
-def transform(spark: SparkSession, datasets: list[str], lay: Layout, snapshot_date: str) -> dict[str, int]:
-    """JOB-01 per dataset -> clean Parquet + export CSV (one computation)."""
+def transform(spark: SparkSession, datasets: list[str], education: list[str], lay: Layout,
+              snapshot_date: str) -> dict[str, int]:
+    """JOB-01 per contract dataset, JOB-02 per education dataset -> clean
+    Parquet + export CSV (one computation)."""
     out = {}
-    for ds in datasets:
+    for ds in [*datasets, *education]:
         raw = spark.read.parquet(f"{lay.raw(ds)}/snapshot_date={snapshot_date}")
-        clean = sinks.write_clean_and_export(jobs.clean_contracts(raw), lay.clean(ds), lay.export(ds))
+        cleaned = jobs.clean_education(raw) if ds in education else jobs.clean_contracts(raw)
+        clean = sinks.write_clean_and_export(cleaned, lay.clean(ds), lay.export(ds))
         out[ds] = clean.count()
     return out
 
 
+def transform_spark(spark: SparkSession, datasets: list[str], education: list[str], lay: Layout,
+                    snapshot_date: str) -> dict[str, int]:
+    """The Spark variant (JOB-03) to Parquet in a folder of its own, which no
+    later phase reads; as in the source, education passes through."""
+    out = {}
+    for ds in [*datasets, *education]:
+        raw = spark.read.parquet(f"{lay.raw(ds)}/snapshot_date={snapshot_date}")
+        sinks.write_parquet(raw if ds in education else jobs.clean_contracts_spark_variant(raw), lay.clean_spark(ds))
+        out[ds] = spark.read.parquet(lay.clean_spark(ds)).count()
+    return out
+
+
 def consolidate(spark: SparkSession, datasets: list[str], lay: Layout, date_str: str) -> dict[str, int]:
     """JOB-04 over the clean outputs -> dated and latest copies; returns
     the per-origin row counts (QRY-47)."""
@@ -74,19 +96,26 @@ def consolidate(spark: SparkSession, datasets: list[str], lay: Layout, date_str:
 
 
 def load(spark: SparkSession, datasets: list[str], lay: Layout) -> dict[str, int]:
-    """Clean outputs as ``clean.<dataset>`` tables (replace-load)."""
+    """Clean outputs as ``clean.<dataset>`` tables (replace-load), as a load
+    of the CSV copies gives them: missing-value tokens null, dates text."""
     sinks.init_schemas(spark, location=lay.warehouse)
     out = {}
     for ds in datasets:
-        name = sinks.load_as_table(spark.read.parquet(lay.clean(ds)), ds, "clean")
+        clean = spark.read.parquet(lay.clean(ds))
+        text = {c: F.col(c).cast("string") for c, t in clean.dtypes if t in ("string", "date")}
+        clean = clean.withColumns({c: F.when(~x.isin(list(landed.PANDAS_NA_TOKENS)), x) for c, x in text.items()})
+        name = sinks.load_as_table(clean, ds, "clean")
         out[name] = spark.table(name).count()
     return out
 
 
-def build_marts(spark: SparkSession, master_source: DataFrame, lay: Layout) -> dict[str, int]:
-    """MRT-01 ... MRT-05 as ``marts.*`` tables (DROP + CTAS)."""
+def build_marts(spark: SparkSession, lay: Layout) -> dict[str, int]:
+    """MRT-01 ... MRT-05 as ``marts.*`` tables (DROP + CTAS) from what the
+    load phase wrote."""
+    if not spark.catalog.tableExists(MASTER_TABLE):
+        raise ValueError(f"marts need {MASTER_TABLE}; run the load phase first")
     sinks.init_schemas(spark, ["marts"], location=lay.warehouse)
-    sinks.rebuild_table(marts.master(master_source), "marts.contratacion")
+    sinks.rebuild_table(marts.master(spark.table(MASTER_TABLE)), "marts.contratacion")
     m = spark.table("marts.contratacion")
     built = {
         "marts.resumen_departamento": marts.resumen_departamento(m),
@@ -102,27 +131,36 @@ def build_marts(spark: SparkSession, master_source: DataFrame, lay: Layout) -> d
 
 
 def run(spark: SparkSession, phase: str, landing: dict[str, str], root: str,
-        snapshot_date: str = "20240101", master_source: DataFrame | None = None) -> DataFrame:
-    """Run one phase or ``all``; returns ``(phase, item, rows)``."""
+        snapshot_date: str = "20240101", education: dict[str, str] | None = None,
+        spark_variant: bool = False) -> DataFrame:
+    """Run one phase or ``all``; returns ``(phase, item, rows)``.
+
+    ``landing`` and ``education`` are the landed contract and education
+    datasets by name. ``spark_variant`` cleans with JOB-03 in the transform
+    phase; it is an option of that phase only.
+    """
+    if phase not in [*PHASES, "all"]:
+        raise ValueError(f"unknown phase {phase!r}")
+    if spark_variant and phase != "transform":
+        raise ValueError("spark_variant is an option of the transform phase")
     lay = Layout(root.rstrip("/"))
-    datasets = list(landing)
-    todo = PHASES if phase == "all" else [phase]
+    education = education or {}
+    if both := set(landing) & set(education):
+        raise ValueError(f"contract and education datasets of one name: {sorted(both)}")
+    contracts, schools = list(landing), list(education)
     rows: list[tuple[str, str, int]] = []
-    for p in todo:
+    for p in PHASES if phase == "all" else [phase]:
         if p == "extract":
-            res = extract(spark, landing, lay, snapshot_date)
+            res = extract(spark, {**landing, **education}, lay, snapshot_date)
         elif p == "transform":
-            res = transform(spark, datasets, lay, snapshot_date)
+            clean = transform_spark if spark_variant else transform
+            res = clean(spark, contracts, schools, lay, snapshot_date)
         elif p == "consolidate":
-            res = consolidate(spark, datasets, lay, snapshot_date)
+            res = consolidate(spark, contracts, lay, snapshot_date)
         elif p == "load":
-            res = load(spark, datasets, lay)
-        elif p == "marts":
-            if master_source is None:
-                continue
-            res = build_marts(spark, master_source, lay)
+            res = load(spark, [*contracts, *schools], lay)
         else:
-            raise ValueError(f"unknown phase {p!r}")
+            res = build_marts(spark, lay)
         rows += [(p, k, int(v)) for k, v in res.items()]
     return spark.createDataFrame(rows, "phase string, item string, rows long").withColumn(
         "rows", F.col("rows").cast("long"))

@@ -18,7 +18,7 @@ from ..operators.indexing import dense_index
 from ..sources import landed, sinks
 from ..sources.tables import read_table
 from ..streaming import ingest
-from . import jobs, warehouse
+from . import jobs, sqlclean as S, warehouse
 from .q_cleaning import consolidated
 from .q_contracts import master
 from .registry import ORACLE, register
@@ -321,14 +321,84 @@ def land_raw_sources_csv(spark, d, path):
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/{name}"))
 
 
-@register("job_05_pipeline_completo")
+def land_raw_education_csv(spark, d, path):
+    (warehouse.layer(spark, d, "raw_education").write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+_PIPELINE_SOURCES = {
+    "secop_i": ["numero_de_contrato", "nombre_entidad", "nit_de_la_entidad", "departamento_entidad",
+                "modalidad_de_contratacion", "tipo_de_contrato", "cuantia_proceso", "fecha_de_firma_del_contrato",
+                "proponentes_seleccionados", "anno_firma_contrato"],
+    "secop_ii": ["id_contrato", "nombre_entidad", "nit_entidad", "departamento", "modalidad_de_contratacion",
+                 "tipo_de_contrato", "valor_del_contrato", "fecha_de_firma", "proveedor_adjudicado",
+                 "proceso_de_compra", "sector"],
+    "secop_integrado": ["numero_del_contrato", "nombre_de_la_entidad", "nit_de_la_entidad", "departamento_entidad",
+                        "modalidad_de_contrataci_n", "tipo_de_contrato", "valor_contrato",
+                        "fecha_de_firma_del_contrato", "nom_raz_social_contratista"],
+}
+_PIPELINE_EDUCATION = ["Departamento", "Código Institución", "Nombre Sede", "Matrícula Total", "Num Docentes", "Zona"]
+
+
+def _pipeline_sql() -> str:
+    """Row counts of every phase: the cleaning rules over the landed text
+    (missing-value tokens null), the gate over the cleaned rows, the marts
+    over the cleaned SECOP II rows."""
+    def rule(c: str) -> str:
+        if "valor" in c:
+            return S.clean_money(c)
+        if "fecha" in c:
+            return S.clean_date(c)
+        e = S.clean_nit(c) if "nit" in c else c
+        e = S.canonical_department(e) if "departamento" in c else e
+        return S.normalize_text(e) if c in jobs.CONTRACT_TEXT_COLUMNS else e
+
+    ctes = []
+    for ds, cols in _PIPELINE_SOURCES.items():
+        keep = {"secop_i": "true", "secop_ii": "coalesce(id_contrato, '') != '' and valor_del_contrato > 0",
+                "secop_integrado": "valor_contrato > 0"}[ds]
+        ctes.append(f"n_{ds} as (select {', '.join(_na_sql(c) for c in cols)} from {ds})")
+        ctes.append(f"d_{ds} as (select {', '.join(f'{rule(c)} as {c}' for c in cols)} from n_{ds})")
+        ctes.append(f"c_{ds} as (select distinct * from d_{ds} where {keep})")
+    text = {c: S.blank_text(f'"{c}"') for c in _PIPELINE_EDUCATION}
+    text["Departamento"] = S.blank_text(S.education_department('"Departamento"'))
+    text |= {"Num Docentes": S.to_number(text["Num Docentes"]), "Matrícula Total": S.to_number(text["Matrícula Total"])}
+    some = " or ".join(f'"{c}" is not null' for c in _PIPELINE_EDUCATION)
+    ctes.append(f"n_edu as (select {', '.join(_na_sql(c) for c in _PIPELINE_EDUCATION)} from raw_education)")
+    ctes.append("d_edu as (select distinct " + ", ".join(f'{e} as "{c}"' for c, e in text.items()) + " from n_edu)")
+    ctes.append(f"c_edu as (select * from d_edu where {some})")
+    gate = ("{v} > 0 and coalesce({e}, '') != '' and coalesce({n}, '') != '' and coalesce({d}, '') != ''").format
+    name, dept = S.normalize_text, lambda c: S.canonical_department(S.normalize_text(c), "")
+    g = {"secop_i": ("SECOP_I", gate(v=S.clean_money("cuantia_proceso"), e=name("nombre_entidad"), n=S.clean_nit("nit_de_la_entidad"), d=dept("departamento_entidad"))),
+         "secop_ii": ("SECOP_II", gate(v="valor_del_contrato", e=name("nombre_entidad"), n=S.clean_nit("nit_entidad"), d=dept("departamento"))),
+         "secop_integrado": ("SECOP_INTEGRADO", gate(v="valor_contrato", e=name("nombre_de_la_entidad"), n=S.clean_nit("nit_de_la_entidad"), d=dept("departamento_entidad")))}
+    ctes.append("m as (select nullif(departamento, '') as departamento, nullif(nombre_entidad, '') as nombre_entidad, "
+                "nullif(sector, '') as sector, nullif(proceso_de_compra, '') as proceso from c_secop_ii)")
+    rows = []
+    for ds in _PIPELINE_SOURCES:
+        origin, passes = g[ds]
+        rows += [("extract", ds, f"from {ds}"), ("transform", ds, f"from c_{ds}"), ("load", f"clean.{ds}", f"from c_{ds}"),
+                 ("consolidate", origin, f"from c_{ds} where {passes}")]
+    e = "men_matricula_secundaria"
+    rows += [("extract", e, "from raw_education"), ("transform", e, "from c_edu"), ("load", f"clean.{e}", "from c_edu"),
+             ("marts", "marts.contratacion", "from m"),
+             ("marts", "marts.resumen_departamento", "from (select distinct coalesce(departamento, 'Sin info') from m)"),
+             ("marts", "marts.resumen_entidad", "from (select distinct nombre_entidad, coalesce(departamento, 'Sin info') from m limit 100)"),
+             ("marts", "marts.resumen_sector", "from (select distinct sector from m)"),
+             ("marts", "marts.resumen_tipo_proceso", "from (select distinct coalesce(proceso, 'Sin info') from m)")]
+    head = on_views("select 1", *_PIPELINE_SOURCES, "raw_education")
+    return (head[: head.rindex("\nselect 1")] + ",\n" + ",\n".join(ctes) + "\n" + "\nunion all ".join(
+        f"select '{p}' as phase, '{i}' as item, cast(count(*) as bigint) as rows {f}" for p, i, f in rows))
+
+
+@register("job_05_pipeline_completo", _pipeline_sql())
 def q_job_05(spark, d):
     from . import pipeline
     src = warehouse.land(spark, d, "raw_sources_csv", land_raw_sources_csv)
-    landing = {ds: f"{src}/{ds}" for ds in ["secop_i", "secop_ii", "secop_integrado"]}
+    landing = {ds: f"{src}/{ds}" for ds in _PIPELINE_SOURCES}
+    education = {"men_matricula_secundaria": warehouse.land(spark, d, "raw_education_csv", land_raw_education_csv)}
 
     def run_all(s, dd, path):
-        pipeline.run(s, "all", landing, path, master_source=warehouse.contracts(s, dd)) \
-            .write.mode("overwrite").parquet(f"{path}/_report")
+        pipeline.run(s, "all", landing, path, education=education).write.mode("overwrite").parquet(f"{path}/_report")
     root = warehouse.land(spark, d, "pipeline_run", run_all, fresh=True)
     return spark.read.parquet(f"{root}/_report")

@@ -248,3 +248,35 @@ def test_rank_inside_department_with_ties_and_null_departments(spark):
     assert measures.entity_summary(df.limit(0)).count() == 0 and measures.kpis(df.limit(0)).first()["num_entidades"] is None
     by_dep = {r["departamento"]: (r["num_entidades"], r["num_proveedores"], r["num_contratos"]) for r in measures.department_summary(df).collect()}
     assert by_dep == {"a": (4, 2, 4), "b": (2, 2, 2), None: (3, 2, 3)}
+
+
+def test_pipeline_phases_with_education_and_marts_from_the_load(spark, tmp_path):
+    """Every landed dataset is in every phase of the report; the marts follow
+    the landed files; the Spark variant is an option of transform."""
+    from tesela.plans import pipeline
+
+    head = "id_contrato,nombre_entidad,nit_entidad,departamento,valor_del_contrato,fecha_de_firma,proceso_de_compra,sector\n"
+    rows = ["a1,uno,NIT 800-1,bogota,$ 100,2024-01-02,P-1,salud\n", "a2,dos,NIT 801-1,,$ 200,,P-2,salud\n", "a3,tres,NIT 802-1,bogota,$ 0,2024-01-02,P-3,\n"]
+    (tmp_path / "secop_ii").mkdir()
+    (tmp_path / "secop_ii" / "a.csv").write_text(head + "".join(rows))
+    (tmp_path / "edu").mkdir()
+    (tmp_path / "edu" / "a.csv").write_text("Departamento,Total\nbogota, 5\nbogota,5\nMETA,x\n")
+    contracts, schools = {"secop_ii": str(tmp_path / "secop_ii")}, {"men_prueba": str(tmp_path / "edu")}
+    spark.sql("drop table if exists clean.secop_ii")
+    root = str(tmp_path / "run")
+    with pytest.raises(ValueError):
+        pipeline.run(spark, "marts", contracts, root, education=schools)
+    got = {(r["phase"], r["item"]): r["rows"] for r in pipeline.run(spark, "all", contracts, root, education=schools).collect()}
+    assert got == {("extract", "secop_ii"): 3, ("extract", "men_prueba"): 3, ("transform", "secop_ii"): 2, ("transform", "men_prueba"): 2,
+                   ("consolidate", "SECOP_II"): 1, ("load", "clean.secop_ii"): 2, ("load", "clean.men_prueba"): 2,
+                   ("marts", "marts.contratacion"): 2, ("marts", "marts.resumen_departamento"): 2, ("marts", "marts.resumen_entidad"): 2,
+                   ("marts", "marts.resumen_sector"): 1, ("marts", "marts.resumen_tipo_proceso"): 2}
+    master = {r["id_contrato"]: r for r in spark.table("marts.contratacion").collect()}
+    assert str(master["a1"]["fecha_firma"]) == "2024-01-02" and master["a2"]["fecha_firma"] is None
+    assert str(master["a1"]["valor_contrato"]) == "100.00" and dict(spark.table("marts.contratacion").dtypes)["valor_contrato"] == "decimal(20,2)"
+    assert {r["depto"] for r in spark.table("marts.resumen_departamento").collect()} == {"Bogotá D.C.".title(), "Sin info"}
+    variant = {r["item"]: r["rows"] for r in pipeline.run(spark, "transform", contracts, root, education=schools, spark_variant=True).collect()}
+    assert variant == {"secop_ii": 3, "men_prueba": 3}
+    assert {r["nombre_entidad"] for r in spark.read.parquet(f"{root}/clean_spark/secop_ii").collect()} == {"uno", "dos", "tres"}
+    with pytest.raises(ValueError):
+        pipeline.run(spark, "all", contracts, root, education=schools, spark_variant=True)
