@@ -33,6 +33,9 @@ number of texts with it among all ``n``.
 
 Sampling is probabilistic: a pair at similarity 0.8 shares a bucket with
 probability ``1 - (1 - 0.8**rows)**bands``, 0.998 as set here, and more above.
+That holds for weighted similarity. A pair that is a link by plain similarity
+alone may be down to about two thirds by weight (frequent shared shingles,
+unique edits) and then shares a bucket with probability 0.93.
 """
 
 from __future__ import annotations
