@@ -43,7 +43,11 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One record; ``refers_to`` makes it a revisit without the payload."""
+    """One record; ``refers_to`` makes it a revisit without the payload.
+
+    A null URL, and one of ``HEADER_BYTES // 2`` (32,768) bytes or more once
+    escaped, is left out of the head and reads back as null.
+    """
     revisit = refers_to is not None
     block = HTTP_HEAD if revisit else HTTP_HEAD + payload
     name = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}")
