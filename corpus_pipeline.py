@@ -66,8 +66,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [("toxicity", toxicity), ("quality classifier", quality_classifier), ("near duplicates", near_duplicates),
           ("benchmark decontamination", decontamination), ("mixing sources", source_mixing)]
 
-#: Classifiers and sampled signatures have no SQL form; tests hold the stages
-#: against brute-force versions.
+#: Classifiers and sampled signatures have no SQL form; tests hold the
+#: decontamination stage against brute force and check columns, subsets and
+#: counts of the others.
 ORACLE_SQL = None
 
 

@@ -35,6 +35,17 @@ def test_held_out_quality(llm):
     assert np.mean([(r["s"] >= 0.3) == (r["quality"] == 1) for r in got]) > 0.97
 
 
+def test_held_out_toxicity(llm):
+    from tesela.llm import queries
+
+    sf = "/root/testdata/sf0.1"
+    got = queries.QUERIES["op6_toxicity"](llm, sf).join(table(llm, sf, "labels"), "doc_id").where("held_out").select("predicted", "flagged", "toxic").collect()
+    toxic, clean = [r for r in got if r["toxic"] == 1], [r for r in got if r["toxic"] == 0]
+    assert len(toxic) > 100 and len(clean) > 1000
+    for c in ("predicted", "flagged"):
+        assert np.mean([bool(r[c]) for r in toxic]) > 0.85 and np.mean([bool(r[c]) for r in clean]) < 0.03
+
+
 def test_cnn_learns_words_and_beginnings():
     from tesela.llm.bytewords import ALNUM, split_words
 
