@@ -1,13 +1,14 @@
-"""Registered queries of the ten operators, and their SQL where it exists."""
+"""Registered queries of the operators, and their SQL where it exists."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cnn_toxicity, decontaminate, icws_dedup, kn_lm, license_join, mil_quality, pareto_mix, quality_rules, url_templates, warc_chain
+from . import cnn_toxicity, decontaminate, ffd_pack, icws_dedup, kn_lm, license_join, mil_quality, pareto_mix, quality_rules, url_templates, warc_chain
 from .util import fold, ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +73,13 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return icws_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_texts", "is_kept")
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = ffd_pack.pack(docs, public_tokenizers.path(ffd_pack.TOKENIZER))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +88,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_quality_classifier, op2_license_scan, op3_lm_scoring, op4_source_mixing, op5_quality_rules,
-    op6_toxicity, op7_decontamination, op8_warc, op9_url_filter, op10_near_duplicates, pipeline)}
+    op6_toxicity, op7_decontamination, op8_warc, op9_url_filter, op10_near_duplicates,
+    op13_packing, pipeline)}
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACED = r"[^\x20\x09-\x0D]+"
