@@ -6,9 +6,9 @@ to random groups of bounded size, and each group is packed by itself: rests
 in falling length, each into the first bin that still holds it, which a
 tournament tree over the bins' free room finds in logarithmic time.
 
-The tokenizer drops white space and its pieces never cross it, so words
-between ASCII white space are coded one by one (:mod:`units`); a test holds
-that against whole texts.
+The tokenizer lower-cases, drops white space and its pieces cross neither
+that nor the place between a letter and a stop, so words and stops are coded
+one by one (:mod:`units`); a test holds that against whole texts.
 """
 
 from __future__ import annotations
@@ -32,6 +32,10 @@ GROUP_BYTES = 8 << 20
 #: Names of the columns added by :func:`pack`.
 ADDED = ("start", "length", "ids", "doc_tokens", "sequence_id", "offset")
 _MARK = "\x01"
+#: Words that a worker keeps (in each of two generations).
+KEPT_WORDS = 400_000
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
 
 
 @cache
@@ -65,14 +69,16 @@ def _word_codes(path: str) -> units.Cache:
             out[i] = v.tobytes()
         return out
 
-    return units.Cache(code)
+    return units.Cache(code, KEPT_WORDS)
 
 
 def token_ids(col: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
     """``(first row, last row + 1, ids, ranges, goes on)`` in blocks."""
     codes = _word_codes(path)
     for lo, hi, data, offsets, more in units.blocks(col, units.spaces):
-        at, kept, first = units.words(data, offsets)
+        # special tokens are found before lower-casing, in any block that may hold one
+        low = data if b"<|" in data.tobytes() else _LOWER[data]
+        at, kept, first = units.words(low, offsets, stops=True)
         place, found = units.distinct(at, kept)
         coded = codes.values(found)
         flat = np.frombuffer(b"".join(coded), "<u4")

@@ -26,8 +26,8 @@ KEPT_BYTES = 64
 class Cache:
     """Values of ``code`` per unit; at most two generations are kept."""
 
-    def __init__(self, code: Callable[[list[str]], list], limit: int = KEPT_UNITS):
-        self.code, self.limit = code, limit
+    def __init__(self, code: Callable[[list[str]], list], limit: int = 0):
+        self.code, self.limit = code, limit or KEPT_UNITS
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
@@ -87,12 +87,20 @@ def spaces(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~NONSPACE[data])
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+_LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_STOP[list(b".,;:!?")] = True
+
+
+def words(data: np.ndarray, offsets: np.ndarray, stops: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of bytes that are no ASCII white space: offsets and bytes without
-    the gaps, and the range of units of each text."""
+    the gaps, and the range of units of each text. With ``stops`` a sign of
+    ``.,;:!?`` behind an ASCII letter starts a unit of its own."""
     inside = NONSPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
+    if stops:
+        begins[1:] |= _STOP[data[1:]] & _LETTER[data[:-1]]
     edges = offsets[:-1][offsets[:-1] < len(data)]
     begins[edges] = inside[edges]
     start = np.flatnonzero(begins)

@@ -20,7 +20,7 @@ def test_pieces_hold_every_id_once(llm, monkeypatch, block):
     monkeypatch.setattr(units, "BLOCK_BYTES", block)
     tokenizer = Tokenizer.from_file(PATH)
     extra = [(9500, "a <|endoftext|> b<|startoftext|>c \x01 x\x01y ▁ É́ Å  nbsp em　wide\u0085nel ΑΣ ΟΔΟΣ İstanbul it's don't 123abc ½", "en", "s", 1),
-             (9501, "z" * 5000 + " " + "q" * 9, "en", "s", 1), (9502, "́ ́a e ́", "en", "s", 1), (9503, " \v\f\r\n", "en", "s", 1)]
+             (9505, "<|EndOfText|> A.B,c;d: e!f? g.\u0338 h.. ,i 'S .T x.\u0301y É.é It's. i'LL,", "en", "s", 1), (9501, "z" * 5000 + " " + "q" * 9, "en", "s", 1), (9502, "́ ́a e ́", "en", "s", 1), (9503, " \v\f\r\n", "en", "s", 1)]
     rows = rows_of(llm, extra)
     df = llm.createDataFrame(rows, SCHEMA).repartition(3)
     out = ffd_pack.pack(df, PATH, group_bytes=100_000).collect()
