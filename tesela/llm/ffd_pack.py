@@ -72,10 +72,10 @@ def _word_codes(path: str) -> units.Cache:
     return units.Cache(code, KEPT_WORDS)
 
 
-def token_ids(col: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
+def token_ids(col: pa.Array, path: str, block: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
     """``(first row, last row + 1, ids, ranges, goes on)`` in blocks."""
     codes = _word_codes(path)
-    for lo, hi, data, offsets, more in units.blocks(col, units.spaces):
+    for lo, hi, data, offsets, more in units.blocks(col, units.spaces, block):
         # special tokens are found before lower-casing, in any block that may hold one
         low = data if b"<|" in data.tobytes() else _LOWER[data]
         at, kept, first = units.words(low, offsets, stops=True)
@@ -91,12 +91,14 @@ def token_ids(col: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray,
 def _pieces(path: str, capacity: int, end: int, place: int, names: list[str]):
     """Batches with one row per piece: the other columns, and ``start,
     length, ids, doc_tokens``."""
+    block = units.BLOCK_BYTES
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             col = batch.column(place)
             carried, before = np.zeros(0, "<u4"), 0  # of a text that goes on
             held: list[tuple[int, int, np.ndarray]] = []
-            for lo, hi, ids, first, more in token_ids(col, path):
+            for lo, hi, ids, first, more in token_ids(col, path, block):
                 rows: list[tuple[int, int, np.ndarray, int]] = []
                 for row in range(lo, hi):
                     mine = ids[first[row - lo]:first[row - lo + 1]]

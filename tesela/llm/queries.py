@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cnn_toxicity, decontaminate, ffd_pack, icws_dedup, kn_lm, license_join, mil_quality, pareto_mix, quality_rules, url_templates, warc_chain
+from . import cnn_toxicity, collocations, decontaminate, ffd_pack, icws_dedup, kn_lm, license_join, mil_quality, pareto_mix, quality_rules, token_align, url_templates, warc_chain
 from .util import fold, ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return icws_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_texts", "is_kept")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = token_align.align_texts(docs, *map(public_tokenizers.path, (token_align.TOKENIZER_A, token_align.TOKENIZER_B)))
+    return token_align.measure(docs, aligned)
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -89,7 +101,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_quality_classifier, op2_license_scan, op3_lm_scoring, op4_source_mixing, op5_quality_rules,
     op6_toxicity, op7_decontamination, op8_warc, op9_url_filter, op10_near_duplicates,
-    op13_packing, pipeline)}
+    op11_collocations, op12_token_alignment, op13_packing, pipeline)}
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACED = r"[^\x20\x09-\x0D]+"
@@ -113,6 +125,22 @@ r AS (SELECT *, CASE WHEN incl IS NOT NULL THEN (u / (1 - u)) / (incl / (1 - inc
 c AS (SELECT *, sum(size) OVER (PARTITION BY source, incl IS NULL ORDER BY rnk, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM r)
 SELECT doc_id, size, source_size::BIGINT AS source_size, target,
   ((certain + CASE WHEN incl IS NOT NULL AND upto - size / 2.0 <= part * source_size THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM c""",
+    "op11_collocations": rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc, unnest(range(1, len(x) + 1)) AS piece, unnest(x) AS s
+           FROM (SELECT row_number() OVER () AS doc, lang, regexp_split_to_array(translate(text, '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]') AS x FROM documents WHERE text IS NOT NULL)),
+w AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, unnest([w[i:i + k - 1] FOR i IN range(1, len(w) - k + 2)]) AS g FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT c.*, unnest(range(1, k)) AS j FROM c),
+sc AS (SELECT cut.lang, cut.k, cut.g, cut.f AS a, j, x.f AS l, y.f AS r, (1000000::HUGEINT * cut.f * cut.f // (x.f::HUGEINT * y.f))::BIGINT AS score
+       FROM cut JOIN f x ON x.lang = cut.lang AND x.g = cut.g[1:j] JOIN f y ON y.lang = cut.lang AND y.g = cut.g[j + 1:]),
+b AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+o AS (SELECT lang, part, max(a) AS most FROM (SELECT lang, unnest([g[1:2], g[2:3]]) AS part, a FROM b WHERE k = 3) GROUP BY ALL),
+s AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, score FROM b LEFT JOIN o ON o.lang = b.lang AND o.part = b.g WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM s JOIN n ON n.lang = s.lang QUALIFY rank <= 2000""",
     "op7_decontamination": rf"""
 WITH b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM benchmark WHERE text IS NOT NULL),
 win AS (SELECT DISTINCT item, least(len(w), 13) AS n, unnest([array_to_string(w[i:i + least(len(w), 13) - 1], ' ') FOR i IN range(1, greatest(len(w) - 12, 1) + 1)]) AS g FROM b WHERE len(w) > 0),
