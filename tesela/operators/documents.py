@@ -237,14 +237,17 @@ def similarity_search(corpus: DataFrame, queries: DataFrame, k: int = 5, id_col:
     A batch of queries (bounded, counted first) travels as one broadcast
     row; every corpus row scores itself against the batch, the corpus never
     moves, and the per-query top-k is a window group limit (map-side
-    partial top-k before the shuffle).
+    partial top-k before the shuffle). Norms are taken once per vector.
+    ``vector_index`` is the form for large corpora and query sets.
     """
     c = corpus.select(id_col, F.col(vec).cast("array<double>").alias("_e"))
+    c = c.withColumn("_n", F.sqrt(_dot(F.col("_e"), F.col("_e"))))
     qs = queries.select(F.col(qid).alias("qid"), F.col(qvec).cast("array<double>").alias("q"))
+    qs = qs.withColumn("qn", F.sqrt(_dot(F.col("q"), F.col("q"))))
     out = None
     for batch in _batches(qs, "qid", max_broadcast_queries):
         one = F.broadcast(_as_one_row(batch, "_qs"))
-        scores = F.transform("_qs", lambda q: F.struct(q["qid"].alias("qid"), cosine(q["q"], F.col("_e")).alias("score")))
+        scores = F.transform("_qs", lambda q: F.struct(q["qid"].alias("qid"), F.try_divide(_dot(q["q"], F.col("_e")), q["qn"] * F.col("_n")).alias("score")))
         scored = c.crossJoin(one).select(id_col, F.inline(scores))
         w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col(id_col).asc())
         top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

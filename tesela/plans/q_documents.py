@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..operators import analysis, documents as D
+from ..operators import analysis, documents as D, vector_index
 from ..sources import questions as Q
 from ..sources.tables import read_table
 from . import q_measures, registry  # noqa: F401  (the insight oracle reuses measure SQL)
@@ -144,6 +144,34 @@ def q_rag_07(spark, d):
     return top.select("qid", "vec_id", F.round("score", 4).alias("score"), "rank")
 
 
+def _indexed(spark, d):
+    """The index of all rows, and as queries every row whose id is divisible by 50."""
+    emb = read_table(spark, d, "embeddings", "vec_id", "embedding")
+    index = vector_index.build(emb, vector_index.fit(emb))
+    return index, emb.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query_vec"))
+
+
+@register("rag_07_indice", """
+with s as (select a.vec_id as qid, b.vec_id, round(list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[])), 12) as score
+  from embeddings a cross join embeddings b where a.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by qid order by score desc, vec_id) as rank from s)
+select qid, vec_id, round(score, 4) as score, rank from r where rank <= 10""")
+def q_rag_07_index(spark, d):
+    index, qs = _indexed(spark, d)
+    top = vector_index.search(index, qs, k=10, exact=True)
+    return top.select("qid", F.col("id").alias("vec_id"), F.round("score", 4).alias("score"), "rank")
+
+
+@register("rag_07_indice_recall", """
+select count(*) * 10 as buscados, true as recall_suficiente from embeddings where vec_id % 50 = 0""")
+def q_rag_07_recall(spark, d):
+    """Recall of the index probing its calibrated number of lists."""
+    index, qs = _indexed(spark, d)
+    truth = vector_index.search(index, qs, k=10, exact=True)
+    measured = vector_index.recall_at(vector_index.search(index, qs, k=10), truth)
+    return measured.select(F.col("wanted").alias("buscados"), (F.col("recall") >= 0.9).alias("recall_suficiente"))
+
+
 # ------------------------------------------------------------------ RAG-08
 def _insight_sql() -> str:
     parts = []

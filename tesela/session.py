@@ -8,7 +8,9 @@ the caller passes its own session.
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -71,3 +73,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = tempfile.mkdtemp(prefix="tesela-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     return spark.sparkContext.getCheckpointDir() or root
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the application's Python workers, once: operators
+    that run numpy in tasks need it there, installed or not."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tesela_shipped", False):
+        return
+    top = pathlib.Path(__file__).resolve().parent
+    path = os.path.join(tempfile.mkdtemp(prefix="tesela-ship-"), "tesela_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent).as_posix())
+    sc.addPyFile(path)
+    sc._tesela_shipped = True
