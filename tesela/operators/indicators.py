@@ -21,6 +21,7 @@ from ..functions import cleaning as C
 from ..functions import vocab
 from .aggregates import avg_as_double, money_sum, order_limit, pct_half_up, with_total
 from .quantiles import percentiles
+from .split_join import split_join
 
 # Default parameters for the driver tables (department, year, as-of date).
 DEFAULT_DEPARTMENT = "NATION_7"
@@ -226,11 +227,13 @@ def iqr_outliers(m: DataFrame, k: float = 1.5, n: int = 50) -> DataFrame:
 def above_sector_average(m: DataFrame, sector_summary: DataFrame, factor: float = 10.0, n: int = 30) -> DataFrame:
     """QRY-19 (A3): value above ``factor`` x the sector average.
 
-    Inner equi-join on the raw sector against MRT-04 (one row per sector;
-    left to AQE to broadcast). Null sectors drop out, as in the SQL.
+    Inner equi-join on the raw sector against MRT-04 (one row per sector).
+    The summary is counted and broadcast; were it large, the join would be
+    split by key, since a sector can hold a large share of the rows. Null
+    sectors drop out, as in the SQL.
     """
     r = sector_summary.select(F.col("sector").alias("_rs"), F.col("valor_promedio").alias("promedio_sector"))
-    j = m.join(r, m.sector == r._rs)
+    j = split_join(m, r, [("sector", "_rs")], "inner")
     v = F.col("valor_contrato").cast("double")
     avg = F.col("promedio_sector").cast("double")
     out = (j.filter(v > avg * factor)

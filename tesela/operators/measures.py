@@ -21,6 +21,7 @@ from ..functions import vocab
 from .aggregates import (avg_as_double, distinct_count_with_blank, distinct_values, money_sum, settled, top_n_with_ties,
                          with_total)
 from .filters import exclude_values
+from .split_join import BROADCAST_ROWS, split_join
 
 
 def _ratio(num: str, den: str):
@@ -165,29 +166,31 @@ def value_vs_count(df: DataFrame) -> DataFrame:
                                             money_sum().alias("valor_total"))
 
 
-def fact_with_summaries(m: DataFrame, dep: DataFrame, ent: DataFrame, sec: DataFrame, proc: DataFrame) -> DataFrame:
+def fact_with_summaries(m: DataFrame, dep: DataFrame, ent: DataFrame, sec: DataFrame, proc: DataFrame,
+                        broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """QRY-46: the report relationships as left joins on the summaries'
     keys (the mart side carries ``Sin info`` for null, so the fact side is
     coalesced the same way).
 
-    No side is forced to be broadcast: the planner knows the summaries'
-    sizes at run time; the entity and process summaries can be nearly as
-    large as the fact.
+    Summaries whose rows were counted and are few are broadcast; the entity
+    and process summaries can be nearly as large as the fact, so their joins
+    are split by key (``split_join``): departments, entities and the
+    ``Sin info`` process may hold a large share of the rows.
     """
     f = (m.withColumn("_dep", C.no_info("departamento"))
          .withColumn("_sec", C.no_info("sector"))
          .withColumn("_proc", C.no_info("proceso_de_compra")))
-    d = dep.select(F.col("depto").alias("_dep"), F.col("num_contratos").alias("depto_num_contratos"),
+    d = dep.select(F.col("depto").alias("_dep_key"), F.col("num_contratos").alias("depto_num_contratos"),
                    F.col("valor_total").alias("depto_valor_total"))
     e = ent.select(F.col("nombre_entidad").alias("_ent"), F.col("depto").alias("_edep"),
                    F.col("valor_total").alias("entidad_valor_total"))
-    s = sec.select(F.col("sector").alias("_sec"), F.col("valor_total").alias("sector_valor_total"))
-    p = proc.select(F.col("proceso").alias("_proc"), F.col("valor_total").alias("proceso_valor_total"))
-    out = (f.join(d, "_dep", "left")
-           .join(e, (F.col("nombre_entidad") == F.col("_ent")) & (F.col("_dep") == F.col("_edep")), "left")
-           .join(s, "_sec", "left")
-           .join(p, "_proc", "left"))
-    return out.drop("_dep", "_sec", "_proc", "_ent", "_edep")
+    s = sec.select(F.col("sector").alias("_sec_key"), F.col("valor_total").alias("sector_valor_total"))
+    p = proc.select(F.col("proceso").alias("_proc_key"), F.col("valor_total").alias("proceso_valor_total"))
+    out = split_join(f, d, [("_dep", "_dep_key")], broadcast_rows=broadcast_rows)
+    out = split_join(out, e, [("nombre_entidad", "_ent"), ("_dep", "_edep")], broadcast_rows=broadcast_rows)
+    out = split_join(out, s, [("_sec", "_sec_key")], broadcast_rows=broadcast_rows)
+    out = split_join(out, p, [("_proc", "_proc_key")], broadcast_rows=broadcast_rows)
+    return out.drop("_dep", "_sec", "_proc")
 
 
 def origin_breakdown(df: DataFrame) -> DataFrame:
