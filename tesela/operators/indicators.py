@@ -13,6 +13,7 @@ Conventions that keep the results deterministic and scalable:
 from __future__ import annotations
 
 import datetime as _dt
+import decimal as _decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -207,19 +208,30 @@ def repeated_pairs(m: DataFrame, process: str | None = None, min_count: int = 5)
             .filter(F.col("num_contratos_similar") > min_count))
 
 
+def _near(x: float, up: bool) -> _decimal.Decimal:
+    """``x`` in cents, moved by the error of a double and a cent."""
+    slack = _decimal.Decimal(abs(x)) * _decimal.Decimal("1e-15") + _decimal.Decimal("0.01")
+    exact = _decimal.Decimal(x) + (slack if up else -slack)
+    return exact.quantize(_decimal.Decimal("0.01"), rounding=_decimal.ROUND_CEILING if up else _decimal.ROUND_FLOOR)
+
+
 def iqr_outliers(m: DataFrame, k: float = 1.5, n: int = 50) -> DataFrame:
     """QRY-18 (A2): values outside ``[q25 - k*IQR, q75 + k*IQR]``.
 
-    The quartiles are one row, joined by broadcast; the theta predicate is
-    then a plain filter on the fact rows.
+    The fences are two numbers on the driver. As DECIMAL literals, a cent
+    wider than a double's error, they go to the scan as filters on the raw
+    column; the exact comparison in DOUBLE follows.
     """
-    q = percentiles(m, "valor_contrato", {"p25": 0.25, "p75": 0.75})
-    fences = q.select(
-        (F.col("p25") - (F.col("p75") - F.col("p25")) * k).alias("_lo"),
-        (F.col("p75") + (F.col("p75") - F.col("p25")) * k).alias("_hi"))
-    v = F.col("valor_contrato").cast("double")
-    out = (m.crossJoin(F.broadcast(fences)).filter((v < F.col("_lo")) | (v > F.col("_hi")))
-           .select("id_contrato", "nombre_entidad", "proveedor", "valor_contrato", "fecha_inicio", "departamento"))
+    p25, p75 = percentiles(m, "valor_contrato", {"p25": 0.25, "p75": 0.75}).first()
+    v, raw = F.col("valor_contrato").cast("double"), F.col("valor_contrato")
+    if p25 is None:
+        out = m.where(F.lit(False))
+    else:
+        lo, hi = p25 - k * (p75 - p25), p75 + k * (p75 - p25)
+        kind = m.schema["valor_contrato"].dataType
+        low, high = (F.lit(_near(x, up)).cast(kind) for x, up in ((lo, True), (hi, False)))
+        out = m.where((raw < low) | (raw > high)).where((v < lo) | (v > hi))
+    out = out.select("id_contrato", "nombre_entidad", "proveedor", "valor_contrato", "fecha_inicio", "departamento")
     return order_limit(out, n, F.col("valor_contrato").desc(), F.col("id_contrato").asc(),
                        F.col("nombre_entidad").asc(), F.col("proveedor").asc(), F.col("fecha_inicio").asc())
 

@@ -1,313 +1,131 @@
-"""Exact interpolated percentiles (``PERCENTILE_CONT``) that scale.
-
-Spark's exact ``percentile`` aggregate keeps a value -> count map per group
-and merges the maps of a global percentile in one task; with billions of
-distinct money values that task runs out of memory. This operator is exact
-and keeps every task bounded:
-
-1. one pass computes ``B - 1`` approximate quantile cut points per group
-   (``percentile_approx``: a mergeable sketch of bounded size);
-2. every row gets a bucket by binary search over the cut points (``log2 B``
-   plain comparison projections, generated code, no Python), and rows are
-   counted per ``(group, bucket, value)`` (map-side partial aggregation);
-   that table is checkpointed, the input is not read again;
-3. bucket sizes become cumulative offsets with a window per group over
-   ``B`` rows; the buckets holding the target ranks ``floor(h)`` and
-   ``ceil(h)`` (``h = p * (n - 1)``) are cut again the same way;
-4. a running count inside each target sub-bucket (about
-   ``distinct values / B**2`` rows) finds the two values to interpolate.
-
-The approximate cut points only steer balance; correctness never depends on
-them, because every bucket boundary is a strict ``<`` comparison applied to
-all rows alike.
-
-A global percentile (no group) takes a cheaper route, ``_global_percentiles``:
-the same refinement, but each level only moves bounded summaries (``B - 1``
-cut points and ``B`` bucket counts) and re-reads the input with a literal
-range filter, so no shuffle or checkpoint grows with the data.
+"""Exact interpolated percentiles (``PERCENTILE_CONT``) in two scans.
+
+Spark's exact ``percentile`` keeps a value -> count map per group and merges
+the maps of a global percentile in one task. Here every task is bounded:
+
+1. one scan counts rows and takes a rank-bounded sketch per group
+   (``percentile_approx``, a mergeable summary whose ranks are off by at most
+   ``rows / ACCURACY``). Values some error bounds below and above a target
+   enclose the target's exact value;
+2. one scan counts rows per distinct value inside those intervals; rows
+   outside collapse to one counter per gap, on the map side. Without groups
+   the bounds are literals on the raw column, so the upper one reaches the
+   Parquet scan;
+3. the counters, sorted over all tasks, get running counts (a sum per
+   partition and the partitions' offsets), and the ranks ``floor(h)`` and
+   ``ceil(h)`` of ``h = p (n - 1)`` are read off.
+
+The sketch only decides which values are counted one by one. A target that
+falls in a gap after all is noticed, and counted again without intervals.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-
-DEFAULT_BUCKETS = 256
-APPROX_ACCURACY = 10000
-
-
-def _pad_width(buckets: int) -> int:
-    """Cut-point array width: the smallest ``2**k - 1`` holding ``buckets - 1``."""
-    return (1 << max(1, (buckets - 1).bit_length())) - 1
-
-
-def _padded(cuts: Column, width: int) -> Column:
-    """Sorted cut points padded with +inf to exactly ``width`` entries, so
-    every probe of the fixed-step search is in bounds."""
-    return F.concat(cuts, F.array_repeat(F.lit(float("inf")), F.lit(width) - F.size(cuts)))
-
-
-def _with_bucket(df: DataFrame, v: str, cuts: str, out: str, width: int) -> DataFrame:
-    """Add ``out`` = number of cut points strictly below ``v``.
-
-    ``cuts`` is sorted and padded to ``width = 2**k - 1``. The search is
-    ``k`` plain projections ``lo += s * (cuts[lo + s] < v)`` with halving
-    ``s``: ordinary comparison expressions that stay in generated code
-    (a lambda-based loop would be interpreted per row).
-    """
-    df = df.withColumn(out, F.lit(0))
-    step = (width + 1) // 2
-    while step >= 1:
-        probe = F.element_at(F.col(cuts), F.col(out) + step) < F.col(v)
-        df = df.withColumn(out, F.col(out) + F.when(probe, F.lit(step)).otherwise(F.lit(0)))
-        step //= 2
-    return df
-
-
-def _join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` with null-safe equality (SQL groups treat nulls as
-    one key); a cross join of small sides when there are no keys."""
-    if not keys:
-        return a.crossJoin(b)
-    la, rb = a.alias("_l"), b.alias("_r")
-    cond = None
-    for k in keys:
-        c = F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}"))
-        cond = c if cond is None else (cond & c)
-    rest = [F.col(f"_r.{c}") for c in b.columns if c not in keys]
-    return la.join(rb, cond, how).select(*[F.col(f"_l.{c}") for c in a.columns], *rest)
+from .aggregates import settled
+
+ACCURACY = 10_000
+#: Rows up to which a group's values are all counted.
+SMALL = 4 * ACCURACY
+#: Groups whose bounds are broadcast to the second scan.
+BROADCAST_GROUPS = 100_000
+
+
+def _intervals(probs: dict[str, float], accuracy: int) -> list[tuple[float, float]]:
+    """Disjoint ranges of ranks, as shares, that hold the targets."""
+    out: list[tuple[float, float]] = []
+    for p in sorted(set(probs.values())):
+        lo, hi = max(p - 3 / accuracy, 0.0), min(p + 3 / accuracy, 1.0)
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], hi)
+        else:
+            out.append((lo, hi))
+    return out
 
 
-def _targets(n_per_group: DataFrame, group: list[str], probs: dict[str, float]) -> DataFrame:
-    """0-based ranks floor(h), ceil(h) of h = p * (n - 1) per group and p."""
-    rows = []
+def _same(a: str, b: str, keys: list[str]) -> Column:
+    """Groups are equal, nulls too."""
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys], F.lit(True))
+
+
+def _counters(rows: DataFrame, keys: list[str], v: Column, bounds: list[tuple[Column | None, Column | None]]) -> DataFrame:
+    """Rows per value inside the bounds and per gap outside them. A gap
+    stands right behind the bound below it (``_k``, then ``_gap``)."""
+    inside, below = F.lit(False) if bounds else F.lit(True), F.lit(None)
+    for lo, hi in bounds:
+        low = F.lit(True) if lo is None else v >= lo
+        inside = inside | (low if hi is None else low & (v <= hi))
+        if hi is not None:
+            below = F.when(v > hi, hi).otherwise(below)
+    inside = F.coalesce(inside, F.lit(True))  # a group without bounds
+    return rows.select(*keys, F.when(inside, v).otherwise(below).alias("_k"), (~inside).alias("_gap")).groupBy(*keys, "_k", "_gap").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _running(counters: DataFrame, keys: list[str]) -> DataFrame:
+    """``_from`` and ``_upto``: rows before a counter and up to it, over all
+    groups in order. A window runs inside one partition of the sort."""
+    ensure_checkpoint_dir(counters.sparkSession)
+    order = [F.col(c).asc_nulls_first() for c in [*keys, "_k", "_gap"]]
+    part = counters.orderBy(*order).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
+    at, offsets = 0, []
+    for r in part.groupBy("_part").agg(F.sum("_c").alias("n")).orderBy("_part").collect():  # one row per partition
+        offsets.append((r["_part"], at))
+        at += r["n"]
+    offsets = counters.sparkSession.createDataFrame(offsets, "_part int, _off long")
+    upto = F.col("_off") + F.sum("_c").over(Window.partitionBy("_part").orderBy(*order))
+    return part.join(F.broadcast(offsets), "_part").withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_c"))
+
+
+def _picked(running: DataFrame, sizes: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """The counters that hold the ranks of each target."""
+    targets = []
     for name, p in probs.items():
         h = F.lit(float(p)) * (F.col("_n") - 1)
-        frac = h - F.floor(h)
-        rows.append(F.struct(F.lit(name).alias("q"), F.lit("lo").alias("side"),
-                             F.floor(h).cast("long").alias("r"), frac.alias("frac")))
-        rows.append(F.struct(F.lit(name).alias("q"), F.lit("hi").alias("side"),
-                             F.ceil(h).cast("long").alias("r"), frac.alias("frac")))
-    return n_per_group.select(*group, F.explode(F.array(*rows)).alias("t")).select(*group, "t.*")
+        for side, r in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            targets.append(F.struct(F.lit(name).alias("q"), F.lit(side).alias("side"), r.cast("long").alias("r"), (h - F.floor(h)).alias("frac")))
+    first = running.groupBy(*keys).agg(F.min("_from").alias("_first"))
+    wanted = sizes.alias("s").join(first.alias("f"), _same("s", "f", keys)).select(*[f"s.{k}" for k in keys], "_first", F.explode(F.array(*targets)).alias("t"))
+    rank = F.col("_first") + F.col("t.r")
+    return (running.alias("c").join(wanted.alias("w"), _same("c", "w", keys) & (F.col("_from") <= rank) & (rank < F.col("_upto")))
+            .select(*[f"c.{k}" for k in keys], "t.q", "t.side", "t.frac", "_gap", F.col("_k").cast("double").alias("_v")))
 
 
-def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[str] | None = None,
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def percentiles(df: DataFrame, value: str, probs: dict[str, float], group: list[str] | None = None, accuracy: int = ACCURACY, small: int = SMALL) -> DataFrame:
     """``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` for each named
-    ``p``, per ``group`` (or globally), as DOUBLE columns.
+    ``p``, per ``group`` (or over all rows), as DOUBLE columns.
 
-    Two passes read the input: one for the level-1 cut points, one that
-    counts rows per ``(group, bucket, value)``; that table of distinct
-    values is checkpointed and everything after works on it. Level 2 cuts
-    only the buckets holding target ranks again (cut points over distinct
-    values), so the final running count runs over about
-    ``distinct values / buckets**2`` rows per target. Nulls are ignored; a
-    group with no values gives nulls.
+    Nulls are ignored; a group with no values gives nulls.
     """
-    group = list(group or [])
-    names = list(probs)
-    base = df.select(*[F.col(g) for g in group], F.col(value).cast("double").alias("_v")) \
-        .filter(F.col("_v").isNotNull())
-    if not group:
-        return _global_percentiles(df.sparkSession, base, names, probs, buckets)
-    fracs = [i / buckets for i in range(1, buckets)]
-    width = _pad_width(buckets)
-
-    # level 1: approximate cut points, exact counts per distinct value
-    cuts1 = base.groupBy(*group).agg(
-        _padded(F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY)), width).alias("_cuts1"))
-    tagged = _with_bucket(_join(base, cuts1, group), "_v", "_cuts1", "_b1", width)
-    counts = tagged.groupBy(*group, "_b1", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ensure_checkpoint_dir(df.sparkSession)
-    counts = counts.checkpoint(eager=True)
-
-    sizes1 = counts.groupBy(*group, "_b1").agg(F.sum("_c").alias("_bc1"))
-    w1 = Window.partitionBy(*group).orderBy("_b1") if group else Window.orderBy("_b1")
-    sizes1 = sizes1.withColumn("_before1", F.sum("_bc1").over(w1) - F.col("_bc1"))
-    n = sizes1.groupBy(*group).agg(F.sum("_bc1").alias("_n"))
-    want = _targets(n, group, probs)
-    loc1 = _join(want, sizes1, group).filter(
-        (F.col("_before1") <= F.col("r")) & (F.col("r") < F.col("_before1") + F.col("_bc1")))
-    # one bounded number decides whether a second level is needed: the
-    # largest target bucket (rows), over the checkpointed count table
-    biggest = loc1.agg(F.max("_bc1")).first()[0] or 0
-    loc1 = loc1.drop("_bc1")
-    hit1 = loc1.select(*group, "_b1").distinct()
-    if biggest <= LEAF_ROWS:
-        # leaf on level-1 buckets: running count over their distinct values
-        leaf = _join(counts, hit1, [*group, "_b1"])
-        leaf = leaf.withColumn("_upto", F.sum("_c").over(Window.partitionBy(*group, "_b1").orderBy("_v")))
-        picked = (_join(loc1.select(*group, "_b1", "q", "side", "r", "frac", "_before1"),
-                        leaf.select(*group, "_b1", "_v", "_c", "_upto"), [*group, "_b1"])
-                  .filter((F.col("_before1") + F.col("_upto") - F.col("_c") <= F.col("r")) &
-                          (F.col("r") < F.col("_before1") + F.col("_upto")))
-                  .select(*group, "q", "side", "frac", "_v"))
-        return _assemble(df, picked, group, names)
-
-    # level 2: re-cut only the buckets that hold a target rank
-    sub = _join(counts, hit1, [*group, "_b1"])
-    cuts2 = sub.groupBy(*group, "_b1").agg(
-        _padded(F.array_distinct(F.percentile_approx("_v", fracs, APPROX_ACCURACY)), width).alias("_cuts2"))
-    sub2 = _with_bucket(_join(sub, cuts2, [*group, "_b1"]), "_v", "_cuts2", "_b2", width).drop("_cuts2")
-    sizes2 = sub2.groupBy(*group, "_b1", "_b2").agg(F.sum("_c").alias("_bc2"))
-    w2 = Window.partitionBy(*group, "_b1").orderBy("_b2")
-    sizes2 = sizes2.withColumn("_before2", F.sum("_bc2").over(w2) - F.col("_bc2"))
-    loc2 = _join(loc1, sizes2, [*group, "_b1"]).withColumn("_off", F.col("_before1") + F.col("_before2")).filter(
-        (F.col("_off") <= F.col("r")) & (F.col("r") < F.col("_off") + F.col("_bc2")))
-
-    # leaf: running count over the distinct values of each target sub-bucket
-    hit2 = loc2.select(*group, "_b1", "_b2").distinct()
-    leaf = _join(sub2, hit2, [*group, "_b1", "_b2"])
-    wl = Window.partitionBy(*group, "_b1", "_b2").orderBy("_v")
-    leaf = leaf.withColumn("_upto", F.sum("_c").over(wl))
-    picked = (_join(loc2.select(*group, "_b1", "_b2", "q", "side", "r", "frac", "_off"),
-                    leaf.select(*group, "_b1", "_b2", "_v", "_c", "_upto"), [*group, "_b1", "_b2"])
-              .filter((F.col("_off") + F.col("_upto") - F.col("_c") <= F.col("r")) &
-                      (F.col("r") < F.col("_off") + F.col("_upto")))
-              .select(*group, "q", "side", "frac", "_v"))
-    return _assemble(df, picked, group, names)
-
-
-def _assemble(df: DataFrame, picked: DataFrame, group: list[str], names: list[str]) -> DataFrame:
-    """Interpolate between the values at ranks floor(h) and ceil(h); one
-    row per group of ``df`` (null percentiles for a group without values)."""
-    lo = picked.filter(F.col("side") == "lo").select(*group, "q", "frac", F.col("_v").alias("_lo"))
-    hi = picked.filter(F.col("side") == "hi").select(*group, "q", F.col("_v").alias("_hi"))
-    vals = _join(lo, hi, [*group, "q"]).select(
-        *group, "q", (F.col("_lo") + F.col("frac") * (F.col("_hi") - F.col("_lo"))).alias("_x"))
-    wide = vals.groupBy(*group).pivot("q", names).agg(F.first("_x"))
-    keys = df.select(*group).distinct()
-    wide = _join(keys, wide, group, how="left")
-    return wide.select(*group, *[F.col(n) for n in names])
-
-
-# Rows at or below which a target interval is resolved by counting its
-# distinct values directly (one window partition per target interval).
-LEAF_ROWS = 1 << 20
-MAX_LEVELS = 8
-
-
-def _in_interval(v: Column, lo: float | None, hi: float | None) -> Column:
-    """``lo < v <= hi`` with open ends as None."""
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (v > F.lit(lo))
-    if hi is not None:
-        cond = cond & (v <= F.lit(hi))
-    return cond
-
-
-def _interval_id(v: Column, intervals: list[tuple]) -> Column:
-    """Index of the (disjoint) interval holding ``v``, null when none."""
-    out = None
-    for i, (lo, hi) in enumerate(intervals):
-        c = _in_interval(v, lo, hi)
-        out = F.when(c, F.lit(i)) if out is None else out.when(c, F.lit(i))
-    return out
-
-
-def _global_percentiles(spark, base: DataFrame, names: list[str], probs: dict[str, float],
-                        buckets: int) -> DataFrame:
-    """Global ``PERCENTILE_CONT`` by histogram refinement.
-
-    Every step is one scan with a map-side aggregate whose result is bounded
-    by the bucket count, never by the data: the row count and ``buckets - 1``
-    approximate cut points, then the row count per bucket (a binary search
-    over a literal array). The buckets holding the target ranks become value
-    intervals ``(lo, hi]`` with a known number of rows before them; an
-    interval above ``LEAF_ROWS`` is cut again the same way (its scan is a
-    literal range filter). A small interval is resolved exactly: rows are
-    counted per distinct value (a hot value collapses to one row) and a
-    running count per interval finds the values at the target ranks.
-    """
-    fracs = [i / buckets for i in range(1, buckets)]
-    width = _pad_width(buckets)
-    v = F.col("_v")
-    row = base.agg(F.count(F.lit(1)).alias("n"),
-                   F.percentile_approx("_v", fracs, APPROX_ACCURACY).alias("cuts")).first()
-    n = int(row["n"])
-    schema = ", ".join(f"`{name}` double" for name in names)
-    if n == 0:
-        return spark.createDataFrame([tuple(None for _ in names)], schema)
-
-    # target ranks (0-based) of h = p * (n - 1)
-    wanted = {}
-    for name in names:
-        h = float(probs[name]) * (n - 1)
-        wanted[name] = (math.floor(h), math.ceil(h), h - math.floor(h))
-    ranks = sorted({r for lo_r, hi_r, _ in wanted.values() for r in (lo_r, hi_r)})
-
-    # state: rank -> (lo, hi, rows before the interval, rows in it)
-    where = {r: (None, None, 0, n) for r in ranks}
-    cuts_of = {(None, None): sorted(set(row["cuts"] or []))}
-    stuck: set[int] = set()  # ranks whose interval a cut no longer narrows (few distinct values)
-    for _ in range(MAX_LEVELS):
-        refine = [r for r, (_, _, _, size) in where.items() if size > LEAF_ROWS and r not in stuck]
-        open_iv = sorted({where[r][:2] for r in refine}, key=lambda t: (t[0] is not None, t[0] or 0.0))
-        if not open_iv:
-            break
-        missing = [iv for iv in open_iv if iv not in cuts_of]
-        if missing:
-            got = (base.filter(_interval_id(v, missing).isNotNull())
-                   .groupBy(_interval_id(v, missing).alias("t"))
-                   .agg(F.percentile_approx("_v", fracs, APPROX_ACCURACY).alias("cuts")).collect())
-            for r in got:
-                cuts_of[missing[r["t"]]] = sorted(set(r["cuts"]))
-        arrays = None
-        for i, iv in enumerate(open_iv):
-            padded = cuts_of.get(iv, [])
-            padded = padded + [float("inf")] * (width - len(padded))
-            arr = F.array(*[F.lit(float(c)) for c in padded])
-            arrays = F.when(F.col("_t") == i, arr) if arrays is None else arrays.when(F.col("_t") == i, arr)
-        tid = _interval_id(v, open_iv)
-        tagged = base.select("_v", tid.alias("_t")).filter(F.col("_t").isNotNull()).withColumn("_cuts", arrays)
-        counts = (_with_bucket(tagged, "_v", "_cuts", "_b", width)
-                  .groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("c")).collect())
-        per = {}
-        for r in counts:
-            per.setdefault(r["_t"], {})[r["_b"]] = int(r["c"])
-        for r in refine:
-            lo, hi, before, size = where[r]
-            i = open_iv.index((lo, hi))
-            cuts = cuts_of.get((lo, hi), [])
-            off = before
-            for b in range(len(cuts) + 1):
-                c = per.get(i, {}).get(b, 0)
-                if off <= r < off + c:
-                    nlo = lo if b == 0 else cuts[b - 1]
-                    nhi = hi if b == len(cuts) else cuts[b]
-                    if c == size:
-                        stuck.add(r)
-                    where[r] = (nlo, nhi, off, c)
-                    break
-                off += c
-
-    # leaf: running count over the distinct values of each target interval
-    leaf_iv = sorted({(lo, hi) for lo, hi, _, _ in where.values()},
-                     key=lambda t: (t[0] is not None, t[0] or 0.0))
-    tid = _interval_id(v, leaf_iv)
-    per_value = (base.select("_v", tid.alias("_t")).filter(F.col("_t").isNotNull())
-                 .groupBy("_t", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    upto = F.sum("_c").over(Window.partitionBy("_t").orderBy("_v"))
-    hit = None
-    for r, (lo, hi, before, _) in where.items():
-        rel = r - before
-        c = (F.col("_t") == leaf_iv.index((lo, hi))) & (F.col("_upto") - F.col("_c") <= rel) & (F.lit(rel) < F.col("_upto"))
-        hit = c if hit is None else hit | c
-    picked = per_value.withColumn("_upto", upto).filter(hit).select("_t", "_v", "_c", "_upto").collect()
-    value_at = {}
-    for r, (lo, hi, before, _) in where.items():
-        t, rel = leaf_iv.index((lo, hi)), r - before
-        for p in picked:
-            if p["_t"] == t and p["_upto"] - p["_c"] <= rel < p["_upto"]:
-                value_at[r] = float(p["_v"])
-    out = []
-    for name in names:
-        lo_r, hi_r, frac = wanted[name]
-        a, b = value_at[lo_r], value_at[hi_r]
-        out.append(a + frac * (b - a))
-    return spark.createDataFrame([tuple(out)], schema)
+    keys, v = list(group or []), F.col(value)
+    base = df.select(*keys, value).where(v.isNotNull())
+    spans = _intervals(probs, accuracy)
+    marks = [x for span in spans for x in span]
+    sketch = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, marks, accuracy).alias("_cuts"))
+    sizes = settled(sketch.withColumn("_cuts", F.when(F.col("_n") > small, F.col("_cuts"))))
+    ends = [(None if a <= 0 else 2 * i, None if b >= 1 else 2 * i + 1) for i, (a, b) in enumerate(spans)]
+    if not keys:
+        cuts = sizes.first()["_cuts"] or []
+        kind = df.schema[value].dataType
+        lit = [F.lit(c).cast(kind) for c in cuts]
+        bounds = [tuple(None if e is None else lit[e] for e in pair) for pair in ends] if cuts else []
+        last = bounds[-1][1] if bounds else None
+        counters = _counters(base if last is None else base.where(v <= last), keys, v, bounds)
+    else:
+        few = sizes.count() <= BROADCAST_GROUPS
+        rows = base.alias("b").join((F.broadcast(sizes) if few else sizes).alias("s"), _same("b", "s", keys)).select("b.*", "s._cuts")
+        counters = _counters(rows, keys, v, [tuple(None if e is None else F.col("_cuts")[e] for e in pair) for pair in ends])
+    picked = settled(_picked(_running(counters, keys), sizes, keys, probs))
+    if picked.where("_gap").limit(1).count():
+        # ranks further off than the sketch's bound: count every value
+        picked = settled(_picked(_running(_counters(base, keys, v, []), keys), sizes, keys, probs))
+    lo, hi = (picked.where(F.col("side") == s).select(*keys, "q", "frac", F.col("_v").alias(f"_{s}")) for s in ("lo", "hi"))
+    both = lo.alias("l").join(hi.alias("h"), _same("l", "h", [*keys, "q"])).select(*[f"l.{k}" for k in keys], "l.q", (F.col("_lo") + F.col("l.frac") * (F.col("_hi") - F.col("_lo"))).alias("_x"))
+    wide = both.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == name, F.col("_x"))).alias(name) for name in probs])
+    if not keys:
+        return wide
+    return df.select(*keys).distinct().alias("g").join(wide.alias("w"), _same("g", "w", keys), "left").select(*[f"g.{k}" for k in keys], *[f"w.{name}" for name in probs])

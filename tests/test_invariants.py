@@ -51,7 +51,7 @@ def test_percentiles_match_numpy(spark):
     vals += [(3, 5.0)] * 1000 + [(3, 7.0)]  # one hot value
     df = spark.createDataFrame(vals, "g int, v double")
     got = {r["g"]: r for r in percentiles(df, "v", {"p25": 0.25, "p50": 0.5, "p95": 0.95}, group=["g"],
-                                          buckets=16).collect()}
+                                          accuracy=50, small=200).collect()}
     for g in range(4):
         xs = np.array([v for gg, v in vals if gg == g])
         for name, p in [("p25", 0.25), ("p50", 0.5), ("p95", 0.95)]:
@@ -60,16 +60,15 @@ def test_percentiles_match_numpy(spark):
     assert abs(glob - np.quantile(np.array([v for _, v in vals]), 0.5)) < 1e-6
 
 
-def test_global_percentiles_refine_levels(spark, monkeypatch):
-    """Force several refinement levels (tiny leaf) with a hot value holding
+@pytest.mark.parametrize("accuracy, small", [(10_000, 40_000), (100, 400), (20, 80)])
+def test_global_percentiles_inside_intervals(spark, accuracy, small):
+    """With and without intervals from the sketch, and a hot value holding
     a third of the rows; compare with numpy's linear interpolation."""
-    from tesela.operators import quantiles
-    monkeypatch.setattr(quantiles, "LEAF_ROWS", 40)
     rng = np.random.default_rng(11)
     xs = list(rng.normal(0, 1000, 4000)) + [12.5] * 2000 + list(rng.integers(-50, 50, 500).astype(float))
     df = spark.createDataFrame([(float(x),) for x in xs], "v double").repartition(5)
     probs = {"p0": 0.0, "p01": 0.01, "p33": 0.33, "p50": 0.5, "p77": 0.777, "p100": 1.0}
-    got = percentiles(df, "v", probs, buckets=8).first()
+    got = percentiles(df, "v", probs, accuracy=accuracy, small=small).first()
     for name, p in probs.items():
         want = np.quantile(np.array(xs), p)
         assert abs(got[name] - want) <= 1e-9 * max(1.0, abs(want)), (name, got[name], want)
@@ -77,22 +76,63 @@ def test_global_percentiles_refine_levels(spark, monkeypatch):
     assert len(empty) == 1 and empty[0]["med"] is None
 
 
-def test_grouped_percentiles_second_level(spark, monkeypatch):
-    """Grouped path with a tiny leaf, so target buckets are cut twice."""
+@pytest.mark.parametrize("misled", [False, True])
+def test_grouped_percentiles_inside_intervals(spark, monkeypatch, misled):
+    """Large, small, null and empty groups; also with intervals that miss the
+    targets, which has to be noticed."""
     from tesela.operators import quantiles
-    monkeypatch.setattr(quantiles, "LEAF_ROWS", 10)
+    if misled:
+        monkeypatch.setattr(quantiles, "_intervals", lambda probs, accuracy: [(0.3, 0.31), (0.7, 0.71)])
     rng = np.random.default_rng(13)
     vals = [(int(g), float(v)) for g, v in zip(rng.integers(0, 3, 3000), rng.normal(50, 20, 3000))]
-    vals += [(1, 42.0)] * 900
-    df = spark.createDataFrame(vals, "g int, v double")
+    vals += [(1, 42.0)] * 900 + [(7, 3.5), (7, 4.5), (8, None)] + [(None, float(x)) for x in range(600)]
+    df = spark.createDataFrame(vals, "g int, v double").repartition(4)
     got = {r["g"]: r for r in percentiles(df, "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, group=["g"],
-                                          buckets=8).collect()}
-    for g in range(3):
+                                          accuracy=100, small=400).collect()}
+    assert set(got) == {0, 1, 2, 7, 8, None} and got[8]["p50"] is None
+    for g in (0, 1, 2, 7, None):
         xs = np.array([v for gg, v in vals if gg == g])
         for name, p in [("p10", 0.1), ("p50", 0.5), ("p90", 0.9)]:
             assert abs(got[g][name] - np.quantile(xs, p)) <= 1e-9 * max(1.0, abs(np.quantile(xs, p)))
 
 
+def test_percentile_bounds_reach_the_scan(spark, tmpdir_path, monkeypatch):
+    """DECIMAL bounds on the raw column, two scans, and only the interval's
+    values counted one by one."""
+    from tesela.operators import quantiles
+    spark.range(20_000).selectExpr("cast(id * 7919 % 20000 / 4 as decimal(20,2)) as v").write.parquet(f"{tmpdir_path}/t")
+    df = spark.read.parquet(f"{tmpdir_path}/t")
+    seen = []
+    whole = quantiles._counters
+
+    def counters(rows, keys, v, bounds):
+        out = whole(rows, keys, v, bounds)
+        seen.append((out._jdf.queryExecution().executedPlan().toString(), out.count()))
+        return out
+
+    monkeypatch.setattr(quantiles, "_counters", counters)
+    got = percentiles(df, "v", {"p25": 0.25, "p75": 0.75}, accuracy=1000, small=4000).first()
+    xs = np.sort(np.array([x * 7919 % 20000 / 4 for x in range(20_000)]))
+    assert abs(got["p25"] - np.quantile(np.round(xs, 2), 0.25)) < 0.02 and abs(got["p75"] - np.quantile(np.round(xs, 2), 0.75)) < 0.02
+    ((plan, counted),) = seen  # one second scan
+    assert "PushedFilters: [IsNotNull(v), LessThanOrEqual(v," in plan and plan.count("FileScan") == 1
+    assert counted < 0.03 * 20_000
+
+
+def test_iqr_fences_reach_the_scan(spark, tmpdir_path):
+    from tesela.operators import indicators
+    m = q_contracts.master(spark, SF_SMALL)
+    m.write.parquet(f"{tmpdir_path}/m")
+    df = spark.read.parquet(f"{tmpdir_path}/m")
+    out = indicators.iqr_outliers(df, k=0.1, n=10_000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "LessThan(valor_contrato," in plan and "GreaterThan(valor_contrato," in plan
+    xs = np.array([float(r[0]) for r in df.select("valor_contrato").collect()])
+    a, b = np.quantile(xs, 0.25), np.quantile(xs, 0.75)
+    assert out.count() == int(((xs < a - 0.1 * (b - a)) | (xs > b + 0.1 * (b - a))).sum())
+    assert indicators.iqr_outliers(df.limit(0)).count() == 0
+
+
 def test_top_n_with_ties_equals_rank(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate([5, 5, 4, 4, 4, 3, 2, 2, 1])], "k int, v int")
     got = sorted(r["k"] for r in top_n_with_ties(df, 3, "v").collect())
