@@ -24,6 +24,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,50 +56,98 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def align(a: list[int], a_size: list[int], b: list[int], b_size: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[int]]:
-    """Groups ``(ids of A, ids of B)`` of two token rows over the same bytes,
-    and a key (B's id in the high half) per pair of overlapping tokens."""
-    groups, links = [], []
-    i = j = 0
-    a_end, b_end, x, y = a_size[0], b_size[0], [a[0]], [b[0]]
-    while True:
-        links.append(b[j] << 32 | a[i])
-        if a_end == b_end:
-            groups.append((x, y))
-            i, j = i + 1, j + 1
-            if i == len(a):
-                return groups, links
-            a_end, b_end, x, y = a_end + a_size[i], b_end + b_size[j], [a[i]], [b[j]]
-        elif a_end < b_end:
-            i += 1
-            a_end += a_size[i]
-            x.append(a[i])
-        else:
-            j += 1
-            b_end += b_size[j]
-            y.append(b[j])
-
-
-def groups_text(groups: list[tuple[list[int], list[int]]]) -> str:
-    """``a1,a2|b1;a3|b2,b3``."""
-    return ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-
-
-@dataclass(frozen=True)
-class Unit:
-    """A stretch of text: numbers of tokens, groups and links, its groups as
-    text and its links' keys; ``groups`` is None where a tokenizer's bytes
-    are not the text's."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: bytes | None
-    links: bytes
-
-
-_FAILED = Unit(0, 0, 0, 0, None, b"")
+def align(a_size: np.ndarray, b_size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Two rows of tokens over the same bytes: the group of each token of
+    both, and the places of the tokens of every link.
+
+    Groups end where tokens of both end. Each end of a token of either row
+    closes one pair of overlapping tokens: those that hold the byte before.
+    """
+    a_end, b_end = np.cumsum(a_size), np.cumsum(b_size)
+    cuts, ends = np.intersect1d(a_end, b_end, assume_unique=True), np.union1d(a_end, b_end)
+    return np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end), np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+
+
+class Decimals:
+    """Ids as text, each with the sign that follows it."""
+
+    def __init__(self, most: int):
+        names = [str(i).encode() for i in range(most + 1)]
+        self.size = np.array([len(n) for n in names])
+        self.width = int(self.size.max()) + 1
+        self.signs = np.frombuffer(b"".join(n.ljust(self.width) for n in names), np.uint8).reshape(-1, self.width)
+
+    def text(self, ids: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes, and where each id's text ends."""
+        size = self.size[ids]
+        out = self.signs[ids]
+        out[np.arange(len(ids)), size] = after
+        return out[np.arange(self.width) <= size[:, None]], np.cumsum(size + 1)
+
+
+def groups_text(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, decimals: Decimals) -> tuple[np.ndarray, np.ndarray]:
+    """``a1,a2|b1;a3|b2,b3;`` as bytes, and where the text of each group ends."""
+    side = np.concatenate([2 * of_a, 2 * of_b + 1])
+    order = np.argsort(side, kind="stable")
+    ids, side = np.concatenate([a, b])[order], side[order]
+    last = np.concatenate([side[1:] != side[:-1], [True]])
+    after = np.where(last, np.where(side & 1, ord(";"), ord("|")), ord(",")).astype(np.uint8)
+    text, ends = decimals.text(ids, after)
+    return text, ends[last & (side & 1 == 1)]
+
+
+class Pieces:
+    """Bytes of every id of a tokenizer."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.size = np.array([len(p) for p in pieces], np.int64)
+        self.first = np.concatenate(([0], np.cumsum(self.size)))
+        self.data = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        return units.ragged(self.data, self.first, ids)
+
+
+#: A unit's value: numbers of tokens of A and B, groups and links (four
+#: 32-bit integers), its groups as text and its links' keys (B's id in the
+#: high half); the text is None where a tokenizer's bytes are not the unit's.
+Unit = tuple[bytes, bytes | None, bytes]
+_FAILED: Unit = (bytes(16), None, b"")
+
+
+def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.fromiter(map(len, rows), np.int64, len(rows))
+    return np.fromiter(chain.from_iterable(rows), np.int64, int(size.sum())), size
+
+
+def _per_unit(values: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return np.diff(np.concatenate(([0], np.cumsum(values)))[np.concatenate(([0], np.cumsum(size)))])
+
+
+def _aligned(raw: list[bytes], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, in_a: Pieces, in_b: Pieces, decimals: Decimals) -> list[Unit]:
+    """Values of units with tokens ``a`` and ``b``, some of each per unit."""
+    length = np.fromiter(map(len, raw), np.int64, len(raw))
+    good = (_per_unit(in_a.size[a], n_a) == length) & (_per_unit(in_b.size[b], n_b) == length) & (length > 0)
+    kept = np.flatnonzero(good)  # sizes agree; do the bytes?
+    a, b, n_a, n_b, length = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a[good], n_b[good], length[good]
+    whole = np.frombuffer(b"".join(raw[k] for k in kept), np.uint8)
+    same = _per_unit((in_a.joined(a) != whole) | (in_b.joined(b) != whole), length) == 0
+    kept, a, b, n_a, n_b = kept[same], a[np.repeat(same, n_a)], b[np.repeat(same, n_b)], n_a[same], n_b[same]
+    out = [_FAILED] * len(raw)
+    if not len(kept):
+        return out
+    of_a, of_b, i, j = align(in_a.size[a], in_b.size[b])
+    text, text_end = groups_text(a, b, of_a, of_b, decimals)
+    keys = ((b[j].astype(U64) << U64(32)) | a[i].astype(U64)).astype("<u8").tobytes()
+    a_last, b_last = np.cumsum(n_a) - 1, np.cumsum(n_b) - 1
+    groups = of_a[a_last] + 1  # groups up to a unit's end
+    links = np.searchsorted(i, a_last, "right")  # links up to the last one of its last token
+    sizes = np.stack([n_a, n_b, np.diff(groups, prepend=0), np.diff(links, prepend=0)], axis=1).astype("<i4").tobytes()
+    text, at = text.tobytes(), 0
+    for k, (unit, end, x, y) in enumerate(zip(kept.tolist(), text_end[groups - 1].tolist(), [0, *links[:-1].tolist()], links.tolist(), strict=True)):
+        out[unit] = (sizes[16 * k:16 * k + 16], text[at:end - 1], keys[8 * x:8 * y])
+        at = end
+    return out
 
 
 @cache
@@ -110,24 +159,19 @@ def _unit_codes(path_a: str, path_b: str) -> units.Cache:
     tok_a.encode_special_tokens = True
     tok_b = sentencepiece.SentencePieceProcessor(model_file=path_b)
     of_sign = byte_level()
-    bytes_a = {i: bytes(of_sign[c] for c in t) if all(c in of_sign for c in t) else t.encode() for t, i in tok_a.get_vocab().items()}
-    bytes_b = [bytes([int(p[3:5], 16)]) if tok_b.is_byte(i) else p.replace("▁", " ").encode()
-               for i, p in enumerate(tok_b.id_to_piece(list(range(tok_b.get_piece_size()))))]
+    names = {i: t for t, i in tok_a.get_vocab().items()}
+    in_a = Pieces([bytes(of_sign[c] for c in t) if all(c in of_sign for c in t) else t.encode() for t in (names.get(i, "") for i in range(max(names) + 1))])
+    in_b = Pieces([bytes([int(p[3:5], 16)]) if tok_b.is_byte(i) else p.replace("▁", " ").encode()
+                   for i, p in enumerate(tok_b.id_to_piece(list(range(tok_b.get_piece_size()))))])
+    decimals = Decimals(max(len(in_a.size), len(in_b.size)))
 
     def code(texts: list[str]) -> list[Unit]:
         out = []
-        for lo in range(0, len(texts), 2048):
-            part = texts[lo:lo + 2048]
-            coded_a = tok_a.encode_batch_fast(part, add_special_tokens=False)
-            coded_b = tok_b.encode([t[1:] for t in part], num_threads=1)
-            for text, x, b in zip(part, coded_a, coded_b, strict=True):
-                a, raw = x.ids, text.encode()
-                in_a, in_b = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
-                if b"".join(in_a) != raw or b"".join(in_b) != raw:
-                    out.append(_FAILED)
-                    continue
-                groups, links = align(a, list(map(len, in_a)), b, list(map(len, in_b)))
-                out.append(Unit(len(a), len(b), len(groups), len(links), groups_text(groups).encode(), np.array(links, "<u8").tobytes()))
+        for lo in range(0, len(texts), 8192):
+            part = texts[lo:lo + 8192]
+            a, n_a = _flat([e.ids for e in tok_a.encode_batch_fast(part, add_special_tokens=False)])
+            b, n_b = _flat(tok_b.encode([t[1:] for t in part], num_threads=1))
+            out += _aligned([t.encode() for t in part], a, n_a, b, n_b, in_a, in_b, decimals)
         return out
 
     return units.Cache(code)
@@ -207,14 +251,14 @@ def _link_texts(path_a: str, path_b: str, shards: int, keep: bool):
             for lo, hi, data, offsets, more in units.blocks(col, units.single_spaces, block):
                 if more and judged != lo:  # a long text: whether any part fails, before its links count
                     judged, whole, sums = lo, hashlib.sha256(), np.zeros(4, np.int64)
-                    fails = any(u.groups is None for _, _, d, o, _ in units.blocks(col.slice(lo, 1), units.single_spaces, block) for u in _coded(codes, d, o)[2])
+                    fails = any(u[1] is None for _, _, d, o, _ in units.blocks(col.slice(lo, 1), units.single_spaces, block) for u in _coded(codes, d, o)[2])
                     parts: list[bytes] = []
                 place, first, found = _coded(codes, data, offsets)
-                sizes = np.array([(u.n_a, u.n_b, u.n_groups, u.n_links) for u in found], np.int64).reshape(-1, 4)
-                bad = np.array([u.groups is None for u in found], bool)
-                links = np.frombuffer(b"".join(u.links for u in found), "<u8")
+                sizes = np.frombuffer(b"".join(u[0] for u in found), "<i4").astype(np.int64).reshape(-1, 4)
+                bad = np.array([u[1] is None for u in found], bool)
+                links = np.frombuffer(b"".join(u[2] for u in found), "<u8")
                 ends = np.concatenate(([0], np.cumsum(sizes[:, 3])))
-                texts = [u.groups or b"" for u in found]
+                texts = [u[1] or b"" for u in found]
                 long = judged == lo
                 taken: list[tuple[int, int, int]] = []  # number in the portion, range of units
                 for row in range(lo, hi):

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -89,9 +90,11 @@ def test_empty_table_and_small_cases(llm, no_docs):
     aligned = token_align.align_texts(no_docs, A, B)
     assert aligned.texts.count() == 0 and aligned.pair_counts().count() == 0
     assert token_align.measure(no_docs, aligned).count() == 0
-    groups, links = token_align.align([1, 2, 3], [2, 2, 1], [7, 8], [3, 2])
-    assert groups == [([1, 2, 3], [7, 8])] and [(k & 0xFFFFFFFF, k >> 32) for k in links] == [(1, 7), (2, 7), (2, 8), (3, 8)]
-    assert token_align.groups_text([([1, 2], [3]), ([4], [5])]) == "1,2|3;4|5"
+    of_a, of_b, i, j = token_align.align(np.array([2, 2, 1, 4]), np.array([3, 2, 4]))
+    assert of_a.tolist() == [0, 0, 0, 1] and of_b.tolist() == [0, 0, 1]
+    assert list(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 0), (1, 0), (1, 1), (2, 1), (3, 2)]
+    text, ends = token_align.groups_text(np.array([1, 20, 300, 4]), np.array([7, 81, 9]), of_a, of_b, token_align.Decimals(400))
+    assert text.tobytes() == b"1,20,300|7,81;4|9;" and ends.tolist() == [14, 18]
     assert len(set(SIGNS.values())) == 256
 
 
