@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import marts
 from ..operators.indexing import dense_index
-from ..sources import landed, sinks
+from ..sources import landed, page_source, sinks
 from ..sources.tables import read_table
 from ..streaming import ingest
 from . import jobs, sqlclean as S, warehouse
@@ -30,16 +30,15 @@ EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 # ------------------------------------------------------------------ landing writers
 def land_event_pages(spark, d, path):
-    """Events as crawler pages ``offset=N`` of 1,000 rows in ``event_id``
-    order, plus one stray copy of page 0 two pages past the end."""
+    """Events as crawler pages of 1,000 rows in ``event_id`` order, plus one
+    stray copy of page 0 two pages past the end."""
     ev = read_table(spark, d, "events", *EVENT_COLS)
     idx = dense_index(ev, [F.col("event_id").asc(), *[F.col(c).asc_nulls_first() for c in EVENT_COLS[1:]]], "_i")
     paged = idx.withColumn("offset", (F.floor(F.col("_i") / PAGE) * PAGE).cast("long")).drop("_i")
     last = paged.agg(F.max("offset").alias("_last"))
     stray = (paged.filter(F.col("offset") == 0).crossJoin(F.broadcast(last))
              .withColumn("offset", (F.col("_last") + 2 * PAGE).cast("long")).drop("_last"))
-    (paged.unionByName(stray).write.mode("overwrite").partitionBy("offset")
-     .options(**landed.JSON_TIME_OPTIONS).json(path))
+    page_source.land_pages(paged.unionByName(stray), path, order=["event_id"], **landed.JSON_TIME_OPTIONS)
 
 
 def event_schema(spark, d) -> StructType:
@@ -112,9 +111,9 @@ def q_src_01(spark, d):
 @register("stm_01_ingesta_incremental", _PAGES_SQL)
 def q_stm_01(spark, d):
     root = warehouse.land(spark, d, "event_pages", land_event_pages)
-    schema = event_schema(spark, d).add("offset", "long")
-    table = ingest.ingest_available(spark, root, schema, f"{root}-stream", fmt="json", **landed.JSON_TIME_OPTIONS)
-    return landed.apply_paging(table, PAGE).withColumnRenamed("offset", "page_offset")
+    table = ingest.ingest_pages(spark, root, event_schema(spark, d), f"{root}-stream", landed.JSON_TIME_OPTIONS)
+    stop, _ = page_source.pages_to_keep(page_source.read_manifest(spark, root), PAGE)
+    return table.where((F.col("offset") <= stop) & (F.col("offset") % PAGE == 0)).withColumnRenamed("offset", "page_offset")
 
 
 # ------------------------------------------------------------------ SRC-03 / SRC-07
@@ -249,7 +248,7 @@ def land_event_pages_5000(spark, d, path):
     idx = dense_index(ev, [F.col("event_id").asc(), *[F.col(c).asc_nulls_first() for c in EVENT_COLS[1:]]], "_i")
     paged = idx.withColumn("offset", (F.floor(F.col("_i") / landed.EDUCATION_PAGE) * landed.EDUCATION_PAGE)
                            .cast("long")).drop("_i")
-    paged.write.mode("overwrite").partitionBy("offset").options(**landed.JSON_TIME_OPTIONS).json(path)
+    page_source.land_pages(paged, path, order=["event_id"], **landed.JSON_TIME_OPTIONS)
 
 
 @register("src_02_ingesta_paginada_educacion", f"""

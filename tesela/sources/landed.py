@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from . import page_source
+
 # FIXED VALUES: text that pandas.read_csv reads as missing by default.
 PANDAS_NA_TOKENS: list[str] = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -57,14 +59,19 @@ def apply_paging(pages: DataFrame, page_size: int, max_rows: int | None = None,
 
 
 def read_pages(spark: SparkSession, root: str, schema: StructType, page_size: int, max_rows: int | None = None,
-               fmt: str = "json") -> DataFrame:
-    """SRC-01/02: landed pages ``root/offset=N/*.json`` -> rows, with the
-    ``offset`` taken from the path partition."""
-    reader = spark.read.format(fmt).schema(schema.add("offset", "long") if "offset" not in schema.names else schema)
-    if fmt == "json":
-        reader = reader.options(**JSON_TIME_OPTIONS)
-    df = reader.load(root)
-    return apply_paging(df, page_size, max_rows)
+               run_bytes: int = page_source.RUN_BYTES) -> DataFrame:
+    """SRC-01/02: rows of the landed pages that a pager would have fetched,
+    with their page's ``offset``.
+
+    The stop rule reads the manifest only; pages after the stop are never
+    opened, the others are read once, a run of them per task.
+    """
+    page_source.register(spark)
+    stop, cap = page_source.pages_to_keep(page_source.read_manifest(spark, root), page_size, max_rows)
+    reader = spark.read.format("landed_pages").option("lastOffset", stop).option("pageSize", page_size).option("runBytes", run_bytes)
+    if cap is not None:
+        reader = reader.option("maxOffset", cap)
+    return page_source.parsed(reader.load(root), schema, JSON_TIME_OPTIONS)
 
 
 # ------------------------------------------------------------------ SRC-03 / SRC-07
