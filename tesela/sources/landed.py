@@ -8,7 +8,9 @@ null rules with DataFrame operations.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,16 +77,66 @@ def read_pages(spark: SparkSession, root: str, schema: StructType, page_size: in
 
 
 # ------------------------------------------------------------------ SRC-03 / SRC-07
+def csv_files(spark: SparkSession, path: str | Sequence[str], **options) -> tuple[list[str], list[str]]:
+    """Files below ``path`` that a CSV reader can split at line ends, and
+    those that it cannot.
+
+    A line end lies inside quotes exactly if a line with an odd number of
+    quotes stands before or after it, so whether a file has one is a maximum
+    over its lines, whatever their order: one native scan, no order, no
+    state. Files with a lone carriage return or with lines of white space
+    alone, which the reader's two modes treat differently, count as not
+    splittable too. The driver gets one row per file, as for any listing.
+    """
+    reader = spark.read.option("lineSep", "\n")
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    line = F.regexp_replace("value", "\r$", "")
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
+    hard = odd | line.contains("\r") | ((line != "") & (F.trim(F.translate(line, "\t", " ")) == ""))
+    found = reader.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max(hard).alias("hard")).collect()
+    names = sorted((re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(r["file"])), r["hard"]) for r in found)
+    return [f for f, h in names if not h], [f for f, h in names if h]
+
+
+def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None, shape=lambda df: df, listing: dict | None = None, **options) -> DataFrame:
+    """CSV with header and ``""`` escapes, every column read as text unless a
+    schema says otherwise. Only files whose quoted fields span lines are read
+    whole by one task; the others are split. ``shape`` is applied to what is
+    read of each kind, where ``_metadata`` is known."""
+    def reader(multi: bool):
+        r = spark.read.option("header", True).option("multiLine", multi).option("escape", '"').option("mode", "PERMISSIVE")
+        for k, v in options.items():
+            r = r.option(k, v)
+        return r
+
+    def listed(r):
+        for k, v in (listing or {}).items():
+            r = r.option(k, v)
+        return r
+
+    if schema is None:
+        # the header of the first file, as for a read of all
+        schema = listed(reader(True)).csv(path).schema
+    whole = listed(reader(True)).schema(schema)
+    plain, multi = csv_files(spark, path, **(listing or {}))
+    if not plain or not multi:
+        return shape((whole if multi or not plain else listed(reader(False)).schema(schema)).csv(path))
+    parts = []
+    for files, kind in ((plain, False), (multi, True)):
+        r = reader(kind).schema(schema)
+        if isinstance(path, str):
+            r = r.option("basePath", path)
+        parts.append(shape(r.csv(files)))
+    return parts[0].unionByName(parts[1])
+
+
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
                   na_tokens: Sequence[str] | None = PANDAS_NA_TOKENS) -> DataFrame:
-    """SRC-07: CSV with header, quoted fields spanning lines and ``""``
+    """SRC-07: CSV with header, quoted fields that may span lines and ``""``
     escapes (what pandas writes), every column read as text; then the
     pandas missing-value tokens become null in one projection."""
-    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-              .option("mode", "PERMISSIVE"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.csv(path)
+    df = _read_csv(spark, path, schema)
     if not na_tokens:
         return df
     tokens = list(na_tokens)
@@ -160,16 +212,17 @@ def scan_directory(spark: SparkSession, root: str, glob: str = "*.csv", recursiv
     """SRC-08: every file under ``root`` matching ``glob`` (optionally
     recursive) larger than ``min_bytes`` (by default: not empty), read as
     one table with the file name attached."""
-    r = spark.read.format(fmt).option("pathGlobFilter", glob)
-    if recursive:
-        r = r.option("recursiveFileLookup", True)
+    listing = {"pathGlobFilter": glob, **({"recursiveFileLookup": True} if recursive else {})}
+
+    def shape(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("_metadata.file_size") > min_bytes).withColumn("source_file", F.col("_metadata.file_name"))
+
     if fmt == "csv":
-        r = r.option("header", True).option("multiLine", True).option("escape", '"')
-    for k, v in options.items():
+        return _read_csv(spark, root, None, shape, listing, **options)
+    r = spark.read.format(fmt)
+    for k, v in {**listing, **options}.items():
         r = r.option(k, v)
-    df = r.load(root)
-    return (df.filter(F.col("_metadata.file_size") > min_bytes)
-            .withColumn("source_file", F.col("_metadata.file_name")))
+    return shape(r.load(root))
 
 
 # ------------------------------------------------------------------ SRC-09
