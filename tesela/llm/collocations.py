@@ -24,12 +24,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.indexing import dense_index
 from . import runs, shared, totals, units
 from .bytewords import U64, mix
+from .util import join_counted
 
 NO_LANG = "und"
 #: A tile's side; occurrences in one block that make a tile dense, and dense tiles at most.
@@ -404,6 +405,27 @@ def _cuts(levels: list[Level], words: int):
     return run
 
 
+def _above_cut(scored: DataFrame, top: int, folder: str) -> DataFrame:
+    """The rows of each language whose score is among its ``top`` best, with
+    all that tie with the last of them.
+
+    Scores are 0 to a million, so the cut comes from counts per thousand of
+    them, then per score within the one thousand it falls in: about a
+    thousand counters per language meet in a task, however many phrases.
+    """
+    def cut(rows: DataFrame, bucket: Column, name: str) -> DataFrame:
+        counts = rows.groupBy("lang_no", bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        before = F.sum("_n").over(Window.partitionBy("lang_no").orderBy(F.col("_b").desc())) - F.col("_n")
+        least = counts.withColumn("_before", before).where(F.col("_before") < top).groupBy("lang_no").agg(F.min("_b").alias("_cut"))
+        return shared.written(least, name, folder)  # a row per language, counted before it is broadcast
+
+    coarse, fine = F.floor(F.col("score") / 1000) * 1000, F.col("score")
+    scored = join_counted(scored, cut(scored, coarse, "cut-coarse"), "lang_no", "inner").where(coarse >= F.col("_cut"))
+    # scores above the thousand of the cut count as one
+    least = cut(scored, F.least(fine, F.col("_cut") + 1000), "cut-fine")
+    return join_counted(scored.drop("_cut"), least, "lang_no", "inner").where(fine >= F.col("_cut")).drop("_cut")
+
+
 def mine(docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = 3, least: int = 10, covered: int = 50, top: int = 2000) -> DataFrame:
     """``lang, rank, phrase, words, a, l, r, n, score`` of each language's
     first ``top`` phrases of 2 to ``max_words`` words.
@@ -443,6 +465,7 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int
 
     best = F.expr("array_min(transform(cuts, (c, k) -> struct(cast((cast(1000000 as decimal(7,0)) * cast(a as decimal(20,0)) * cast(a as decimal(20,0))) div (cast(c.l as decimal(20,0)) * cast(c.r as decimal(20,0))) as long) as score, k, c.l as l, c.r as r)))")
     scored = found.withColumn("b", best).select("lang_no", "words", "a", "b.l", "b.r", "b.score")
+    scored = _above_cut(shared.written(scored, "scored", folder), top, folder)
     by_score = Window.partitionBy("lang_no").orderBy(F.col("score").desc(), F.col("a").desc())
     # with all ties at the cut: their order is that of the phrases
     ahead = shared.written(scored.withColumn("_r", F.rank().over(by_score)).where(F.col("_r") <= top).drop("_r").withColumn("no", F.monotonically_increasing_id()), "ahead", folder)
