@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..session import ensure_checkpoint_dir
-from .indexing import dense_index
+from .indexing import dense_index, stored_index
 
 SEP = " | "
 MAX_BROADCAST_QUESTIONS = 5000
@@ -44,17 +44,18 @@ def row_text(columns: Sequence[str], alias_prefix: str = "") -> Column:
     return F.concat_ws(SEP, *parts)
 
 
-def to_documents(df: DataFrame, source_name: str, order: Sequence[str] | None = None) -> DataFrame:
+def to_documents(df: DataFrame, source_name: str, order: Sequence[str] | None = None, stored: bool = False) -> DataFrame:
     """RAG-01: one document per row, ``id = <source>_<i>``.
 
     ``i`` is the row's position in ``order`` (default: all columns), made
-    dense without a single-partition window (``indexing.dense_index``).
-    Nulls are skipped (the source prints pandas NaN as ``nan``; here a
+    dense without a single-partition window (``indexing.dense_index``). A
+    table read from files that are in that order already (``stored``) is
+    numbered from the files' sizes, without a sort. Nulls are skipped (the source prints pandas NaN as ``nan``; here a
     missing cell is simply absent).
     """
     cols = list(df.columns)
     keys = list(order or cols)
-    indexed = dense_index(df, [F.col(c).asc_nulls_first() for c in keys], "_i")
+    indexed = stored_index(df, "_i") if stored else dense_index(df, [F.col(c).asc_nulls_first() for c in keys], "_i")
     return indexed.select(
         F.concat(F.lit(f"{source_name}_"), F.col("_i").cast("string")).alias("id"),
         row_text(cols).alias("content"),

@@ -8,7 +8,7 @@ from ..functions import vocab
 from ..operators import analysis, documents as D, vector_index
 from ..sources import questions as Q
 from ..sources.tables import read_table
-from . import q_measures, registry  # noqa: F401  (the insight oracle reuses measure SQL)
+from . import q_measures, registry, warehouse  # noqa: F401  (the insight oracle reuses measure SQL)
 from .q_contracts import master
 from .registry import register
 from .sqlclean import q
@@ -36,7 +36,8 @@ select 'contratacion_' || cast(row_number() over (order by {_ORDER_SQL}) - 1 as
   row_number() over (order by {_ORDER_SQL}) - 1 as indice
 from master"""))
 def q_rag_01(spark, d):
-    docs = D.to_documents(master(spark, d), "contratacion", MASTER_ORDER)
+    layer = warehouse.materialize(spark, d, "master_in_order", master, sort_within=MASTER_ORDER)
+    docs = D.to_documents(layer, "contratacion", MASTER_ORDER, stored=True)
     return docs.select("id", "content", F.col("metadata.source").alias("fuente"),
                        F.col("metadata.index").alias("indice"))
 
