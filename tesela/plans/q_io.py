@@ -224,12 +224,22 @@ def q_snk_02(spark, d):
     return spark.read.option("header", True).option("escape", '"').schema(schema).csv(f"{root}/export")
 
 
+def _publish_consolidated(s, dd, path):
+    """Two dates; the second has fewer rows and is the latest."""
+    whole = consolidated(s, dd)
+    sinks.write_dated_and_latest(whole, path, "20240101")
+    sinks.write_dated_and_latest(whole.where("origen != 'SECOP_I'"), path, "20240102")
+
+
 @register("snk_04_consolidado_fechado", ORACLE["job_04_consolidacion"])
 def q_snk_04(spark, d):
-    def write(s, dd, path):
-        sinks.write_dated_and_latest(consolidated(s, dd), path, "20240101")
-    root = warehouse.land(spark, d, "consolidated_copies", write, fresh=True)
-    return spark.read.parquet(f"{root}/secop_consolidado_latest")
+    """The dated copy, after a later one was published."""
+    return sinks.read_consolidated(spark, warehouse.land(spark, d, "consolidated_copies", _publish_consolidated, fresh=True), "20240101")
+
+
+@register("snk_04_consolidado_latest", "select * from (" + ORACLE["job_04_consolidacion"] + ") c where origen != 'SECOP_I'")
+def q_snk_04_latest(spark, d):
+    return sinks.read_consolidated(spark, warehouse.land(spark, d, "consolidated_copies", _publish_consolidated, fresh=True))
 
 
 @register("snk_08_exportar_csv", ORACLE["mrt_02_resumen_departamento"])
@@ -339,10 +349,9 @@ _PIPELINE_SOURCES = {
 _PIPELINE_EDUCATION = ["Departamento", "Código Institución", "Nombre Sede", "Matrícula Total", "Num Docentes", "Zona"]
 
 
-def _pipeline_sql() -> str:
-    """Row counts of every phase: the cleaning rules over the landed text
-    (missing-value tokens null), the gate over the cleaned rows, the marts
-    over the cleaned SECOP II rows."""
+def _clean_ctes() -> list[str]:
+    """The cleaning rules over the landed contract text (missing-value tokens
+    null): ``n_`` read, ``d_`` by rule, ``c_`` kept and distinct."""
     def rule(c: str) -> str:
         if "valor" in c:
             return S.clean_money(c)
@@ -359,6 +368,13 @@ def _pipeline_sql() -> str:
         ctes.append(f"n_{ds} as (select {', '.join(_na_sql(c) for c in cols)} from {ds})")
         ctes.append(f"d_{ds} as (select {', '.join(f'{rule(c)} as {c}' for c in cols)} from n_{ds})")
         ctes.append(f"c_{ds} as (select distinct * from d_{ds} where {keep})")
+    return ctes
+
+
+def _pipeline_sql() -> str:
+    """Row counts of every phase: the gate over the cleaned rows, the marts
+    over the cleaned SECOP II rows."""
+    ctes = _clean_ctes()
     text = {c: S.blank_text(f'"{c}"') for c in _PIPELINE_EDUCATION}
     text["Departamento"] = S.blank_text(S.education_department('"Departamento"'))
     text |= {"Num Docentes": S.to_number(text["Num Docentes"]), "Matrícula Total": S.to_number(text["Matrícula Total"])}
@@ -390,6 +406,32 @@ def _pipeline_sql() -> str:
         f"select '{p}' as phase, '{i}' as item, cast(count(*) as bigint) as rows {f}" for p, i, f in rows))
 
 
+def _mart_sql() -> str:
+    """The master mart from the cleaned SECOP II text, by value."""
+    head = on_views("select 1", *_PIPELINE_SOURCES, "raw_education")
+    names = marts.SECOP_II_TO_MASTER
+    cols = []
+    for c in _PIPELINE_SOURCES["secop_ii"]:
+        dst = names.get(c, c)
+        if dst == "valor_contrato":
+            cols.append(f"cast({c} as decimal(20,2)) as {dst}")
+        elif dst == "fecha_firma":
+            cols.append(f"cast({c} as date) as {dst}")
+        else:
+            cols.append(_na_sql(c).replace(f'as "{c}"', f"as {dst}"))
+    return head[: head.rindex("\nselect 1")] + ",\n" + ",\n".join(_clean_ctes()) + f"\nselect {', '.join(cols)} from c_secop_ii"
+
+
+@register("prj_07_mart_desde_texto", _mart_sql())
+def q_prj_07(spark, d):
+    """Landed SECOP II text, cleaned and as the load leaves it (dates are
+    text, blanks null), to the documented master columns and types."""
+    from . import pipeline
+    src = warehouse.land(spark, d, "raw_sources_csv", land_raw_sources_csv)
+    clean = jobs.clean_contracts(landed.read_csv_text(spark, f"{src}/secop_ii"))
+    return marts.master(pipeline.as_loaded(clean), with_load_time=False)
+
+
 @register("job_05_pipeline_completo", _pipeline_sql())
 def q_job_05(spark, d):
     from . import pipeline

@@ -8,11 +8,13 @@ of recomputing the plan (and survives executor loss, unlike a cache).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import publish
+
 LAYERS = ["raw", "staging", "clean", "marts"]
 
 
@@ -29,7 +31,12 @@ def write_clean_and_export(df: DataFrame, clean_path: str, export_path: str) ->
     """SNK-02: Parquet to the clean layer, CSV (with header) to the export
     layer, from one computation: the CSV is written from the Parquet copy."""
     df.write.mode("overwrite").parquet(clean_path)
-    clean = df.sparkSession.read.parquet(clean_path)
+    return export_clean(df.sparkSession, clean_path, export_path)
+
+
+def export_clean(spark: SparkSession, clean_path: str, export_path: str) -> DataFrame:
+    """The export copy of a written clean table; returns the clean table."""
+    clean = spark.read.parquet(clean_path)
     clean.write.mode("overwrite").option("header", True).option("escape", '"').csv(export_path)
     return clean
 
@@ -39,14 +46,19 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_dated_and_latest(df: DataFrame, root: str, date_str: str) -> tuple[str, str]:
-    """SNK-04: a dated copy and a ``latest`` copy of the consolidated table
-    (the second written from the first)."""
-    dated = f"{root}/secop_consolidado_{date_str}"
-    latest = f"{root}/secop_consolidado_latest"
-    df.write.mode("overwrite").parquet(dated)
-    df.sparkSession.read.parquet(dated).write.mode("overwrite").parquet(latest)
-    return dated, latest
+#: Name of the published consolidated table.
+CONSOLIDATED = "secop_consolidado"
+
+
+def write_dated_and_latest(df: DataFrame, root: str, date_str: str, counts: Mapping[str, Column] | None = None) -> dict:
+    """SNK-04: the consolidated table under its date and as ``latest``: one
+    write, then both names are switched to it at once (``publish``)."""
+    return publish.publish(df, root, CONSOLIDATED, date_str, counts)
+
+
+def read_consolidated(spark: SparkSession, root: str, of: str = "latest") -> DataFrame:
+    """The consolidated table of a date, or the latest."""
+    return publish.published(spark, root, CONSOLIDATED, of)
 
 
 def init_schemas(spark: SparkSession, names: Sequence[str] = LAYERS, location: str | None = None) -> list[str]:
