@@ -26,15 +26,12 @@ def dropout_rate(dropout: DataFrame) -> DataFrame:
     return agg.withColumn("tasa_desercion", pct_half_up("total_desertores", "total_matriculados"))
 
 
-def enrolment_by_level(tables: Sequence[DataFrame]) -> DataFrame:
-    """QRY-27 (E-E2): one grouped aggregate per level table, ``UNION ALL``."""
-    parts = [t.groupBy("departamento", "nivel_educativo").agg(
-        F.sum("cantidad").alias("total_matricula"),
-        F.count_distinct("institucion").alias("num_instituciones")) for t in tables]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def enrolment_by_level(enrolment: DataFrame, levels: Sequence[str]) -> DataFrame:
+    """QRY-27 (E-E2): the levels' aggregates one below the other. A level is
+    a grouping key, so the union of one aggregate per level is one aggregate
+    over the rows of those levels."""
+    return (enrolment.where(F.col("nivel_educativo").isin(*levels)).groupBy("departamento", "nivel_educativo")
+            .agg(F.sum("cantidad").alias("total_matricula"), F.count_distinct("institucion").alias("num_instituciones")))
 
 
 def enrolment_by_year(enrolment: DataFrame) -> DataFrame:

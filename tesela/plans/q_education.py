@@ -30,8 +30,7 @@ LEVELS = ["preescolar", "primaria", "secundaria"]
     f"count(distinct institucion) as num_instituciones from edu_enrolment where nivel_educativo = '{lv}' "
     f"group by departamento, nivel_educativo)" for lv in LEVELS), "edu_enrolment"))
 def q_qry_27(spark, d):
-    enr = _t(spark, d, "edu_enrolment")
-    return E.enrolment_by_level([enr.filter(F.col("nivel_educativo") == lv) for lv in LEVELS])
+    return E.enrolment_by_level(_t(spark, d, "edu_enrolment"), LEVELS)
 
 
 @register("qry_28_matricula_anno", on_views("""

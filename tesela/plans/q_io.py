@@ -292,6 +292,32 @@ def q_snk_06(spark, d):
     return spark.table(name)
 
 
+#: Given tables that the catalogue listing loads, one database each.
+_CATALOGUED = {"raw": ["customer", "orders"], "staging": ["supplier"], "clean": ["part"]}
+
+
+@register("snk_09_catalogo", " union all ".join(
+    f"select '{db}' as esquema, c.table_name as tabla, c.column_name as columna, cast(c.ordinal_position as integer) as posicion, "
+    f"(select count(*) from {t}) as registros from information_schema.columns c where c.table_name = '{t}'"
+    for db, ts in _CATALOGUED.items() for t in ts))
+def q_snk_09(spark, d):
+    """Tables of the layers, their columns, and the rows of each."""
+    sinks.init_schemas(spark, location=_db_location(spark, d))
+    for db, names in _CATALOGUED.items():
+        for name in names:
+            sinks.load_as_table(read_table(spark, d, name), name, db)
+    out = None
+    for r in sinks.list_tables(spark, list(_CATALOGUED)).collect():  # catalogue entries
+        if r["table_name"] in _CATALOGUED[r["table_schema"]]:
+            name = f"{r['table_schema']}.{r['table_name']}"
+            rows = spark.table(name).agg(F.count(F.lit(1)).alias("registros"))
+            part = sinks.list_columns(spark, name).crossJoin(F.broadcast(rows)).select(
+                F.lit(r["table_schema"]).alias("esquema"), F.lit(r["table_name"]).alias("tabla"),
+                F.col("column_name").alias("columna"), F.col("ordinal_position").alias("posicion"), "registros")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("src_10_tabla_con_limite", on_master("""
 , r as (select coalesce(departamento, 'Sin info') as depto, count(*) as num_contratos,
   sum(valor_contrato) as valor_total from master group by 1)
