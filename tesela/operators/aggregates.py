@@ -23,8 +23,13 @@ def avg_money_2(c: str = "valor_contrato") -> Column:
     (to scale 6, then to 2); a double ``avg`` depends on summation order.
     For positive money only, which the master mart guarantees.
     """
-    cents = (F.sum(F.col(c)) * 100).cast("decimal(38,0)")
-    n = F.count(F.col(c)).cast("decimal(38,0)")
+    return avg_2_of(F.sum(F.col(c)), F.count(F.col(c)))
+
+
+def avg_2_of(total: Column, count: Column) -> Column:
+    """:func:`avg_money_2` from a sum and a count."""
+    cents = (total * 100).cast("decimal(38,0)")
+    n = count.cast("decimal(38,0)")
     num = cents * 2 + n
     den = n * 2
     # exact integer division: (num - num mod den) / den has no remainder

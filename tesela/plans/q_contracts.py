@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import filters, indicators as I, marts, validations as V
-from . import warehouse
+from ..operators import filters, indicators as I, marts, upkeep, validations as V
+from . import registry, warehouse
 from .registry import register
 from .sqlkit import avg2, avgd, on_master, pct, sig
 
@@ -83,6 +83,26 @@ def q_mrt_06(spark, d):
     return marts.resumen_catalogo(marts.catalog_from_master(master(spark, d)), AS_OF)
 
 
+# ------------------------------------------------------------------ marts kept from snapshots
+def _snapshots(spark, d, path):
+    """Three snapshots of the master; the second comes first with other rows
+    and is applied again."""
+    m = master(spark, d)
+    part = F.pmod(F.crc32(F.coalesce("id_contrato", F.lit("")).cast("binary")), F.lit(3))
+    for name, rows in (("s1", part == 0), ("s2", part != 1), ("s3", part == 2), ("s2", part == 1)):
+        upkeep.apply_snapshot(m.where(rows), path, name)
+
+
+def _kept(spark, d) -> str:
+    return warehouse.land(spark, d, "mart_states", _snapshots)
+
+
+for _key, _mart in (("mrt_02_resumen_departamento", upkeep.resumen_departamento), ("mrt_03_resumen_entidad", upkeep.resumen_entidad),
+                    ("mrt_04_resumen_sector", upkeep.resumen_sector), ("mrt_05_resumen_tipo_proceso", upkeep.resumen_tipo_proceso),
+                    ("mrt_06_resumen_catalogo", lambda spark, root: upkeep.resumen_catalogo(spark, root, AS_OF))):
+    register(f"{_key}_por_snapshots", registry.ORACLE[_key])(lambda spark, d, mart=_mart: mart(spark, _kept(spark, d)))
+
+
 # ------------------------------------------------------------------ E-02 ... E-06
 @register("qry_01_distribucion_valores", on_master(f"""
 select min(valor_contrato) as valor_minimo, max(valor_contrato) as valor_maximo, {avgd()} as valor_promedio,

@@ -94,6 +94,17 @@ def published(spark: SparkSession, root: str, name: str, of: str = "latest") ->
     return spark.read.parquet(f"{root.rstrip('/')}/{value['folder']}")
 
 
+def published_all(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """What all dates stand for, one below the other; ``None`` if nothing."""
+    fs, base = _fs(spark, root), root.rstrip("/")
+    if not fs.exists(_path(spark, base)):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(_path(spark, base))]
+    pointers = sorted(n for n in names if n.startswith(f"{name}_") and n.endswith(".json") and n != f"{name}_latest.json")
+    folders = [f"{base}/{get_small(spark, f'{base}/{n}')['folder']}" for n in pointers]
+    return spark.read.parquet(*folders) if folders else None
+
+
 def drop_unreferenced(spark: SparkSession, root: str, name: str) -> list[str]:
     """Delete the versions that no pointer names (replaced ones, and those of
     writes that ended half-way). Not while readers or writers are at work."""
