@@ -4,10 +4,10 @@ The source serves one question at a time from a web handler. Here a batch
 of questions is a DataFrame and every step is a join, a window or an
 aggregate:
 
-- mention detection is a broadcast theta join against the department
-  vocabulary (a fixed, bounded list);
+- mention detection looks the vocabulary up in an inverted index of the
+  questions' n-grams;
 - retrieval matches the distinct departments of the table against the
-  mentioned names (small x bounded), then reaches the rows with an
+  mentioned names the same way, then reaches the rows with an
   equi-join on the department, followed by ``row_number() <= 50`` per
   question, which Spark plans as a window group limit: each task keeps its
   own first 50 rows per question before the shuffle, so a department
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..session import ensure_checkpoint_dir
 from .indexing import dense_index, stored_index
+from .substrings import names_in_texts
 
 SEP = " | "
 MAX_BROADCAST_QUESTIONS = 5000
@@ -111,10 +112,9 @@ def detect_mentions(questions: DataFrame, vocabulary: DataFrame, question: str =
                     name: str = "name") -> DataFrame:
     """RAG-03: ``(qid, name)`` for every vocabulary word that occurs in the
     lower-cased question (substring match, so ``cauca`` also fires inside
-    ``valle del cauca``). The vocabulary is a bounded list and broadcast."""
-    v = F.broadcast(vocabulary.select(F.col(name).alias("_name")).distinct())
-    return (questions.join(v, F.lower(F.col(question)).contains(F.col("_name")))
-            .select("qid", F.col("_name").alias("name")))
+    ``valle del cauca``), found through an index of the questions' n-grams."""
+    texts = questions.select("qid", F.lower(F.col(question)).alias("_question"))
+    return names_in_texts(texts, vocabulary.select(F.col(name).alias("name")), "qid", "_question", "name")
 
 
 def default_vocabulary(spark) -> DataFrame:
@@ -155,11 +155,10 @@ def retrieve(table: DataFrame, questions: DataFrame, mentions: DataFrame, order:
     cols = table.columns
     sort = [F.col(c).asc_nulls_first() for c in order]
     # The substring test only depends on the department value: match the
-    # distinct departments against the mentioned names (both small), then
+    # distinct departments against the mentioned names by n-grams, then
     # reach the rows with an equi-join on the department.
     depts = table.select(F.col(dept_col).alias("_dep")).distinct()
-    names = F.broadcast(mentions.select(F.col("name").alias("_name")).distinct())
-    dep_names = depts.join(names, F.lower(F.col("_dep")).contains(F.col("_name")))
+    dep_names = names_in_texts(depts.withColumn("_low", F.lower("_dep")), mentions.select(F.col("name").alias("_name")), "_dep", "_low", "_name")
     q_dep = (mentions.join(dep_names, mentions.name == dep_names._name)
              .select("qid", F.col("_dep")).distinct())
     # small and used twice: materialise once (lineage cut in the checkpoint

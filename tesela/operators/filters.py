@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
+from .aggregates import settled
 
 
 def _and(preds: Iterable[Column]) -> Column | None:
@@ -145,3 +146,34 @@ def exclude_values(df: DataFrame, column: str, excluded: Sequence[str] = (vocab.
 def dedupe(df: DataFrame) -> DataFrame:
     """DED-01: full-row distinct (nulls compare equal)."""
     return df.dropDuplicates()
+
+
+#: Repeated row hashes (16 bytes each) that are broadcast at most.
+REPEATED_HASHES = 500_000
+
+
+def _row_hashes(df: DataFrame) -> list[Column]:
+    """128 bits of a row; a hash skips nulls, so where they stand counts too."""
+    nulls = [F.col(f"`{c}`").isNull() for c in df.columns]
+    return [F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns], *nulls) for seed in (1, 2)]
+
+
+def dedupe_wide(df: DataFrame, hashes=_row_hashes, most: int = REPEATED_HASHES) -> DataFrame:
+    """DED-01 for wide rows of a stored table, which are read twice instead
+    of shuffled: first only their 128-bit hashes are, then the rows whose hash
+    occurs again are compared in full, so a clash of hashes drops nothing.
+
+    With more than ``most`` repeated hashes the rows are shuffled after all.
+    """
+    a, b = hashes(df)
+    tagged = df.withColumns({"_hash_a": a, "_hash_b": b})
+    counts = tagged.groupBy("_hash_a", "_hash_b").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = settled(counts.where(F.col("_n") > 1).select("_hash_a", "_hash_b"))
+    n = repeated.count()
+    if n == 0:
+        return df
+    if n > most:
+        return dedupe(df)
+    few, on, cols = F.broadcast(repeated), ["_hash_a", "_hash_b"], [F.col(f"`{c}`") for c in df.columns]
+    again = tagged.join(few, on, "left_semi").select(*cols)
+    return tagged.join(few, on, "left_anti").select(*cols).unionByName(dedupe(again))

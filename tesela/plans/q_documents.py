@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..operators import analysis, documents as D, vector_index
+from ..operators import analysis, documents as D, filters, vector_index
 from ..sources import questions as Q
 from ..sources.tables import read_table
 from . import q_measures, registry, warehouse  # noqa: F401  (the insight oracle reuses measure SQL)
@@ -173,6 +173,13 @@ def q_rag_07_recall(spark, d):
     return measured.select(F.col("wanted").alias("buscados"), (F.col("recall") >= 0.9).alias("recall_suficiente"))
 
 
+# ------------------------------------------------------------------ DED-01 on wide rows
+@register("ded_01_filas_anchas", "select distinct text, lang, source, n_chars from documents")
+def q_ded_01(spark, d):
+    """Distinct document rows without their ids: whole texts are not shuffled."""
+    return filters.dedupe_wide(read_table(spark, d, "documents", "text", "lang", "source", "n_chars"))
+
+
 # ------------------------------------------------------------------ RAG-08
 def _insight_sql() -> str:
     parts = []
