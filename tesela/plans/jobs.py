@@ -169,6 +169,8 @@ SOURCE_RENAMES = {
     "secop_ii": (SECOP_II_RENAMES, vocab.ORIGIN_SECOP_II),
     "secop_integrado": (INTEGRADO_RENAMES, vocab.ORIGIN_INTEGRADO),
 }
+# FIXED VALUES: the consolidated table's columns, those that are title-cased,
+# and those whose blanks read ``No Definido``.
 COMMON_COLUMNS = ["uid", "nombre_entidad", "nit_entidad", "departamento", "modalidad", "tipo_contrato",
                   "valor_contrato", "fecha_firma", "proveedor", "origen"]
 CONSOLIDATED_TEXT = ["nombre_entidad", "departamento", "modalidad", "tipo_contrato", "proveedor"]
