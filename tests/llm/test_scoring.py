@@ -144,3 +144,22 @@ def test_kneser_ney_of_all_short_texts(llm):
     assert got == pytest.approx({t: 10 ** r[3] for t, r in zip(asked, rows, strict=True)})
     # all texts of no, one or two words are a part of all texts
     assert sum(got.values()) < 1
+
+
+def test_toxicity_learns_from_all_labelled_texts(llm):
+    """More labelled texts than one share holds, each with a word of its own:
+    the embedding must have met most of the words, not those of a sample."""
+    from tesela.llm.bytewords import ALNUM, split_words
+
+    n = 10_000
+    spark_rows = llm.range(n).selectExpr("id as doc_id", "concat(substr(md5(concat('w', id)), 1, 12), if(id % 2 = 0, ' zzvil', ' plain')) as text", "if(id % 3 = 0, 'en', 'es') as lang", "cast(id % 2 = 0 as int) as toxic")
+    model = cnn_toxicity.train(spark_rows.select("doc_id", "text", "lang"), spark_rows.select("doc_id", "toxic"))
+    words = [r["w"].encode() for r in spark_rows.selectExpr("split(text, ' ')[0] as w").collect()]
+    w = split_words(np.frombuffer(b"".join(words), np.uint8), np.arange(n + 1) * 12, ALNUM)
+    assert model.table[cnn_toxicity.buckets_of(w)[:, 0]].any(1).mean() > 0.7
+    assert set(model.thresholds) == {"", "en", "es"}
+    got = cnn_toxicity.score(spark_rows, model, name="s").select("s", "toxic").collect()
+    assert np.mean([(r["s"] >= 0.5) == (r["toxic"] == 1) for r in got]) > 0.99
+    # the same model in another run
+    again = cnn_toxicity.train(spark_rows.select("doc_id", "text", "lang"), spark_rows.select("doc_id", "toxic"))
+    assert (again.table == model.table).all() and again.thresholds == model.thresholds
