@@ -13,11 +13,12 @@ that lost executors half-way is simply rebuilt.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import inspect
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
@@ -75,6 +76,43 @@ def input_files(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()
 
 
+#: Input bytes (Parquet) per shuffle partition while a layer is built: half a
+#: million fact rows, some 200 MB while they are sorted.
+PARTITION_BYTES = 8 << 20
+MERGED = "32m"
+
+
+def input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Bytes of the input tables' files, from a listing."""
+    jvm, conf, total = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for table in TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, table))
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            files = fs.listFiles(path, True)
+            while files.hasNext():
+                total += files.next().getLen()
+    return total
+
+
+@contextlib.contextmanager
+def sized(spark: SparkSession, sf_dir: str) -> Iterator[None]:
+    """Shuffle partitions that grow with the input, where the session has
+    fewer: a sort of a partition then stays in memory at any size. Adaptive
+    execution merges small ones again, to ``MERGED`` each, and still splits
+    skewed ones. The session's settings come back afterwards."""
+    count, merged = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, had = spark.conf.get(count), spark.conf.get(merged, None)
+    spark.conf.set(count, str(max(int(before), -(-input_bytes(spark, sf_dir) // PARTITION_BYTES))))
+    if had is None or had == "67108864b":  # Spark's own default
+        spark.conf.set(merged, MERGED)
+    try:
+        yield
+    finally:
+        spark.conf.set(count, before)
+        spark.conf.unset(merged) if had is None else spark.conf.set(merged, had)
+
+
 def _key(spark: SparkSession, sf_dir: str, name: str, build: Callable) -> str:
     """Layer folder: input folder and files + the builder's code, so neither
     changed data nor a changed builder reads an older layer."""
@@ -99,8 +137,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def materialize(spark: SparkSession, sf_dir: str, name: str,
                 build: Callable[[SparkSession, str], DataFrame],
-                sort_within: list[str] | None = None) -> DataFrame:
-    """Return layer ``name`` for ``sf_dir``, writing it once if absent."""
+                sort_within: list[str] | None = None, ranged: bool = True) -> DataFrame:
+    """Return layer ``name`` for ``sf_dir``, writing it once if absent.
+
+    ``ranged``: rows are dealt by ranges of the sort key, so files follow
+    each other in its order; else each file is sorted by itself, which saves
+    a shuffle of the whole layer (filters still skip a file's pages).
+    """
     if spark.conf.get("tesela.materialize", "true").lower() != "true":
         return build(spark, sf_dir)
     root = ensure_checkpoint_dir(spark).rstrip("/")
@@ -109,17 +152,18 @@ def materialize(spark: SparkSession, sf_dir: str, name: str,
     with _lock:
         if ident not in _known:
             if not _exists(spark, path):
-                df = build(spark, sf_dir)
-                if sort_within:
-                    # range-partition on the sort key (the trailing columns
-                    # split a hot department over many files), sort inside:
-                    # files and row groups carry tight min/max statistics
-                    df = df.repartitionByRange(*sort_within).sortWithinPartitions(*sort_within)
-                else:
-                    # no useful key: spread rows evenly (round robin is
-                    # skew-free) so readers get one task per file
-                    df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-                df.write.mode("overwrite").parquet(path)
+                with sized(spark, sf_dir):
+                    df = build(spark, sf_dir)
+                    if sort_within:
+                        # range-partition on the sort key (the trailing columns
+                        # split a hot department over many files), sort inside:
+                        # files and row groups carry tight min/max statistics
+                        df = (df.repartitionByRange(*sort_within) if ranged else df).sortWithinPartitions(*sort_within)
+                    else:
+                        # no useful key: spread rows evenly (round robin is
+                        # skew-free) so readers get one task per file
+                        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+                    df.write.mode("overwrite").parquet(path)
             _known[ident] = path
     return spark.read.parquet(path)
 
@@ -151,9 +195,9 @@ def land(spark: SparkSession, sf_dir: str, name: str, write: Callable[[SparkSess
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract view, materialised; rows sorted by department and start
-    date inside each file so Parquet min/max statistics prune row groups."""
+    date inside each file so Parquet min/max statistics prune pages."""
     return materialize(spark, sf_dir, "contracts", fixtures.contracts,
-                       sort_within=["departamento", "fecha_inicio", "id_contrato"])
+                       sort_within=["departamento", "fecha_inicio", "id_contrato"], ranged=False)
 
 
 # Layout keys of the other layers (leading column = the usual filter or

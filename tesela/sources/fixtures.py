@@ -7,9 +7,10 @@ The oracle SQL for each builder lives in ``fixture_sql``; the two are
 written independently (DataFrame API here, SQL text there).
 
 Join plan of ``contracts`` at scale: ``nation`` (25 rows by definition) is
-the only explicit broadcast. ``customer`` joins ``orders`` first so the
-fact table is shuffled once on ``orderkey``; ``supplier`` and ``part`` are
-left to the planner and AQE (broadcast when small, sort-merge otherwise).
+broadcast. The fact grows wider with each join, so the joins that shuffle
+it come while it is narrow: ``part`` first, then ``orders`` with their
+``customer``; ``supplier`` (key and name) is counted and broadcast at the
+end, or joined before the others if it is too large for that.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from pyspark.sql import functions as F
 from .tables import read_table
 
 
+#: Suppliers (key and name) that are broadcast, some tens of MB.
+BROADCAST_SUPPLIERS = 500_000
+
+
 def _dec_price(c: str):
     return F.col(c).cast("decimal(12,2)")
 
@@ -33,13 +38,21 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = F.broadcast(read_table(spark, sf_dir, "nation", "n_nationkey", "n_name"))
     supp = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
-    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    objeto = (F.when(F.col("p_size") % 3 == 0, "Apoyo a la educacion")
+              .when(F.col("p_size") % 3 == 1, "Servicios de Salud")
+              .otherwise(F.col("p_name")))
+    part = (read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+            .select("p_partkey", "p_brand", "p_type", objeto.alias("objeto_contrato")))
 
     cn = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
     oc = orders.join(cn, orders.o_custkey == cn.c_custkey)
-    x = (li.join(oc, li.l_orderkey == oc.o_orderkey)
-         .join(supp, li.l_suppkey == supp.s_suppkey)
-         .join(part, li.l_partkey == part.p_partkey))
+    few = supp.count() <= BROADCAST_SUPPLIERS
+    by_supplier = F.col("l_suppkey") == F.col("s_suppkey")
+    x = li if few else li.join(supp, by_supplier)
+    x = (x.join(part, F.col("l_partkey") == F.col("p_partkey"))
+         .join(oc, F.col("l_orderkey") == F.col("o_orderkey")))
+    if few:
+        x = x.join(F.broadcast(supp), by_supplier)
 
     scale = (F.when(F.col("l_linenumber") <= 2, F.lit(100))
              .when(F.col("l_orderkey") % 400 == 0, F.lit(100000))
@@ -53,9 +66,6 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(F.col("c_mktsegment") == "HOUSEHOLD", "Salud y Protección Social")
               .when(F.col("c_mktsegment") == "AUTOMOBILE", "Transporte")
               .when(F.col("c_mktsegment") == "FURNITURE", "defensa"))
-    objeto = (F.when(F.col("p_size") % 3 == 0, "Apoyo a la educacion")
-              .when(F.col("p_size") % 3 == 1, "Servicios de Salud")
-              .otherwise(F.col("p_name")))
     origen = (F.when(F.col("l_returnflag") == "A", "SECOP_I")
               .when(F.col("l_returnflag") == "N", "SECOP_II")
               .otherwise("SECOP_INTEGRADO"))
@@ -76,7 +86,7 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
         pagado.alias("valor_pagado"),
         F.when(F.col("l_suppkey") % 25 == 0, "No Definido").otherwise(F.col("s_name")).alias("proveedor"),
         sector.alias("sector"),
-        objeto.alias("objeto_contrato"),
+        F.col("objeto_contrato"),
         F.col("l_linenumber").alias("numero_proponentes"),
         origen.alias("origen"),
     )
