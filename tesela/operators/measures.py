@@ -182,20 +182,18 @@ def fact_with_summaries(m: DataFrame, dep: DataFrame, ent: DataFrame, sec: DataF
     are split by key (``split_join``): departments, entities and the
     ``Sin info`` process may hold a large share of the rows.
     """
-    f = (m.withColumn("_dep", C.no_info("departamento"))
-         .withColumn("_sec", C.no_info("sector"))
-         .withColumn("_proc", C.no_info("proceso_de_compra")))
     d = dep.select(F.col("depto").alias("_dep_key"), F.col("num_contratos").alias("depto_num_contratos"),
                    F.col("valor_total").alias("depto_valor_total"))
     e = ent.select(F.col("nombre_entidad").alias("_ent"), F.col("depto").alias("_edep"),
                    F.col("valor_total").alias("entidad_valor_total"))
     s = sec.select(F.col("sector").alias("_sec_key"), F.col("valor_total").alias("sector_valor_total"))
     p = proc.select(F.col("proceso").alias("_proc_key"), F.col("valor_total").alias("proceso_valor_total"))
-    out = split_join(f, d, [("_dep", "_dep_key")], broadcast_rows=broadcast_rows)
-    out = split_join(out, e, [("nombre_entidad", "_ent"), ("_dep", "_edep")], broadcast_rows=broadcast_rows)
-    out = split_join(out, s, [("_sec", "_sec_key")], broadcast_rows=broadcast_rows)
-    out = split_join(out, p, [("_proc", "_proc_key")], broadcast_rows=broadcast_rows)
-    return out.drop("_dep", "_sec", "_proc")
+    # entities first: theirs is the largest summary, and the fact is narrowest then
+    out = split_join(m.withColumn("_dep", C.no_info("departamento")), e, [("nombre_entidad", "_ent"), ("_dep", "_edep")], broadcast_rows=broadcast_rows)
+    out = split_join(out, d, [("_dep", "_dep_key")], broadcast_rows=broadcast_rows).drop("_dep")
+    out = split_join(out.withColumn("_proc", C.no_info("proceso_de_compra")), p, [("_proc", "_proc_key")], broadcast_rows=broadcast_rows).drop("_proc")
+    out = split_join(out.withColumn("_sec", C.no_info("sector")), s, [("_sec", "_sec_key")], broadcast_rows=broadcast_rows).drop("_sec")
+    return out.select(*m.columns, "depto_num_contratos", "depto_valor_total", "entidad_valor_total", "sector_valor_total", "proceso_valor_total")
 
 
 def origin_breakdown(df: DataFrame) -> DataFrame:

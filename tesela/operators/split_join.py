@@ -29,6 +29,8 @@ BROADCAST_ROWS = 100_000
 #: A key is heavy with more than one in so many of the fact's rows, so there
 #: are fewer heavy keys than this; entries that a sketch tracks.
 HOT_SHARE, SKETCH_ITEMS = 512, 8192
+#: Rows of a fact per shuffle partition, so a sort of one stays in memory.
+PARTITION_ROWS = 500_000
 
 
 def _hash(columns: list[str]) -> Column:
@@ -66,12 +68,12 @@ def split_join(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], how:
     if dim.count() <= broadcast_rows:
         return fact.join(F.broadcast(dim), _equal(left, right), how).select(*fact.columns, *added)
 
-    hot = heavy_keys(fact, left, share)
+    hot, rows = heavy_keys(fact, left, share), fact.count()
     keyed = dim.select(_hash(right).alias("_dim_hash"), *[F.col(c).alias(f"_dim_{k}") for k, c in enumerate(right)], F.struct(F.lit(True), *added).alias("_dim_row"))
     keys = [f"_dim_{k}" for k in range(len(right))]
     heavy = keyed.where(F.col("_dim_hash").isin(hot)) if hot else None
     if heavy is not None and heavy.limit(broadcast_rows + 1).count() > broadcast_rows:
-        hot, heavy = [], None  # a dimension with very many rows per key: the planner's skew handling is left
+        hot, heavy, rows = [], None, 0  # a dimension with very many rows per key: the planner's skew handling is left
     rest = keyed.where(~F.col("_dim_hash").isin(hot)) if hot else keyed.where(F.col("_dim_hash").isNotNull())
 
     out = fact.withColumn("_key_hash", _hash(left))
@@ -80,7 +82,11 @@ def split_join(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], how:
         is_settled = is_settled | F.col("_key_hash").isin(hot)
         h = heavy.select(*[F.col(k).alias(f"{k}_hot") for k in keys], F.col("_dim_row").alias("_hot_row"))
         out = out.join(F.broadcast(h), _equal(left, [f"{k}_hot" for k in keys]), "left").drop(*[f"{k}_hot" for k in keys])
-    out = out.withColumn("_dealt", F.when(is_settled, F.xxhash64(*fact.columns)).otherwise(F.col("_key_hash")))
+    out = out.withColumn("_dealt", F.when(is_settled, F.xxhash64(*fact.columns)).otherwise(F.col("_key_hash"))).drop("_key_hash")
+    parts = -(-rows // PARTITION_ROWS)
+    if parts > int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        # no key left is a hot spot, so the partitions only need to be many enough
+        out, rest = out.repartition(parts, "_dealt", *left), rest.repartition(parts, "_dim_hash", *keys)
     out = out.join(rest, (F.col("_dealt") == F.col("_dim_hash")) & _equal(left, keys), "left")
     found = F.coalesce("_hot_row", "_dim_row") if heavy is not None else F.col("_dim_row")
     out = out.withColumn("_found", found)

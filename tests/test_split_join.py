@@ -82,3 +82,23 @@ def test_split_form_of_the_report_relationships(spark):
     whole = measures.fact_with_summaries(m, *dims).select(*few)
     split = measures.fact_with_summaries(m, *dims, broadcast_rows=2).select(*few)
     assert rows(whole) == rows(split)
+
+
+def test_partitions_grow_with_the_fact(tables, spark, monkeypatch):
+    from tesela.operators import split_join as S
+
+    fact, dim = tables
+    on = [("a", "x"), ("b", "y")]
+    want = rows(split_join(fact, dim, on, broadcast_rows=10))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    monkeypatch.setattr(S, "PARTITION_ROWS", 1000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        got = split_join(fact, dim, on, broadcast_rows=10)
+        assert rows(got) == want
+        assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 20
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
