@@ -37,6 +37,10 @@ from ..session import ensure_checkpoint_dir, ship_package
 SAMPLE_ROWS, MAX_LISTS = 20_000, 4096
 #: Rows and queries of one block: what a scoring task holds at a time.
 BLOCK_ROWS, BLOCK_QUERIES = 16_384, 4096
+#: Numbers of one matrix that a worker holds at a time (scores of rows by
+#: centres, vectors of queries by lists), 32 MB: a batch is cut by it, so a
+#: worker's memory does not grow with the lists.
+SLICE_NUMBERS = 1 << 22
 #: Digits that a score is compared by: sums of products differ in the last bits.
 DIGITS = 12
 
@@ -69,6 +73,14 @@ class VectorIndex:
 
 
 # ------------------------------------------------------------------ vectors
+def _slices(batches: Iterator[pa.RecordBatch], a_row: int) -> Iterator[pa.RecordBatch]:
+    """The batches, cut to ``SLICE_NUMBERS`` where each row takes ``a_row``."""
+    rows = max(1, SLICE_NUMBERS // max(1, a_row))
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def _unit(col: pa.Array | pa.ChunkedArray, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows that have a direction, and their unit vectors."""
     if isinstance(col, pa.ChunkedArray):
@@ -134,7 +146,7 @@ def fit(corpus: DataFrame, id_col: str = "vec_id", vec: str = "embedding", lists
 def _assign(centres: np.ndarray):
     """Nearest list and the angle to its centre."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, len(centres)):
             rows, x = _unit(batch.column(1), centres.shape[1])
             score = x @ centres.T
             near = score.argmax(axis=1)
@@ -174,7 +186,7 @@ def _route(index: VectorIndex, probes: int, second: bool):
     radius = np.array([index.radius[i] for i in there.tolist()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, len(there) * centres.shape[1]):
             rows, q = _unit(batch.column(1), centres.shape[1])
             kept = batch.take(pa.array(rows))
             score = q @ centres[there].T
