@@ -67,3 +67,25 @@ def test_repeated_epochs_count_once(spark, tmpdir_path):
     same(kept(spark, root), whole(spark, both))
     upkeep.apply_snapshot(parts[1], root, f"epoch-{1:012d}")  # the epoch once more, as after a failure
     same(kept(spark, root), whole(spark, both))
+
+
+def test_a_snapshot_is_read_for_two_states(spark, tmpdir_path, monkeypatch):
+    spark.createDataFrame(rows_of(300), SCHEMA).write.parquet(f"{tmpdir_path}/rows")
+    read, publish = {}, upkeep.publish.publish
+    monkeypatch.setattr(upkeep.publish, "publish", lambda df, root, name, date: (
+        read.__setitem__(name, any(f"{tmpdir_path}/rows" in f for f in df.inputFiles())), publish(df, root, name, date))[1])
+    df = spark.read.parquet(f"{tmpdir_path}/rows")
+    counts = upkeep.apply_snapshot(df, f"{tmpdir_path}/state", "s")
+    assert read == {"ent": True, "cat": True, "sec": False, "proc": False}
+    assert counts["sec"] == marts.resumen_sector(df).count() and counts["proc"] == marts.resumen_tipo_proceso(df).count()
+
+
+def test_more_modalities_than_bits(spark, tmpdir_path, monkeypatch):
+    df = spark.createDataFrame(rows_of(300), SCHEMA)
+    upkeep.apply_snapshot(df, tmpdir_path, "s")
+    want = sorted(map(str, marts.resumen_catalogo(marts.catalog_from_master(df), AS_OF).collect()))
+    for bits in (2, 1, 0):  # there are two modalities, and none
+        monkeypatch.setattr(upkeep, "BITS", bits)
+        got = upkeep.resumen_catalogo(spark, tmpdir_path, AS_OF)
+        assert ("bit_or" in got._jdf.queryExecution().optimizedPlan().toString()) == (bits == 2)
+        assert sorted(map(str, got.collect())) == want
