@@ -31,17 +31,16 @@ def _ratio(num: str, den: str):
 def kpis(df: DataFrame) -> DataFrame:
     """QRY-33: the KPI cards; one-row tables put side by side.
 
-    The fact is read once, grouped by the three columns whose values are
-    counted; totals and distinct counts come from the groups.
+    Totals and each distinct count read their own column of the fact. Groups
+    of the three counted columns are nearly as many as its rows, so they would
+    be shuffled and stored like it.
     """
     keys = (("nombre_entidad", "num_entidades"), ("departamento", "num_departamentos"), ("proveedor", "num_proveedores"))
-    groups = settled(df.groupBy(*[c for c, _ in keys]).agg(
-        F.count(F.lit(1)).alias("_n"), F.count("valor_contrato").alias("_valued"), money_sum().alias("_value")))
-    value = F.sum("_value").cast(groups.schema["_value"].dataType)
-    out = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_contratos"), value.alias("valor_total"),
-                     F.try_divide(value.cast("double"), F.sum("_valued").cast("double")).alias("valor_promedio"))
+    value = money_sum()
+    out = df.agg(F.count(F.lit(1)).alias("total_contratos"), value.alias("valor_total"),
+                 F.try_divide(value.cast("double"), F.count("valor_contrato").cast("double")).alias("valor_promedio"))
     for c, alias in keys:
-        out = out.crossJoin(F.broadcast(distinct_values(groups, c, alias)))
+        out = out.crossJoin(F.broadcast(distinct_values(df, c, alias)))
     return out
 
 

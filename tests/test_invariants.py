@@ -320,3 +320,22 @@ def test_pipeline_phases_with_education_and_marts_from_the_load(spark, tmp_path)
     assert {r["nombre_entidad"] for r in spark.read.parquet(f"{root}/clean_spark/secop_ii").collect()} == {"uno", "dos", "tres"}
     with pytest.raises(ValueError):
         pipeline.run(spark, "all", contracts, root, education=schools, spark_variant=True)
+
+
+def test_kpis_group_no_wide_key(spark, monkeypatch):
+    """QRY-33: each distinct count shuffles its own column only, and nothing is stored."""
+    from decimal import Decimal
+
+    from tesela.operators import measures
+
+    rows = [(None if i % 7 == 0 else f"e{i % 5}", f"d{i % 3}", "p", None if i % 4 == 0 else Decimal(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "nombre_entidad string, departamento string, proveedor string, valor_contrato decimal(20,2)")
+
+    def stored(_):
+        raise AssertionError("the fact's groups were stored")
+
+    monkeypatch.setattr(measures, "settled", stored)
+    got = measures.kpis(df).first()
+    values = [r[3] for r in rows if r[3] is not None]
+    assert (got["total_contratos"], got["valor_total"], got["num_entidades"], got["num_departamentos"], got["num_proveedores"]) == (50, sum(values), 6, 3, 1)
+    assert abs(got["valor_promedio"] - float(sum(values)) / len(values)) < 1e-9
