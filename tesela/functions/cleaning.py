@@ -92,15 +92,22 @@ def title_case(c: ColumnOrName) -> Column:
     return F.when(s.rlike(_LETTER_AFTER_MARK), exact).otherwise(F.initcap(s))
 
 
+def collapsed_text(c: ColumnOrName) -> Column:
+    """SCL-01 up to the title case: null-like -> ``""``, strip, collapse
+    whitespace."""
+    s = strip_ws(c)
+    null_like = s.isNull() | F.lower(s).isin(*vocab.NULL_LIKE_TEXT)
+    return F.when(null_like, F.lit("")).otherwise(F.regexp_replace(s, _WS_RUN, " "))
+
+
 def normalize_text(c: ColumnOrName) -> Column:
     """SCL-01: null-like -> ``""``, strip, title case, collapse whitespace.
 
     Whitespace is collapsed before title-casing: both treat it as a
     non-letter, so the result is the same, and single spaces let more
-    values take ``initcap`` directly."""
-    s = strip_ws(c)
-    null_like = s.isNull() | F.lower(s).isin(*vocab.NULL_LIKE_TEXT)
-    return F.when(null_like, F.lit("")).otherwise(title_case(F.regexp_replace(s, _WS_RUN, " ")))
+    values take ``initcap`` directly. Over many rows the two steps go into
+    projections of their own: the title case reads its input several times."""
+    return title_case(collapsed_text(c))
 
 
 def lower_trim(c: ColumnOrName) -> Column:

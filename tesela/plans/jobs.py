@@ -16,7 +16,7 @@ from ..functions import cleaning as C
 from ..functions import vocab
 from ..operators import filters
 from ..operators.indexing import dense_index
-from ..session import ensure_checkpoint_dir
+from ..session import compiled_rules
 
 # FIXED VALUES: columns the contract cleaning title-cases, in order.
 CONTRACT_TEXT_COLUMNS = [
@@ -48,6 +48,14 @@ def contract_rules(columns: list[str]) -> dict[str, list[str]]:
     }
 
 
+def _stage(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """One projection per rule layer: each rule reads its input several
+    times, so nesting them in one expression would multiply the tree (and
+    the generated code); stacked projections of non-trivial expressions are
+    kept apart by the optimizer and each compiles once."""
+    return df.select(*[(rules[c] if c in rules else F.col(c)).alias(c) for c in df.columns])
+
+
 def _as_typed_text(col: Column, dtype: str) -> Column:
     return col if dtype == "string" else col.cast("string")
 
@@ -59,6 +67,7 @@ def clean_contracts(raw: DataFrame, money_mode: str = "strip_all") -> DataFrame:
     A money column that is already numeric is not re-parsed (the source
     rule deletes decimal points and would inflate it).
     """
+    compiled_rules(raw.sparkSession)
     df = C.normalize_column_names(raw)
     rules = contract_rules(df.columns)
     types = dict(df.dtypes)
@@ -74,10 +83,10 @@ def clean_contracts(raw: DataFrame, money_mode: str = "strip_all") -> DataFrame:
             e, t = C.clean_nit(e), "string"
         if c in rules["department"]:
             e, t = C.canonical_department(e), "string"
-        if c in rules["text"]:
-            e, t = C.normalize_text(e), "string"
         exprs.append(e.alias(c))
     out = df.select(*exprs)
+    for step in (C.collapsed_text, C.title_case):  # SCL-01
+        out = _stage(out, {c: step(c) for c in rules["text"]})
     out = filters.drop_blank_ids(out)
     out = filters.dedupe(out)
     return filters.keep_positive(out)
@@ -91,6 +100,7 @@ def clean_education(raw: DataFrame) -> DataFrame:
     """JOB-02: names -> department map -> every text column trimmed
     with ``nan``/``None`` blanked -> numeric coercion -> distinct -> drop
     all-null rows."""
+    compiled_rules(raw.sparkSession)
     df = C.normalize_column_names(raw)
     dep_cols = {c for c in df.columns if "depto" in c or "departamento" in c}
     text_cols = set(_text_columns(df))
@@ -113,6 +123,7 @@ def clean_education(raw: DataFrame) -> DataFrame:
 def clean_contracts_spark_variant(raw: DataFrame) -> DataFrame:
     """JOB-03: names (accents kept) -> money keeps digits and ``.`` ->
     ``yyyy-MM-dd`` dates -> lower/trim text -> distinct."""
+    compiled_rules(raw.sparkSession)
     df = C.normalize_column_names(raw, C.normalize_name_spark_variant)
     exprs = []
     for c in df.columns:
@@ -210,6 +221,7 @@ def consolidate_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
     department, tax id and value columns, fill ``No Definido``."""
     parts = []
     for key, df in sources.items():
+        compiled_rules(df.sparkSession)
         renames, origin = SOURCE_RENAMES[key]
         r = rename_source(df, renames, origin)
         if key == "secop_i":
@@ -226,27 +238,20 @@ def consolidate_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    # One projection per rule layer: each rule reads its input several
-    # times, so nesting them in one expression would multiply the tree
-    # (and the generated code); stacked projections of non-trivial
-    # expressions are kept apart by the optimizer and each compiles once.
-    def stage(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-        return df.select(*[(rules[c] if c in rules else F.col(c)).alias(c) for c in df.columns])
-
-    u = stage(u, {c: C.normalize_text(c) for c in CONSOLIDATED_TEXT})
-    u = stage(u, {"departamento": C.canonical_department("departamento", blank=""),
+    for step in (C.collapsed_text, C.title_case):  # SCL-01
+        u = _stage(u, {c: step(c) for c in CONSOLIDATED_TEXT})
+    u = _stage(u, {"departamento": C.canonical_department("departamento", blank=""),
                   "nit_entidad": C.clean_nit("nit_entidad", empty="")})
-    return stage(u, {c: C.not_defined(c) for c in CONSOLIDATED_NOT_DEFINED})
+    return _stage(u, {c: C.not_defined(c) for c in CONSOLIDATED_NOT_DEFINED})
 
 
 def consolidate(sources: Mapping[str, DataFrame]) -> DataFrame:
     """JOB-04: consolidated table behind the four-rule quality gate.
 
-    The gate reads a checkpointed copy of the cleaned union (in the
-    session's checkpoint folder): on the plain plan the optimizer pushes the
-    gate below the cleaning projections and inlines the rules into the
-    filter, where they run again, unshared, for every input row.
+    The rows that reach the gate are observed (``gate_input``): on the plain
+    plan the optimizer pushes the gate below the cleaning projections and
+    inlines the rules into the filter, where they run again for every input
+    row; below a count of its rows it cannot go.
     """
     cleaned = consolidate_sources(sources)
-    ensure_checkpoint_dir(cleaned.sparkSession)
-    return filters.quality_gate(cleaned.checkpoint(eager=True))
+    return filters.quality_gate(cleaned.observe("gate_input", F.count(F.lit(1)).alias("rows")))

@@ -75,6 +75,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or root
 
 
+#: Bytes of bytecode beyond which HotSpot leaves a method to its interpreter.
+METHOD_CONF, METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit", 8000
+
+
+def compiled_rules(spark: SparkSession) -> None:
+    """Let rule projections over many columns run compiled.
+
+    Whole-stage code puts all expressions of a projection into one method, and
+    HotSpot compiles none beyond ``METHOD_BYTES``; Spark's own limit is the 64
+    KB of a class file. With this limit such a stage is generated expression by
+    expression, in methods that are compiled. Set only where the session has
+    Spark's default; results do not depend on it.
+    """
+    if spark.conf.get(METHOD_CONF) == "65535":
+        spark.conf.set(METHOD_CONF, str(METHOD_BYTES))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the application's Python workers, once: operators
     that run numpy in tasks need it there, installed or not."""

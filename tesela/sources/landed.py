@@ -91,9 +91,10 @@ def csv_files(spark: SparkSession, path: str | Sequence[str], **options) -> tupl
     reader = spark.read.option("lineSep", "\n")
     for k, v in options.items():
         reader = reader.option(k, v)
-    line = F.regexp_replace("value", "\r$", "")
-    odd = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
-    hard = odd | line.contains("\r") | ((line != "") & (F.trim(F.translate(line, "\t", " ")) == ""))
+    text, quote = F.col("value"), F.lit('"')
+    line = F.when(text.contains("\r"), F.regexp_replace(text, "\r$", "")).otherwise(text)
+    odd = text.contains('"') & ((F.length(text) - F.length(F.replace(text, quote))) % 2 == 1)
+    hard = odd | line.contains("\r") | ((line != "") & (F.btrim(line, F.lit(" \t")) == ""))
     found = reader.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max(hard).alias("hard")).collect()
     names = sorted((re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(r["file"])), r["hard"]) for r in found)
     return [f for f, h in names if not h], [f for f, h in names if h]
