@@ -177,8 +177,8 @@ def clean_money(c: ColumnOrName, mode: str = "strip_all") -> Column:
     """
     if mode == "strip_all":
         t = F.regexp_replace(strip_ws(c), _MONEY_STRIP, "")
-        parsed = F.when(t.rlike(_FLOAT_TEXT), t.try_cast("double"))
-        return F.coalesce(parsed, F.lit(0.0))
+        # "" if it does not match: one reading of t, not a test and a cast
+        return F.coalesce(F.regexp_extract(t, _FLOAT_TEXT, 0).try_cast("double"), F.lit(0.0))
     if mode == "decimal":
         return F.regexp_replace(as_text(c), r"[^0-9.]", "").try_cast("double")
     raise ValueError(f"unknown money mode {mode!r}")
@@ -192,7 +192,7 @@ def to_number(c: ColumnOrName) -> Column:
 
 def clean_nit(c: ColumnOrName, empty: str | None = None) -> Column:
     """SCL-04: keep digits and ``-``; empty -> null (or ``empty``)."""
-    v = F.regexp_replace(strip_ws(c), r"[^0-9-]", "")
+    v = F.regexp_replace(as_text(c), r"[^0-9-]", "")
     blank = F.lit(empty) if empty is not None else F.lit(None).cast("string")
     return F.when(v.isNull() | (v == ""), blank).otherwise(v)
 

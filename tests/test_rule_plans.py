@@ -51,6 +51,20 @@ def test_text_layers_equal_the_nested_rule(spark):
     assert got == plain == {r["id_contrato"]: r["o"] for r in df.select("id_contrato", C.normalize_text("nombre_entidad").alias("o")).collect()}
 
 
+def test_money_and_tax_id_read_their_text_once(spark):
+    values = ["$ 1.234.567,89", " +5 ", "1e+16", "1e400", "5d", "1 2\n", "\u00a07\u2028", "\x1c8\x1f", "9\x1f0", "-", "", None, "١", "NaN", "--5", " NIT 800.1-7 "]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    s = C.strip_ws("v")  # the rules as they were
+    t = F.regexp_replace(s, C._MONEY_STRIP, "")
+    money = F.coalesce(F.when(t.rlike(C._FLOAT_TEXT), t.try_cast("double")), F.lit(0.0))
+    digits = F.regexp_replace(s, r"[^0-9-]", "")
+    nit = F.when(digits.isNull() | (digits == ""), F.lit(None).cast("string")).otherwise(digits)
+    got = df.select("i", C.clean_money("v").alias("m"), C.clean_nit("v").alias("n"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.select("i", money, nit).collect()))
+    assert optimized(df.select(C.clean_money("v").alias("o"))).count("regexp_replace") == 1
+    assert "trim(" not in optimized(df.select(C.clean_nit("v").alias("o")))
+
+
 def test_lines_that_a_csv_reader_cannot_split(spark, tmp_path):
     lines = {"plain": "a,b", "crlf": "a,b\r", "two": "a,b\r\r", "lone": "a\rb", "blank": " \t", "tab": "\t\r", "nbsp": " ",
              "odd": '"a', "even": '"a"', "odd_cr": '"a\r', "empty": "", "cr": "\r"}
